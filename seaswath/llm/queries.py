@@ -7,15 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from seaswath.llm.bpe import op1_bpe
+from seaswath.llm.language import op3_language
 from seaswath.llm.packing import op4_packing
+from seaswath.llm.quality import op2_quality
 from seaswath.llm.token_file import op6_token_file
+from seaswath.llm.toxicity import op8_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_bpe": op1_bpe,
+        "op2_quality": op2_quality,
+        "op3_language": op3_language,
         "op4_packing": op4_packing,
         "op6_token_file": op6_token_file,
+        "op8_toxicity": op8_toxicity,
     }
 
 
