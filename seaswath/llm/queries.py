@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seaswath.llm.bpe import op1_bpe
 from seaswath.llm.language import op3_language
+from seaswath.llm.neighbours import op5_neighbours
 from seaswath.llm.packing import op4_packing
 from seaswath.llm.quality import op2_quality
 from seaswath.llm.token_file import op6_token_file
 from seaswath.llm.toxicity import op8_toxicity
+from seaswath.llm.vector_dedup import op9_vector_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,8 +22,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality": op2_quality,
         "op3_language": op3_language,
         "op4_packing": op4_packing,
+        "op5_neighbours": op5_neighbours,
         "op6_token_file": op6_token_file,
         "op8_toxicity": op8_toxicity,
+        "op9_vector_dedup": op9_vector_dedup,
     }
 
 
