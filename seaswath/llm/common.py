@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = 512, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds few rows and a bounded number of bytes of a string column (one row at least)."""
     for batch in batches:
-        lengths = [n or 0 for n in pa.compute.binary_length(batch.column(column)).to_pylist()]
+        lengths = [n or 0 for n in pc.binary_length(batch.column(column)).to_pylist()]
         start = total = 0
         for i, n in enumerate(lengths):
             if i > start and (i - start >= rows or total + n > size):

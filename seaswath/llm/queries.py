@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seaswath.llm.bpe import op1_bpe
 from seaswath.llm.language import op3_language
+from seaswath.llm.near_dedup import op7_near_dedup
 from seaswath.llm.neighbours import op5_neighbours
 from seaswath.llm.packing import op4_packing
 from seaswath.llm.quality import op2_quality
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_packing": op4_packing,
         "op5_neighbours": op5_neighbours,
         "op6_token_file": op6_token_file,
+        "op7_near_dedup": op7_near_dedup,
         "op8_toxicity": op8_toxicity,
         "op9_vector_dedup": op9_vector_dedup,
     }
