@@ -62,7 +62,7 @@ def signatures(text: np.ndarray, shingle: np.ndarray, count: np.ndarray, n: int,
         interval = np.arange(len(e)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
         low = np.where(interval > 0, 2 ** np.maximum(interval - 1, 0), 0)
         width = np.maximum(low, 1)
-        seed, time, step = mixed(shingle[e] + interval.astype(np.uint64) * GOLDEN), np.zeros(len(e)), np.uint64(0)
+        seed, time, step = mixed(shingle[e] + interval.astype(np.uint64) * GOLDEN), np.zeros(len(e)), np.zeros(1, np.uint64)
         while len(e):
             step += np.uint64(1)
             a = mixed(seed + step * GOLDEN)
