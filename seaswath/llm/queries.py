@@ -12,6 +12,7 @@ from seaswath.llm.near_dedup import op7_near_dedup
 from seaswath.llm.neighbours import op5_neighbours
 from seaswath.llm.packing import op4_packing
 from seaswath.llm.quality import op2_quality
+from seaswath.llm.substring_dedup import op10_substring_dedup
 from seaswath.llm.token_file import op6_token_file
 from seaswath.llm.toxicity import op8_toxicity
 from seaswath.llm.vector_dedup import op9_vector_dedup
@@ -28,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_near_dedup": op7_near_dedup,
         "op8_toxicity": op8_toxicity,
         "op9_vector_dedup": op9_vector_dedup,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 
