@@ -10,9 +10,10 @@ fills all places, so that large documents cost little more than one look at each
 
 Documents with the same words in the same order form a class, of which one goes on. Signatures are cut
 into BANDS of ROWS places; documents that share a band are candidates: all pairs of a small bucket, and
-in a larger one each member with HUBS of its members, so that pairs grow with members, not their square.
-Candidates are verified by exact multiset overlap, and linked ones of THRESHOLD or more form groups
-(connected components). The document of the smallest id of a group is kept.
+in a larger one each member with the least and the greatest, so that pairs grow with members, not their
+square. Candidates are verified by exact multiset overlap, and linked ones of THRESHOLD or more form
+groups (connected components). Members of a larger bucket that are then still in several groups meet
+HUBS more of its members each, those of other groups. The document of the smallest id of a group is kept.
 
 Null, empty and wordless texts are never duplicates. A null doc_id is left out of comparison and kept.
 Rows that repeat a doc_id are one document, by their least text. Empty tables give no rows.
@@ -123,21 +124,41 @@ def signed(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "id long, c1 long, c2 long, bands array<long>")
 
 
-def candidates(bands: DataFrame) -> DataFrame:
-    """a, b (a > b): pairs of ids that share a band key; bands: key, id, each pair of them once."""
-    least, most = F.min("id").alias("least"), F.max("id").alias("most")
-    shared = bands.groupBy("key").agg(F.count("*").alias("n"), least, most).where("n > 1")
-    held = bands.join(shared, "key")
+def shared_buckets(bands: DataFrame) -> DataFrame:
+    """key, id, n, least, most: the members of every bucket of two or more, with its size and its end members."""
+    ends = F.count("*").alias("n"), F.min("id").alias("least"), F.max("id").alias("most")
+    return written(bands.join(bands.groupBy("key").agg(*ends).where("n > 1"), "key"), "buckets")
+
+
+def ordered(pairs: DataFrame) -> DataFrame:
+    """a, b (a > b) of pairs x, y, each once."""
+    return pairs.where("x != y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+
+
+def candidates(held: DataFrame) -> DataFrame:
+    """Each member of a bucket with the bucket's least and greatest member; all pairs of a bucket of at most SMALL."""
     # A bucket of two or three is covered by its least and greatest member.
     pairs = held.select(F.explode(F.array("least", "most")).alias("x"), F.col("id").alias("y"))
     small = held.where(F.col("n").between(4, SMALL)).groupBy("key").agg(F.collect_list("id").alias("ids"))
     inside = small.select(F.explode("ids").alias("x"), "ids").select("x", F.explode("ids").alias("y"))
-    large = held.where(F.col("n") > SMALL).select("key", "id")
-    ranked = [F.min(F.struct(F.xxhash64("id", F.lit(i)).alias("h"), "id")).getField("id") for i in range(HUBS)]
-    hubs = large.groupBy("key").agg(F.array_distinct(F.array(*ranked)).alias("hubs"))
-    starred = large.join(hubs, "key").select(F.explode("hubs").alias("x"), F.col("id").alias("y"))
-    every = pairs.unionByName(inside).unionByName(starred).where("x != y")
-    return every.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+    return ordered(pairs.unionByName(inside))
+
+
+def open_candidates(held: DataFrame, joined: DataFrame) -> DataFrame:
+    """For the larger buckets whose members the links so far leave in several groups: members with HUBS of their bucket, of other groups."""
+    large = held.where(F.col("n") > SMALL).select("key", "id").join(joined, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    ranked = [F.min(F.struct(F.xxhash64("id", F.lit(i)).alias("h"), "id", "component")).alias(f"h{i}") for i in range(HUBS)]
+    apart = large.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), *ranked).where("low < high")
+    hubs = F.array_distinct(F.array(*(F.struct(f"h{i}.id", f"h{i}.component") for i in range(HUBS))))
+    met = large.join(apart.select("key", hubs.alias("hubs")), "key")
+    others = met.select("id", F.explode(F.filter("hubs", lambda hub: hub["component"] != F.col("component"))).alias("hub"))
+    return ordered(others.select(F.col("hub.id").alias("x"), F.col("id").alias("y")))
+
+
+def verified(pairs: DataFrame, text: DataFrame) -> DataFrame:
+    """a, b: the candidates whose texts overlap by THRESHOLD or more."""
+    near = pairs.join(text.toDF("a", "text_a"), "a").join(text.toDF("b", "text_b"), "b")
+    return near.select("a", "b", similarity("text_a", "text_b").alias("s")).where(F.col("s") >= THRESHOLD).select("a", "b")
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -145,11 +166,14 @@ def groups(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", "text")
     sketches = written(signed(texts), "bag-signatures")
     classes = written(sketches.groupBy("c1", "c2").agg(F.min(F.struct("id", "bands")).alias("first")).select("c1", "c2", "first.id", "first.bands"), "word-classes")
-    pairs = candidates(classes.select(F.explode("bands").alias("key"), "id"))
+    held = shared_buckets(classes.select(F.explode("bands").alias("key"), "id"))
     text = texts.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), "text")
-    near = pairs.join(text.toDF("a", "text_a"), "a").join(text.toDF("b", "text_b"), "b")
-    links = near.select("a", "b", similarity("text_a", "text_b").alias("s")).where(F.col("s") >= THRESHOLD)
-    joined = components(links).withColumnRenamed("id", "first")
+    links = written(verified(candidates(held), text), "near-links")
+    joined = components(links)
+    more = written(verified(open_candidates(held, joined), text), "more-links")
+    if more.limit(1).count():
+        joined = components(links.unionByName(more))
+    joined = joined.withColumnRenamed("id", "first")
     members = sketches.select("id", "c1", "c2").join(classes.select("c1", "c2", F.col("id").alias("first")), ["c1", "c2"])
     return members.join(joined, "first", "left").groupBy(F.col("id").alias("doc_id")).agg(F.min(F.coalesce("component", "first")).alias("class_id"))
 
