@@ -1,0 +1 @@
+"""Side-scan sonar processing as Spark jobs."""
