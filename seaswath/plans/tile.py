@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import argparse
 import logging
+import tempfile
 import time
+import uuid
 from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,10 +40,17 @@ class Tile:
     meta: DataFrame
 
 
-def stored(df: DataFrame, folder: str | None, name: str) -> DataFrame:
-    """df written below folder and read again; df itself where there is no folder."""
-    if not folder:
-        return df
+def workspace(spark: SparkSession) -> str:
+    """A new folder below the one that driver and executors share (spark.checkpoint.dir); a temporary one where that is unset (tests)."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = f"file://{tempfile.mkdtemp(prefix='seaswath-')}"
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/tiles-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """df written below folder and read again: later stages read it more than once."""
     df.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/{name}")
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
@@ -62,9 +71,9 @@ def find_bottom(gained: DataFrame, p: Params, width: int | None = None) -> DataF
     return found
 
 
-def flat_gray(gained: DataFrame, found: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
+def flat_gray(gained: DataFrame, found: DataFrame, p: Params, folder: str) -> tuple[DataFrame, DataFrame]:
     """(ground-range rows, the same with gray)."""
-    flat = slant.correct(gained, found, p.bottom_offset)
+    flat = stored(slant.correct(gained, found, p.bottom_offset), folder, "flat")
     return flat, gain.enhanced(flat, p.gray_enhance_method, ratio=p.ratio, prob_thred=p.prob_thred, gaussian_kernel=p.gaussian_kernel, gain=p.gain, alpha=p.alpha)
 
 
@@ -80,10 +89,12 @@ def geocoded(gray: DataFrame, track: DataFrame, p: Params, fill: bool = True) ->
 
 def build(pings: DataFrame, p: Params, folder: str | None = None) -> Tile:
     """All stages of tile construction over downsampled pings of any number of lines."""
+    folder = folder or workspace(pings.sparkSession)
+    pings = stored(pings, folder, "input")
     track = stored(navigation.prepared_track(pings.drop("bs"), p.fish_trajectory_smooth_type, p.track_s, p.geo_epsg, p.proj_epsg), folder, "track")
     gained = stored(tvg(pings.select(LINE, "ping", "bs"), p), folder, "tvg")
     found = stored(find_bottom(gained, p), folder, "bottom")
-    flat, gray = flat_gray(gained.withColumn("slant_width", F.size("bs")), found, p)
+    flat, gray = flat_gray(gained.withColumn("slant_width", F.size("bs")), found, p, folder)
     gray = stored(gray, folder, "gray")
     pixels, meta = geocoded(gray, track, p)
     return Tile(pings, track, found, flat, gray, stored(pixels, folder, "pixels"), stored(meta, folder, "tile_meta"))
