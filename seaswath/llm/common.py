@@ -38,7 +38,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = 512, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = 512, size: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds few rows and a bounded number of bytes of a string column (one row at least)."""
     for batch in batches:
         lengths = [n or 0 for n in pc.binary_length(batch.column(column)).to_pylist()]
