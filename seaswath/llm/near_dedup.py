@@ -13,7 +13,10 @@ into BANDS of ROWS places; documents that share a band are candidates: all pairs
 in a larger one each member with the least and the greatest, so that pairs grow with members, not their
 square. Candidates are verified by exact multiset overlap, and linked ones of THRESHOLD or more form
 groups (connected components). Members of a larger bucket that are then still in several groups meet
-HUBS more of its members each, those of other groups. The document of the smallest id of a group is kept.
+HUBS more of its members each, those of other groups; buckets that even so hold several groups are compared
+whole, block against block of at most BLOCK documents or so, of which only links between groups come out.
+So every pair that shares a bucket is either compared or already in one group. The document of the smallest
+id of a group is kept.
 
 Null, empty and wordless texts are never duplicates. A null doc_id is left out of comparison and kept.
 Rows that repeat a doc_id are one document, by their least text. Empty tables give no rows.
@@ -34,7 +37,7 @@ from seaswath.llm.common import slices, table, texts_of, written
 from seaswath.llm.components import components
 from seaswath.llm.words import hashed_words, mixed, runs
 
-SHINGLE, THRESHOLD, BANDS, ROWS, SMALL, HUBS = 5, 0.8, 25, 5, 12, 6
+SHINGLE, THRESHOLD, BANDS, ROWS, SMALL, HUBS, BLOCK, STRIPE = 5, 0.8, 25, 5, 12, 6, 128, 4096
 PLACES = BANDS * ROWS
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -144,13 +147,18 @@ def candidates(held: DataFrame) -> DataFrame:
     return ordered(pairs.unionByName(inside))
 
 
-def open_candidates(held: DataFrame, joined: DataFrame) -> DataFrame:
-    """For the larger buckets whose members the links so far leave in several groups: members with HUBS of their bucket, of other groups."""
-    large = held.where(F.col("n") > SMALL).select("key", "id").join(joined, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+def open_buckets(held: DataFrame, joined: DataFrame) -> DataFrame:
+    """key, n, id, component: the members of the larger buckets that the links so far leave in several groups."""
+    large = held.where(F.col("n") > SMALL).select("key", "n", "id").join(joined, "id", "left").select("key", "n", "id", F.coalesce("component", "id").alias("component"))
+    apart = large.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+    return written(large.join(apart, "key"), "open-buckets")
+
+
+def open_candidates(members: DataFrame) -> DataFrame:
+    """Members of open buckets with HUBS of their bucket, of other groups."""
     ranked = [F.min(F.struct(F.xxhash64("id", F.lit(i)).alias("h"), "id", "component")).alias(f"h{i}") for i in range(HUBS)]
-    apart = large.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), *ranked).where("low < high")
     hubs = F.array_distinct(F.array(*(F.struct(f"h{i}.id", f"h{i}.component") for i in range(HUBS))))
-    met = large.join(apart.select("key", hubs.alias("hubs")), "key")
+    met = members.join(members.groupBy("key").agg(*ranked).select("key", hubs.alias("hubs")), "key")
     others = met.select("id", F.explode(F.filter("hubs", lambda hub: hub["component"] != F.col("component"))).alias("hub"))
     return ordered(others.select(F.col("hub.id").alias("x"), F.col("id").alias("y")))
 
@@ -161,6 +169,47 @@ def verified(pairs: DataFrame, text: DataFrame) -> DataFrame:
     return near.select("a", "b", similarity("text_a", "text_b").alias("s")).where(F.col("s") >= THRESHOLD).select("a", "b")
 
 
+def overlaps(texts: list[str]) -> np.ndarray:
+    """Exact overlap of the multisets of shingles of each two texts, STRIPE distinct shingles at a time."""
+    text, shingle, count = multisets(texts)
+    total = np.bincount(text, count, len(texts))
+    _, column = np.unique(shingle, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    text, column, count = text[order], column[order], count[order]
+    shared = np.zeros((len(texts), len(texts)))
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, STRIPE):
+        a, b = np.searchsorted(column, [first, first + STRIPE])
+        counts = np.zeros((len(texts), STRIPE), np.float32)
+        counts[text[a:b], column[a:b] - first] = count[a:b]
+        level = 0
+        while counts.shape[1]:  # the least of two counts is the number of levels both are above
+            counts = counts[:, (counts > level).any(0)]
+            left = (counts > level).astype(np.float32)
+            shared += left @ left.T
+            level += 1
+    return shared / np.maximum(total[:, None] + total[None, :] - shared, 1)
+
+
+def remaining_links(members: DataFrame, text: DataFrame) -> DataFrame:
+    """a, b: links between different groups in open buckets, one for each two groups of two blocks."""
+    # Each bucket of a kind once: the bands of a family of texts often hold the same members.
+    marks = members.groupBy("key", "n").agg(F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("mark")).groupBy("n", "mark").agg(F.min("key").alias("key")).select("key")
+    parts = F.ceil(F.col("n") / BLOCK).cast("long")
+    dealt = members.join(marks, "key").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    blocks = met.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "component").join(text, "id")
+
+    def compare(key, group: pd.DataFrame) -> pd.DataFrame:
+        ids, component, part = (group[c].to_numpy() for c in ("id", "component", "part"))
+        near = (overlaps(list(group["text"])) >= THRESHOLD) & (component[:, None] < component[None, :])
+        if key[1] != key[2]:
+            near &= part[:, None] != part[None, :]
+        found = {(component[x], component[y]): (max(ids[x], ids[y]), min(ids[x], ids[y])) for x, y in zip(*np.nonzero(near), strict=True)}
+        return pd.DataFrame(sorted(found.values()), columns=["a", "b"]).astype("int64")
+
+    return blocks.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
+
+
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, class_id: of every document with a word, the smallest id of its group."""
     texts = docs.select("doc_id", "text")
@@ -170,9 +219,14 @@ def groups(docs: DataFrame) -> DataFrame:
     text = texts.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), "text")
     links = written(verified(candidates(held), text), "near-links")
     joined = components(links)
-    more = written(verified(open_candidates(held, joined), text), "more-links")
-    if more.limit(1).count():
-        joined = components(links.unionByName(more))
+    for missing in (lambda members: verified(open_candidates(members), text), lambda members: remaining_links(members, text)):
+        members = open_buckets(held, joined)
+        if not members.limit(1).count():
+            break
+        more = written(missing(members), "more-links")
+        if more.limit(1).count():
+            links = links.unionByName(more)
+            joined = components(links)
     joined = joined.withColumnRenamed("id", "first")
     members = sketches.select("id", "c1", "c2").join(classes.select("c1", "c2", F.col("id").alias("first")), ["c1", "c2"])
     return members.join(joined, "first", "left").groupBy(F.col("id").alias("doc_id")).agg(F.min(F.coalesce("component", "first")).alias("class_id"))

@@ -203,6 +203,25 @@ def test_large_buckets(spark):
     assert got.class_id.tolist() == (got.doc_id // 100 * 100).tolist()
 
 
+def test_families_of_near_misses(spark):
+    """Two hundred texts of one family, each two just below the threshold, and a few near pairs: groups equal brute force."""
+    rng, words = np.random.default_rng(5), LONG.split()[:300]
+    texts = []
+    for i in range(200):
+        mine = list(words)
+        for place in rng.choice(300, 5, replace=False):
+            mine[place] = f"own{i}x{place}"
+        texts.append(" ".join(mine))
+    texts += [f"{t} more {i}" for i, t in enumerate(texts[:20])]
+    texts += ["na " * 3000 + t for t in texts[:3]]
+    bags = [shingles(t) for t in texts]
+    near = near_dedup.overlaps(texts)
+    assert all(abs(near[i, j] - overlap(bags[i], bags[j])) < 1e-9 for i in range(0, len(texts), 9) for j in range(len(texts)))
+    want = roots(len(texts), [(i, j) for i in range(len(bags)) for j in range(i) if near[i, j] >= near_dedup.THRESHOLD])
+    got = near_dedup.classify(spark.createDataFrame([(i, t, "en", "s", 1, "w", "l") for i, t in enumerate(texts)], DOCS)).toPandas().sort_values("doc_id")
+    assert got.class_id.tolist() == want
+
+
 def test_weighted_signatures():
     a, b = "one two three four five six seven " * 40 + LONG, "one two three four five six seven " * 20 + LONG
     text, shingle, count = near_dedup.multisets([a, b])
