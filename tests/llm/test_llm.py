@@ -244,6 +244,37 @@ def test_substring_dedup(spark, odd, none):
     assert substring_dedup.repeats(none).count() == 0 and substring_dedup.deduplicated(odd).count() >= len(ODD) - 1
 
 
+def own(name, n):
+    return [f"{name}{i}" for i in range(n)]
+
+
+def test_passages_around_own_words(spark):
+    a, b = own("first", 200), own("second", 200)
+    rows, want = [], {}
+    for i, (n, gap) in enumerate([(60, 40), (60, 100), (100, 100), (200, 600)]):
+        one, two = [w + f"of{i}" for w in a[:n]], [w + f"of{i}" for w in b[:n]]
+        rows += [(2 * i, " ".join(one + own(f"early{i}x", gap) + two)), (2 * i + 1, " ".join(one + own(f"late{i}x", gap) + two))]
+        want[2 * i + 1] = [(0, n), (n + gap, 2 * n + gap)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "w", "l") for i, t in rows], DOCS)
+    assert {r.doc_id: [tuple(s) for s in r.spans] for r in substring_dedup.repeats(docs).collect()} == want
+
+
+def test_whole_runs_by_brute_force():
+    rng, least, edge = np.random.default_rng(5), 16, substring_dedup.EDGE
+    for share in (0.3, 0.7, 0.8, 0.9):
+        flags = rng.random(120) < np.repeat(rng.choice([share, 0.1], 6), 20)
+        want = np.zeros(120, bool)
+        for a in range(120):
+            for b in range(a + least, 121):
+                f = flags[a:b]
+                if f[0] and f[-1] and f.mean() >= substring_dedup.AGREE - 1e-6 and 2 * f[:edge].sum() >= edge and 2 * f[-edge:].sum() >= edge:
+                    want[a:b] = True
+        got = np.zeros(120, bool)
+        for a, b in substring_dedup.whole(flags, least):
+            got[a:b] = True
+        assert (got == want).all()
+
+
 def test_chains_by_brute_force():
     rng = np.random.default_rng(4)
     x, y = np.sort(rng.choice(400, 40, replace=False)), rng.choice(400, 40, replace=False)
