@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -275,6 +276,29 @@ def test_whole_runs_by_brute_force():
         assert (got == want).all()
 
 
+def test_passages_that_stand_twice(spark):
+    p, q = own("p", 60), own("q", 60)
+    texts = [own("a", 30) + p, own("b", 30) + p + own("c", 40) + p, q[20:40] + own("d", 30) + q, own("e", 30) + q]
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", 1, "w", "l") for i, t in enumerate(texts)], DOCS)
+    found = {r.doc_id: [tuple(s) for s in r.spans] for r in substring_dedup.repeats(docs).collect()}
+    assert found == {1: [(30, 90), (130, 190)], 3: [(30, 90)]}
+
+
+def test_pairs_by_brute_force():
+    rng = np.random.default_rng(6)
+    rows = sorted({(int(s), int(d), int(p)) for s, d, p in zip(rng.integers(0, 12, 400), rng.integers(0, 9, 400), rng.integers(0, 99, 400), strict=True)})
+    want = Counter()
+    for s in {r[0] for r in rows}:
+        anchor = min(d for t, d, _ in rows if t == s)
+        there = [p for t, d, p in rows if (t, d) == (s, anchor)]
+        for doc in {d for t, d, _ in rows if t == s} - {anchor}:
+            for turn, place in enumerate([p for t, d, p in rows if (t, d) == (s, doc)]):
+                want.update({(doc, anchor, place, there[(turn + k) % len(there)]) for k in (0, 1)} if len(there) > 1 else [(doc, anchor, place, there[0])])
+    for size in (1, 7, 1000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + size], strict=True)], ["seed", "doc_id", "place"]) for i in range(0, len(rows), size)]
+        assert Counter(tuple(r.values()) for b in substring_dedup.paired(iter(batches)) for r in b.to_pylist()) == want
+
+
 def test_chains_by_brute_force():
     rng = np.random.default_rng(4)
     x, y = np.sort(rng.choice(400, 40, replace=False)), rng.choice(400, 40, replace=False)
