@@ -299,6 +299,21 @@ def test_pairs_by_brute_force():
         assert Counter(tuple(r.values()) for b in substring_dedup.paired(iter(batches)) for r in b.to_pylist()) == want
 
 
+def test_edited_passages(spark):
+    rng, rows, want = np.random.default_rng(8), [], {}
+    for i, (n, share) in enumerate([(n, share) for n in (52, 60, 80) for share in (0.1, 0.125, 0.15, 0.18) for _ in range(8)]):
+        passage = own(f"p{i}x", n)
+        flags = np.ones(n, bool)
+        flags[np.arange(7, n, 8) if share == 0.125 else rng.choice(n, int(n * share), replace=False)] = False
+        edited = [w if f else w + "changed" for w, f in zip(passage, flags, strict=True)]
+        rows += [(2 * i, own(f"a{i}x", 70) + passage + own(f"b{i}x", 20)), (2 * i + 1, own(f"c{i}x", 30) + edited + own(f"d{i}x", 90))]
+        want[2 * i + 1] = [(30 + a, 30 + b) for a, b in substring_dedup.whole(flags, substring_dedup.LEAST)]
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", 1, "w", "l") for i, t in rows], DOCS)
+    found = {r.doc_id: [tuple(s) for s in r.spans] for r in substring_dedup.repeats(docs).collect()}
+    want = {i: spans for i, spans in want.items() if spans}
+    assert len(want) > 80 and sum(found.get(i) == spans for i, spans in want.items()) >= 0.95 * len(want) and set(found) <= set(want)
+
+
 def test_chains_by_brute_force():
     rng = np.random.default_rng(4)
     x, y = np.sort(rng.choice(400, 40, replace=False)), rng.choice(400, 40, replace=False)
