@@ -1,12 +1,13 @@
-"""5. Approximate nearest neighbours by additive quantisation.
+"""5. Nearest neighbours by additive quantisation.
 
 A vector is approximated by the sum of one word from each of CODEBOOKS full-dimensional codebooks, fitted
 to residuals of a bounded sample and chosen by beam search; its code is stored. A query's inner products
 with all codewords make a lookup table, and the sum of the table's entries at a vector's codes scores it.
 For inner products the scores need no norms; the stored norm of the approximation serves Euclidean search.
-The RERANK best codes of each query are scored again on original vectors in double precision. Rows are
-dealt into blocks by hash, so that a block holds its share of these: it gives that many and six deviations
-more, which leaves out one of the RERANK best only by an unlikelihood of about one in a billion.
+Each code's error (the distance of its approximation) is stored too: a product is at most the code's score
+and the query's norm times that error. Each block rescores its share of RERANK rows of the highest such bounds
+on original vectors in double precision, then all rows whose bound reaches the last one found, so that the
+result is exact. Equal vectors are searched as one row and give their ids, in order, afterwards.
 
 Every row is indexed. Queries and rows are dealt into blocks; a task holds a block of rows and meets the
 queries block by block, keeping each query's best. Vectors null, of zero length, or with null or
@@ -24,7 +25,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
 
 from seaswath.llm.common import table, written
 
@@ -65,6 +65,10 @@ class Codebooks:
         codes, left = codes[rows[:, 0], pick], left[rows[:, 0], pick]
         return codes, ((x - left) ** 2).sum(1)
 
+    def decode(self, codes: np.ndarray) -> np.ndarray:
+        """The approximations."""
+        return sum(book[codes[:, m]] for m, book in enumerate(self.words))
+
     def tables(self, q: np.ndarray) -> np.ndarray:
         """queries x codebooks x words: inner products with every codeword."""
         return np.einsum("qd,mkd->qmk", q, self.words, optimize=True).astype(np.float32)
@@ -105,50 +109,71 @@ def search(df: DataFrame, every: int = EVERY, top: int = TOP, rerank: int = RERA
     rows = rows.where(F.size("v") == size)
     model = spark.sparkContext.broadcast(books)
 
-    @F.pandas_udf(BinaryType())
-    def code(vectors: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("code binary, error double")
+    def code(vectors: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for series in vectors:
-            parts = [model.value.encode(np.stack(series.iloc[i : i + 512].to_numpy()))[0] for i in range(0, len(series), 512)]
-            yield pd.Series([c.tobytes() for part in parts for c in part], dtype=object)
-
+            codes, errors = [], []
+            for i in range(0, len(series), 512):
+                x = np.stack(series.iloc[i : i + 512].to_numpy())
+                found = model.value.encode(x)[0]
+                codes += [c.tobytes() for c in found]
+                errors.append(np.linalg.norm(x - model.value.decode(found), axis=1))
+            yield pd.DataFrame({"code": pd.Series(codes, dtype=object), "error": np.concatenate([*errors, np.zeros(0)])})
+
+    # A row for each distinct vector, with the ids of its first top + 1 copies (each as often as it repeats, top times at most).
+    copies = rows.groupBy("v", "vec_id").agg(F.least(F.count(F.lit(1)), F.lit(top)).cast("int").alias("n"))
+    copies = copies.withColumn("_r", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("_r") <= top + 1)
+    distinct = copies.groupBy("v").agg(F.array_sort(F.collect_list(F.struct("vec_id", "n"))).alias("c"))
+    distinct = distinct.select("v", F.flatten(F.transform("c", lambda c: F.array_repeat(c["vec_id"], c["n"]))).alias("ids"))
     # Stored, since the query blocks read them again: vectors with their codes.
-    stored = written(rows.withColumn("code", code("v")), "additive-codes")
+    stored = written(distinct.withColumn("code", code("v")).select("v", "ids", "code.*"), "additive-codes")
     n = stored.count()
-    blocks, waves = max(1, -(-n // ROW_BLOCK)), max(1, -(-n // every // QUERY_BLOCK))
-    place = lambda parts: F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int")
-    items = stored.select(place(blocks).alias("block"), "vec_id", "code")
-    queries = stored.where(F.col("vec_id") % every == 0).select("vec_id", "v")
-    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64("vec_id"), F.lit(waves)).cast("int").alias("wave"), F.col("vec_id").alias("query_id"), "v")
+    asking = rows.where(F.col("vec_id") % every == 0).distinct()
+    blocks, waves = max(1, -(-n // ROW_BLOCK)), max(1, -(-asking.count() // QUERY_BLOCK))
+    wave = F.pmod(F.xxhash64("vec_id"), F.lit(waves)).cast("int").alias("wave")
+    asked = asking.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), wave, F.col("vec_id").alias("query_id"), "v")
     # The rows of a block meet each wave of queries in one task: blocks x waves of bounded size.
-    held = items.select(F.explode(F.sequence(F.lit(0), F.lit(waves - 1))).alias("wave"), "block", "vec_id", "code")
-
-    share = rerank / blocks
-    quota = min(rerank, int(np.ceil(share + 6 * np.sqrt(share))) + 10)
+    block = F.pmod(F.xxhash64(F.element_at("ids", 1)), F.lit(blocks)).cast("int").alias("block")
+    held = stored.select(F.explode(F.sequence(F.lit(0), F.lit(waves - 1))).alias("wave"), block, "v", "ids", "code", "error")
+    least = max(top + 1, -(-rerank // blocks))
 
     def scored(key, asking: pd.DataFrame, holding: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})]
         if not len(asking) or not len(holding):
-            return pd.DataFrame({"query_id": [], "vec_id": []}).astype("int64")
+            return out[0]
         codes = np.frombuffer(b"".join(holding["code"]), np.uint8).reshape(len(holding), -1).T.astype(np.int64)
-        ids, qs, out = holding["vec_id"].to_numpy(), asking["query_id"].to_numpy(), []
+        vectors, error, ids = np.stack(holding["v"].to_numpy()), holding["error"].to_numpy(), [np.asarray(i) for i in holding["ids"]]
+        first, last = np.array([i[0] for i in ids]), np.array([i[-1] for i in ids])
+        rounding = 1e-5 * np.linalg.norm(model.value.words, axis=2).max(1).sum()
+        qs = asking["query_id"].to_numpy()
         for i in range(0, len(qs), 64):
-            luts = model.value.tables(np.stack(asking["v"].iloc[i : i + 64].to_numpy()))
-            for q, lut in zip(qs[i : i + 64], luts, strict=True):
-                scores = np.zeros(len(ids), np.float32)
+            asked_vectors = np.stack(asking["v"].iloc[i : i + 64].to_numpy())
+            for q, v, lut in zip(qs[i : i + 64], asked_vectors, model.value.tables(asked_vectors), strict=True):
+                best = np.zeros(len(ids), np.float64)
                 for entries, column in zip(lut, codes, strict=True):
-                    scores += entries[column]
-                scores[ids == q] = -np.inf
-                k = min(quota, len(ids))
-                best = np.argpartition(-scores, k - 1)[:k]
-                best = best[np.isfinite(scores[best])]
-                out.append(pd.DataFrame({"query_id": q, "vec_id": ids[best], "near": scores[best]}))
+                    best += entries[column]
+                best += np.linalg.norm(v) * (error + rounding)  # no row's product is above this
+                best[(first == q) & (last == q)] = -np.inf
+                k = min(least, len(ids))
+                near = np.argpartition(-best, k - 1)[:k]
+                near = near[np.isfinite(best[near])]
+                exact = (vectors[near] * v).sum(1)
+                if len(near) > top:  # all rows that may be above the last one found so far
+                    best[near] = -np.inf
+                    more = np.flatnonzero(best >= np.partition(exact, len(exact) - top - 1)[len(exact) - top - 1])
+                    near, exact = np.concatenate([near, more]), np.concatenate([exact, (vectors[more] * v).sum(1)])
+                kept = np.lexsort((first[near], -exact))[: top + 1]
+                if not len(kept):
+                    continue
+                found = np.concatenate([ids[j] for j in near[kept]])
+                score = np.repeat(exact[kept], [len(ids[j]) for j in near[kept]])
+                found, score = found[found != q], score[found != q]
+                order = np.lexsort((found, -score))[:top]
+                out.append(pd.DataFrame({"query_id": q, "vec_id": found[order], "score": score[order]}))
         return pd.concat(out)
 
-    scored_blocks = asked.groupBy("block", "wave").cogroup(held.groupBy("block", "wave")).applyInPandas(scored, "query_id long, vec_id long, near float")
-    w = F.row_number()
-    best = scored_blocks.withColumn("_r", w.over(Window.partitionBy("query_id").orderBy(F.desc("near"), "vec_id"))).where(F.col("_r") <= rerank).select("query_id", "vec_id")
-    exact = best.join(stored.select("vec_id", "v"), "vec_id").join(queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), "query_id")
-    product = F.aggregate(F.zip_with("v", "q", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    ranked = exact.select("query_id", "vec_id", product.alias("score")).withColumn("rank", w.over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+    scored_blocks = asked.groupBy("block", "wave").cogroup(held.groupBy("block", "wave")).applyInPandas(scored, "query_id long, vec_id long, score double")
+    ranked = scored_blocks.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
 
 

@@ -141,6 +141,21 @@ def test_neighbours(spark):
     assert neighbours.search(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.05])
+def test_neighbours_in_a_hot_group(spark, spread):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((6000, 16))
+    x[::3] = x[0] + rng.normal(0, spread, (2000, 16))
+    x = x.astype(np.float32)
+    got = neighbours.search(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], VECTORS), every=60).toPandas()
+    x, hits, asked = x.astype(np.float64), 0, range(0, 6000, 60)
+    for q in asked:
+        s = (x * x[q]).sum(1)
+        s[q] = -np.inf
+        hits += len(set(np.lexsort((np.arange(6000), -s))[:20]) & set(got[got.query_id == q].vec_id))
+    assert hits == 20 * len(asked) == len(got)
+
+
 def roots(n, links):
     parent = list(range(n))
 
