@@ -3,7 +3,8 @@
 A vector is approximated by the sum of one word from each of CODEBOOKS full-dimensional codebooks, fitted
 to residuals of a bounded sample and chosen by beam search; its code is stored. A query's inner products
 with all codewords make a lookup table, and the sum of the table's entries at a vector's codes scores it.
-For inner products the scores need no norms; the stored norm of the approximation serves Euclidean search.
+For inner products the scores need no norms. Euclidean search, and the norms of the approximations that it
+would need stored, are left out.
 Each code's error (the distance of its approximation) is stored too: a product is at most the code's score
 and the query's norm times that error. Each block rescores its share of RERANK rows of the highest such bounds
 on original vectors in double precision, then all rows whose bound reaches the last one found, so that the
