@@ -38,6 +38,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discarded(df: DataFrame) -> None:
+    """Delete a table made by `written` that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def one_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key (long), text: one row for each key that is not null; a key that repeats stands with its least text, null last.
+
+    Keys alone are counted first: only rows of keys that repeat are shuffled with their texts.
+    """
+    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), text)
+    again = written(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key), "repeated-keys")
+    if not again.limit(1).count():
+        return rows
+    return rows.join(again, key, "left_anti").unionByName(rows.join(again, key, "left_semi").groupBy(key).agg(F.min(text).alias(text)))
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = 512, size: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds few rows and a bounded number of bytes of a string column (one row at least)."""
     for batch in batches:
@@ -52,6 +72,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, rows: int = 512, size
             yield batch.slice(start)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"{name}_"
+    return name
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seaswath.llm.common import written
+from seaswath.llm.common import discarded, written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -33,6 +33,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # Done when all links are stars round roots: no id has two parents, no parent is a child.
         parents = after.groupBy("u").agg(F.count("*").alias("n"))
         unfinished = after.select(F.col("v").alias("u")).distinct().join(parents, "u", "left_semi").limit(1).count() or parents.where("n > 1").limit(1).count()
+        discarded(now)
         now = after
         if not unfinished:
             return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

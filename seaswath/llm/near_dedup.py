@@ -13,13 +13,16 @@ into BANDS of ROWS places; documents that share a band are candidates: all pairs
 in a larger one each member with the least and the greatest, so that pairs grow with members, not their
 square. Candidates are verified by exact multiset overlap, and linked ones of THRESHOLD or more form
 groups (connected components). Members of a larger bucket that are then still in several groups meet
-HUBS more of its members each, those of other groups; buckets that even so hold several groups are compared
-whole, block against block of at most BLOCK documents or so, of which only links between groups come out.
-So every pair that shares a bucket is either compared or already in one group. The document of the smallest
-id of a group is kept.
+HUBS more of its members each, those of other groups. What is even so open is joined exactly: shingles, numbered by
+occurrence, that documents of different groups share are ordered by rarity; a document emits only as many of the
+rarest as it can lack with any partner, and two that meet there are candidates if their numbers of shingles and the
+places at which they meet leave room for an overlap of THRESHOLD. So every pair of open members that is near
+enough is found, whatever bucket it shares, and near misses cost their rare shingles, not their square.
+The document of the smallest id of a group is kept.
 
 Null, empty and wordless texts are never duplicates. A null doc_id is left out of comparison and kept.
-Rows that repeat a doc_id are one document, by their least text. Empty tables give no rows.
+Rows that repeat a doc_id are one document, by their least text: they stay or go together. Empty tables give no
+rows. Further columns are carried and never read.
 """
 
 from __future__ import annotations
@@ -33,11 +36,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from seaswath.llm.common import slices, table, texts_of, written
+from seaswath.llm.common import discarded, one_each, slices, table, texts_of, unused, written
 from seaswath.llm.components import components
 from seaswath.llm.words import hashed_words, mixed, runs
 
-SHINGLE, THRESHOLD, BANDS, ROWS, SMALL, HUBS, BLOCK, STRIPE = 5, 0.8, 25, 5, 12, 6, 128, 4096
+SHINGLE, THRESHOLD, BANDS, ROWS, SMALL, HUBS = 5, 0.8, 25, 5, 12, 6
 PLACES = BANDS * ROWS
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -107,8 +110,8 @@ def similarity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Se
         yield pd.Series([weighted_jaccard(a, b) for a, b in zip(left, right, strict=True)], dtype="float64")
 
 
-def signed(docs: DataFrame) -> DataFrame:
-    """id, c1, c2 (a 128-bit hash of the words in order), bands: of the texts that have a word."""
+def signed(text: DataFrame) -> DataFrame:
+    """id, c1, c2 (a 128-bit hash of the words in order), bands: of the texts (id, text) that have a word."""
 
     def run(batches):
         for batch in slices(batches, "text"):
@@ -123,8 +126,7 @@ def signed(docs: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(some) + 1) * BANDS, BANDS, dtype=np.int32)), pa.array(keys[some].ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some)), pa.array(c1[some]), pa.array(c2[some]), lists], ["id", "c1", "c2", "bands"])
 
-    rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), "text")
-    return rows.mapInArrow(run, "id long, c1 long, c2 long, bands array<long>")
+    return text.mapInArrow(run, "id long, c1 long, c2 long, bands array<long>")
 
 
 def shared_buckets(bands: DataFrame) -> DataFrame:
@@ -169,67 +171,68 @@ def verified(pairs: DataFrame, text: DataFrame) -> DataFrame:
     return near.select("a", "b", similarity("text_a", "text_b").alias("s")).where(F.col("s") >= THRESHOLD).select("a", "b")
 
 
-def overlaps(texts: list[str]) -> np.ndarray:
-    """Exact overlap of the multisets of shingles of each two texts, STRIPE distinct shingles at a time."""
-    text, shingle, count = multisets(texts)
-    total = np.bincount(text, count, len(texts))
-    _, column = np.unique(shingle, return_inverse=True)
-    order = np.argsort(column, kind="stable")
-    text, column, count = text[order], column[order], count[order]
-    shared = np.zeros((len(texts), len(texts)))
-    for first in range(0, int(column[-1]) + 1 if len(column) else 0, STRIPE):
-        a, b = np.searchsorted(column, [first, first + STRIPE])
-        counts = np.zeros((len(texts), STRIPE), np.float32)
-        counts[text[a:b], column[a:b] - first] = count[a:b]
-        level = 0
-        while counts.shape[1]:  # the least of two counts is the number of levels both are above
-            counts = counts[:, (counts > level).any(0)]
-            left = (counts > level).astype(np.float32)
-            shared += left @ left.T
-            level += 1
-    return shared / np.maximum(total[:, None] + total[None, :] - shared, 1)
-
-
-def remaining_links(members: DataFrame, text: DataFrame) -> DataFrame:
-    """a, b: links between different groups in open buckets, one for each two groups of two blocks."""
-    # Each bucket of a kind once: the bands of a family of texts often hold the same members.
-    marks = members.groupBy("key", "n").agg(F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("mark")).groupBy("n", "mark").agg(F.min("key").alias("key")).select("key")
-    parts = F.ceil(F.col("n") / BLOCK).cast("long")
-    dealt = members.join(marks, "key").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    blocks = met.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "id", "component").join(text, "id")
-
-    def compare(key, group: pd.DataFrame) -> pd.DataFrame:
-        ids, component, part = (group[c].to_numpy() for c in ("id", "component", "part"))
-        near = (overlaps(list(group["text"])) >= THRESHOLD) & (component[:, None] < component[None, :])
-        if key[1] != key[2]:
-            near &= part[:, None] != part[None, :]
-        found = {(component[x], component[y]): (max(ids[x], ids[y]), min(ids[x], ids[y])) for x, y in zip(*np.nonzero(near), strict=True)}
-        return pd.DataFrame(sorted(found.values()), columns=["a", "b"]).astype("int64")
-
-    return blocks.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
+def elements(text: DataFrame) -> DataFrame:
+    """id, component, size, e: a row for each shingle of each text, occurrences numbered, with how many the text has."""
+
+    def run(batches):
+        for batch in slices(batches, "text"):
+            of, shingle, count = multisets(texts_of(batch))
+            size = np.bincount(of, count, batch.num_rows).astype(np.int64)
+            row, turn = np.repeat(np.arange(len(of)), count), np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            e = mixed(shingle[row] + turn.astype(np.uint64) * GOLDEN).view(np.int64)
+            at = pa.array(of[row])
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("component").take(at), pa.array(size[of[row]]), pa.array(e)], ["id", "component", "size", "e"])
+
+    return text.select("id", "component", "text").mapInArrow(run, "id long, component long, size long, e long")
+
+
+def prefixes(found: DataFrame) -> DataFrame:
+    """id, component, size, shared, e, place: of the elements that documents of other groups hold too, in order of rarity, those
+    of which a document must share one with any partner: it shares at least THRESHOLD of its size."""
+    held = found.groupBy("e").agg(F.count(F.lit(1)).alias("df"), F.min("component").alias("low"), F.max("component").alias("high"))
+    across = found.join(held.where("low < high").select("e", "df"), "e")
+    listed = across.groupBy("id", "component", "size").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("es")).withColumn("shared", F.size("es"))
+    needed = F.ceil(F.col("size") * F.lit(THRESHOLD) - F.lit(1e-9)).cast("int")
+    enough = listed.where(F.col("shared") >= needed).select("id", "component", "size", "shared", F.posexplode(F.slice("es", F.lit(1), F.col("shared") - needed + 1)).alias("place", "one"))
+    return enough.select("id", "component", "size", "shared", "place", F.col("one.e").alias("e"))
+
+
+def exact_candidates(members: DataFrame, text: DataFrame) -> DataFrame:
+    """a, b: all pairs of open members of different groups that may overlap by THRESHOLD."""
+    found = written(elements(members.select("id", "component").distinct().join(text, "id")), "open-elements")
+    rows = written(prefixes(found), "open-prefixes")
+    # The members of the group that holds an element most often meet others there, not each other.
+    counts = rows.groupBy("e", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("e").agg(F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("groups"))
+    top = counts.where("groups > 1").select("e", F.col("most.component").alias("top"))
+    x = rows.join(top, "e").where("component != top").select("e", "top", *(F.col(c).alias(f"x_{c}") for c in ("id", "component", "size", "shared", "place")))
+    y = rows.select("e", *(F.col(c).alias(f"y_{c}") for c in ("id", "component", "size", "shared", "place")))
+    room = F.least(F.col("x_shared") - F.col("x_place"), F.col("y_shared") - F.col("y_place"))
+    once = (F.col("y_component") == F.col("top")) | (F.col("x_id") < F.col("y_id"))
+    near = room >= (F.col("x_size") + F.col("y_size")) * F.lit(THRESHOLD / (1 + THRESHOLD)) - F.lit(1e-9)
+    return ordered(x.join(y, "e").where((F.col("x_component") != F.col("y_component")) & once & near).select(F.col("x_id").alias("x"), F.col("y_id").alias("y")))
 
 
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, class_id: of every document with a word, the smallest id of its group."""
-    texts = docs.select("doc_id", "text")
-    sketches = written(signed(texts), "bag-signatures")
+    text = one_each(docs).withColumnRenamed("doc_id", "id")
+    sketches = written(signed(text), "bag-signatures")
     classes = written(sketches.groupBy("c1", "c2").agg(F.min(F.struct("id", "bands")).alias("first")).select("c1", "c2", "first.id", "first.bands"), "word-classes")
     held = shared_buckets(classes.select(F.explode("bands").alias("key"), "id"))
-    text = texts.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), "text")
     links = written(verified(candidates(held), text), "near-links")
     joined = components(links)
-    for missing in (lambda members: verified(open_candidates(members), text), lambda members: remaining_links(members, text)):
+    for further in (lambda members: open_candidates(members), lambda members: exact_candidates(members, text)):
         members = open_buckets(held, joined)
         if not members.limit(1).count():
             break
-        more = written(missing(members), "more-links")
+        more = written(verified(further(members), text), "more-links")
+        discarded(members)
         if more.limit(1).count():
             links = links.unionByName(more)
             joined = components(links)
+    discarded(held)
     joined = joined.withColumnRenamed("id", "first")
     members = sketches.select("id", "c1", "c2").join(classes.select("c1", "c2", F.col("id").alias("first")), ["c1", "c2"])
-    return members.join(joined, "first", "left").groupBy(F.col("id").alias("doc_id")).agg(F.min(F.coalesce("component", "first")).alias("class_id"))
+    return members.join(joined, "first", "left").select(F.col("id").alias("doc_id"), F.coalesce("component", "first").alias("class_id"))
 
 
 def classify(docs: DataFrame) -> DataFrame:
@@ -240,8 +243,9 @@ def classify(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs without the documents that are near copies of one with a smaller id; all columns stay."""
-    gone = written(groups(docs).where("doc_id != class_id").select(F.col("doc_id").alias("_gone")), "near-duplicates")
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    key = unused(docs, "gone")
+    gone = written(groups(docs).where("doc_id != class_id").select(F.col("doc_id").alias(key)), "near-duplicates")
+    return docs.join(gone, F.col("doc_id") == F.col(key), "left_anti")
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

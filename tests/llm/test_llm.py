@@ -231,13 +231,38 @@ def test_families_of_near_misses(spark):
     texts += [f"{t} more {i}" for i, t in enumerate(texts[:20])]
     texts += ["na " * 3000 + t for t in texts[:3]]
     bags = [shingles(t) for t in texts]
-    near = near_dedup.overlaps(texts)
-    assert all(abs(near[i, j] - overlap(bags[i], bags[j])) < 1e-9 for i in range(0, len(texts), 9) for j in range(len(texts)))
-    want = roots(len(texts), [(i, j) for i in range(len(bags)) for j in range(i) if near[i, j] >= near_dedup.THRESHOLD])
+    want = roots(len(texts), [(i, j) for i in range(len(bags)) for j in range(i) if overlap(bags[i], bags[j]) >= near_dedup.THRESHOLD])
     got = near_dedup.classify(spark.createDataFrame([(i, t, "en", "s", 1, "w", "l") for i, t in enumerate(texts)], DOCS)).toPandas().sort_values("doc_id")
     assert got.class_id.tolist() == want
 
 
+def test_exact_candidates(spark):
+    """Of open members no pair is left out that is near enough, and near misses whose edits are their own are not compared."""
+    rng, base = np.random.default_rng(7), LONG.split()[:150]
+    texts = []
+    for edits in rng.integers(0, 9, 120):
+        mine = list(base)
+        for place in rng.choice(150, edits, replace=False):
+            mine[place] = f"own{len(texts)}x{place}" if rng.random() < 0.8 else f"shared{place}"
+        texts.append(" ".join(mine[rng.integers(0, 20) :]))
+    bags = [shingles(t) for t in texts]
+    want = {(i, j) for i in range(len(bags)) for j in range(i) if overlap(bags[i], bags[j]) >= near_dedup.THRESHOLD}
+    text = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {(r.a, r.b) for r in near_dedup.exact_candidates(text.selectExpr("id", "id AS component"), text).collect()}
+    assert want <= got and len(got) < 0.6 * 120 * 119 / 2
+
+
+def test_near_dedup_of_odd_rows(spark, none):
+    """A repeated id is one document, by its least text; null ids stay; columns of our own names are carried."""
+    a, b = " ".join(own("a", 40)), " ".join(own("b", 40))
+    rows = [(1, b), (2, a), (2, b), (3, a), (None, a), (None, None), (4, None), (5, b), (5, b)]
+    docs = spark.createDataFrame([(i, t, "x", 1, 2) for i, t in rows], "doc_id long, text string, gone string, id int, component int")
+    got = {(r.doc_id, r.class_id, r.kept) for r in near_dedup.classify(docs).collect()}
+    assert got == {(1, 1, True), (2, 2, True), (3, 2, False), (None, None, True), (4, 4, True), (5, 1, False)}
+    kept = near_dedup.deduplicated(docs)
+    assert kept.columns == docs.columns and Counter(r.doc_id for r in kept.collect()) == Counter([1, 2, 2, None, None, 4])
+
+
 def test_weighted_signatures():
     a, b = "one two three four five six seven " * 40 + LONG, "one two three four five six seven " * 20 + LONG
     text, shingle, count = near_dedup.multisets([a, b])
