@@ -12,6 +12,7 @@ from seaswath.llm.near_dedup import op7_near_dedup
 from seaswath.llm.neighbours import op5_neighbours
 from seaswath.llm.packing import op4_packing
 from seaswath.llm.quality import op2_quality
+from seaswath.llm.sql import SQL
 from seaswath.llm.substring_dedup import op10_substring_dedup
 from seaswath.llm.token_file import op6_token_file
 from seaswath.llm.toxicity import op8_toxicity
@@ -34,4 +35,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

@@ -156,6 +156,40 @@ def test_neighbours_in_a_hot_group(spark, spread):
     assert hits == 20 * len(asked) == len(got)
 
 
+def test_neighbours_of_odd_rows(spark):
+    """Repeated ids, ties, other lengths and columns of our own names: equal to brute force."""
+    rng = np.random.default_rng(3)
+    x = [(i, rng.integers(-3, 4, 4 if i % 3 else 6).astype(float).tolist()) for i in range(60)]
+    x += [(20, [1.0, 2.0, 3.0, 4.0]), (20, [1.0, 2.0, 3.0, 4.0]), (7, x[7][1]), (7, [0.0, 1.0, 0.0, 0.0]), (None, [1.0] * 4), (40, None)]
+    got = neighbours.search(spark.createDataFrame([(i, v, 1, "c") for i, v in x], "vec_id long, embedding array<double>, rank int, code string"))
+    used, want = [(i, v) for i, v in x if i is not None and v and any(v)], Counter()
+    for q, v in {(i, tuple(v)) for i, v in used if i % 20 == 0}:
+        all_of = sorted((-float(np.dot(u, v)), i) for i, u in used if i != q and len(u) == len(v))[:20]
+        want.update((q, rank + 1, i, -s) for rank, (s, i) in enumerate(all_of))
+    assert Counter(tuple(r) for r in got.collect()) == want
+
+
+def test_neighbours_are_pruned():
+    """On 20,000 vectors the lookup tables leave few rows to rescore, and the result is that of brute force."""
+    rng = np.random.default_rng(2)
+    centres = rng.standard_normal((40, 32))
+    x = centres[rng.integers(0, 40, 20_000)] + rng.normal(0, 0.8, (20_000, 32))
+    norms, units = neighbours.directions(x)
+    model = neighbours.fit(units[:4000])
+    codes = np.concatenate([model.encode(units[i : i + 1000]) for i in range(0, len(x), 1000)])
+    error = np.linalg.norm(units - model.decode(codes), axis=1)
+    block = neighbours.Block(model, pd.DataFrame({"ids": [[i] for i in range(len(x))], "code": [c.tobytes() for c in codes], "v": list(x), "norm": norms, "error": error}))
+    rescored = 0
+    for q, bound in enumerate(block.bounds(x[:64])):
+        products = x @ x[q]
+        assert (bound >= products).all()
+        products[q] = -np.inf
+        want = np.argsort(-products)[:20]
+        rescored += (bound >= products[want[-1]]).sum()
+        assert block.nearest(q, x[q], bound, 20, 64)[0].tolist() == want.tolist()
+    assert rescored < 0.05 * 64 * len(x)
+
+
 def roots(n, links):
     parent = list(range(n))
 
