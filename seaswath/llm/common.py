@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,13 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@lru_cache(maxsize=1)
+def _own_dir() -> str:
+    return f"file://{tempfile.mkdtemp(prefix='seaswath-')}"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, one of our own for a local master; a cluster must set it."""
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='seaswath-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return (found or _own_dir()).rstrip("/")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -7,8 +7,8 @@ VECTORS = """
 rows AS (
   SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
 )"""
 
 OP5_NEIGHBOURS = f"""
