@@ -373,6 +373,32 @@ def test_pairs_by_brute_force():
         assert Counter(tuple(r.values()) for b in substring_dedup.paired(iter(batches)) for r in b.to_pylist()) == want
 
 
+def test_hot_seeds_are_matched_in_their_batch():
+    """Of a seed that many documents of a batch hold only the first one's places go on; every other occurrence is matched."""
+    docs = np.repeat(np.arange(100, 150), 2)
+    seed, place = np.tile([7, 100], 50) + np.where(np.arange(100) % 2, np.arange(100), 0), np.arange(100) * 3
+    rows = [tuple(r.values()) for b in substring_dedup.occurrences(seed, docs, place) for r in b.to_pylist()]
+    done = {(d, k, p & 0xFFFFFFFF, (p >> 32) - 1) for k, d, p in rows if p >> 32}
+    assert done == {(d, 100, int(p), 0) for d, p in zip(docs[2::2].tolist(), place[2::2], strict=True)}
+    assert sorted(r for r in rows if not r[2] >> 32) == sorted([(7, 100, 0), *((int(s), int(d), int(p)) for s, d, p in zip(seed[1::2], docs[1::2], place[1::2], strict=True))])
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*sorted(rows), strict=True)], ["key", "doc_id", "place"])
+    assert {tuple(r.values()) for b in substring_dedup.paired(iter([batch])) for r in b.to_pylist()} == done
+
+
+def test_passages_of_odd_rows(spark):
+    """A passage in very many documents is cut from all but the first; a repeated id stands by its least text; names of ours are carried."""
+    p, q = own("p", 60), own("q", 60)
+    rows = [(i, " ".join(own(f"a{i}x", 10) + p + own(f"b{i}x", 10))) for i in range(200)]
+    rows += [(300, " ".join(q)), (301, " ".join(["a", *q, *own("z", 9)])), (301, "zz short"), (301, "zz short"), (None, " ".join(p)), (302, None)]
+    docs = spark.createDataFrame([(i, t, 1, "m", "c") for i, t in rows], "doc_id long, text string, spans int, mark string, cut string").repartition(3)
+    out = substring_dedup.deduplicated(docs)
+    got = out.toPandas()
+    assert out.columns == docs.columns and len(got) == len(rows)
+    texts = {i: t for i, t in zip(got.doc_id, got.text, strict=True) if i < 300}
+    assert "p30" in texts[0] and not any("p30" in texts[i] for i in range(1, 200))
+    assert sorted(got[got.doc_id == 301].text) == ["a " + " " + " ".join(own("z", 9)), "zz short", "zz short"] and " ".join(p) in set(got[got.doc_id.isna()].text)
+
+
 def test_edited_passages(spark):
     rng, rows, want = np.random.default_rng(8), [], {}
     for i, (n, share) in enumerate([(n, share) for n in (52, 60, 80) for share in (0.1, 0.125, 0.15, 0.18) for _ in range(8)]):
