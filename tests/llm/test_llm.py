@@ -102,18 +102,34 @@ def test_classifiers(spark, odd, none):
     assert {r.f.score for r in odd.select(toxicity.judge(spark, index, odd.text).alias("f")).collect()} == {0.0}
 
 
-def test_nearest_examples_are_exact():
-    rng = np.random.default_rng(3)
-    bags = [Counter(rng.choice(list("abcdefghij"), 12).tolist()) for _ in range(300)]
-    index = toxicity.Index(list(range(300)), rng.integers(0, 2, 300), bags, {c: 1.0 + i for i, c in enumerate("abcdefghij")})
-    dense = np.zeros((300, 10))
-    for i, b in enumerate(bags):
-        at, w = index.vector(b)
-        dense[i, at] = w
-    for i in range(0, 300, 17):
-        _, cosines = index.nearest(*index.vector(bags[i]), without=i)
-        want = np.sort(np.delete(dense @ dense[i], i))[::-1][: toxicity.K]
-        assert np.allclose(cosines, want)
+def test_nearest_examples_are_exact(spark, odd):
+    """The whole index equals dense cosines over all terms of the examples, with document frequencies of all documents."""
+    docs = spark.read.parquet(f"{LABELLED}/documents.parquet")
+    index = toxicity.train(docs, spark.read.parquet(f"{LABELLED}/labels.parquet"))
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    assert len(index.ids) > 250 and len(index.terms) > 10_000
+
+    def dense(text):
+        out = np.zeros(len(index.terms))
+        at, w = index.vectors([text])[0]
+        out[at] = w
+        return out
+
+    matrix = np.stack([dense(texts[i]) for i in index.ids])
+    terms, df = index.terms, Counter()
+    for text in texts.values():
+        df.update(np.unique(toxicity.bags([text], terms)[1]).tolist())
+    counted, n = toxicity.document_frequencies(docs, terms)
+    assert n == len(texts) and counted.tolist() == [df[i] for i in range(len(terms))]
+    norms = np.linalg.norm(matrix, axis=1)
+    assert np.allclose(norms[norms > 0], 1)
+    for text in [*list(texts.values())[::41], texts[index.ids[3]], "", "zzzz"]:
+        cosines = matrix @ dense(text)
+        best, got = index.nearest(*index.vectors([text])[0])
+        order = np.lexsort((index.ids, -np.round(cosines, 12)))[: toxicity.K]
+        assert index.ids[best].tolist() == index.ids[order[cosines[order] > 0]].tolist() and np.allclose(got, cosines[best])
+    found = odd.select("doc_id", toxicity.judge(spark, index, odd.text).alias("f")).orderBy("doc_id").collect()
+    assert found[0].f == found[1].f and found[0].f.example is None and found[5].f == found[6].f and len(found) == len(ODD)
 
 
 VECTORS = "vec_id long, embedding array<float>, label int"
