@@ -5,9 +5,11 @@ table of its distinct words, encodes each of them once, and joins the ids back t
 the table. Decoding joins ids to their pieces (the vocabulary: a table of fixed size) and concatenates.
 The table is per block (one Arrow batch of documents), so that no word occurrence is ever shuffled.
 
-Null and empty texts have no ids. Texts with a special token's string or with characters on which
-engines may disagree count as a single word, which the tokenizers library encodes whole. Only the key
-and the text are read: further columns cannot clash. Repeated rows give repeated results.
+Null and empty texts have no ids. Texts with a special token's string, or with a character that the JVM's Unicode
+tables do not know (the only ones on whose class engines disagree), count as a single word, which the tokenizers
+library encodes whole. Of a worker's words only those of at most LONGEST characters are remembered, REMEMBERED at most.
+Only the key and the text are read: further columns cannot clash. Repeated rows give repeated results; a very long
+text is one row of its own block. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -22,17 +24,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seaswath.llm.common import table
-from seaswath.llm.tokens import UNUSUAL, Encoder, default_path, encoder
+from seaswath.llm.tokens import Encoder, default_path, encoder
 
 #: The pre-tokenizer's pattern for Java's engine: fixed values.
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORDS_AT_ONCE = 1_500_000
-REMEMBERED = 300_000
+REMEMBERED, LONGEST = 300_000, 64
 
 
 def words_of(text: Column, special: list[str]) -> Column:
     """The words of a text, in order, as an array; a text that needs the library whole is one word."""
-    whole = text.rlike(UNUSUAL.replace("\\u", "\\u"))
+    whole = text.rlike(r"\p{Cn}")
     for s in special:
         whole = whole | F.contains(text, F.lit(s))
     return F.when(text.isNull() | (text == ""), F.array().cast("array<string>")).when(whole, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit("(?U)" + SPLIT), F.lit(0)))
@@ -45,9 +47,11 @@ class _Remembered(dict):
         self.enc = enc
 
     def __missing__(self, word: str) -> np.ndarray:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = self[word] = self.enc.encode(word)
+        ids = self.enc.encode(word)
+        if len(word) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = ids
         return ids
 
 
@@ -111,9 +115,10 @@ def decode(encoded: DataFrame, path: str | None = None, key: str = "doc_id", ids
 
     def run(batches):
         for batch in batches:
-            out = []
-            for row in batch.column(1):
-                got, _ = gather(*_piece_table(path), np.array(row.as_py() or [], np.int64))
+            out, lists = [], batch.column(1)
+            flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum([n or 0 for n in lists.value_lengths().to_pylist()])]).astype(np.int64)
+            for a, b in zip(ends, ends[1:], strict=False):
+                got, _ = gather(*_piece_table(path), flat[a:b])
                 out.append(got.tobytes().decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], [key, "text"])
 

@@ -94,5 +94,11 @@ def fold(key: str, folds: int):
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(folds))
 
 
-def n_parts(spark: SparkSession, least: int = 1) -> int:
-    return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+#: Bytes of text that a partition of documents should hold.
+PART_BYTES = 256 << 20
+
+
+def n_parts(docs: DataFrame, text: str = "text") -> int:
+    """Partitions for a shuffle of documents: the session's number, or more where these would hold over PART_BYTES of text each."""
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))

@@ -136,7 +136,7 @@ def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, end_id:
         yield made(list(packer.finish()), ids_type)
 
     keyed = docs.select("doc_id", "text", curve_key("text").alias("curve"))
-    along = keyed.repartitionByRange(n_parts(docs.sparkSession), "curve", "doc_id", F.xxhash64("text")).sortWithinPartitions("curve", "doc_id", F.xxhash64("text"))
+    along = keyed.repartitionByRange(n_parts(docs), "curve", "doc_id", F.xxhash64("text")).sortWithinPartitions("curve", "doc_id", F.xxhash64("text"))
     return along.select("doc_id", "text").mapInArrow(run, f"doc_id {key}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long")
 
 

@@ -5,7 +5,10 @@ Trees are grown on quantile bins from a bounded sample of labelled documents (SA
 lowest hash), then flattened into arrays that numpy traverses for a whole batch at a time.
 
 Null and empty texts have zero statistics and get the score the trees give those. Null labels are not
-learned from; with no usable label every score is 0.5. Repeated rows get equal scores.
+learned from; with no usable label every score is 0.5. Repeated rows get equal scores; a doc_id that repeats among
+documents is learned from by its least text, one labelled twice by its smaller label. A null doc_id is not held out.
+Equal statistics get equal scores; the best split of equal ones is the first. Very long texts are one row of their
+batch. Only doc_id, text and the label are read.
 """
 
 from __future__ import annotations
@@ -104,9 +107,9 @@ def grow(x: np.ndarray, y: np.ndarray) -> Trees:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Trees:
     """Trees learned from at most `sample` labelled documents whose fold is not 0."""
-    usable = labels.where((fold("doc_id", FOLDS) != 0) & F.col(label).isNotNull()).select("doc_id", F.col(label).alias("_label"))
+    usable = labels.where((fold("doc_id", FOLDS) != 0) & F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).alias("_label"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # bounded: `sample` rows of two numbers
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(text_statistics("text").alias("x"), "_label").toPandas()
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "_label").agg(F.min("text").alias("text")).orderBy("doc_id").select(text_statistics("text").alias("x"), "_label").toPandas()
     x = np.stack(rows["x"].to_numpy()).astype(np.float32) if len(rows) else np.zeros((0, N_FEATURES), np.float32)
     return grow(x, rows["_label"].to_numpy(np.float64))
 
@@ -127,5 +130,5 @@ def score(spark: SparkSession, trees: Trees, text: Column) -> Column:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     trees = train(docs, table(spark, sf_dir, "labels"))
-    scored = docs.select("doc_id", (fold("doc_id", FOLDS) == 0).alias("held_out"), score(spark, trees, F.col("text")).alias("score"))
+    scored = docs.select("doc_id", F.coalesce(fold("doc_id", FOLDS) == 0, F.lit(False)).alias("held_out"), score(spark, trees, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

@@ -43,7 +43,7 @@ def write_ids(docs: DataFrame, out: str, path: str | None = None, end_id: int =
             done += int(ends[-1])
 
     key = docs.schema["doc_id"].dataType.simpleString()
-    ranged = docs.select("doc_id", "text").repartitionByRange(n_parts(docs.sparkSession), "doc_id", F.xxhash64("text"))
+    ranged = docs.select("doc_id", "text").repartitionByRange(n_parts(docs), "doc_id", F.xxhash64("text"))
     ordered = ranged.sortWithinPartitions("doc_id", F.xxhash64("text"))
     ordered.mapInArrow(run, f"doc_id {key}, part int, part_start long, n_tokens long, ids array<int>").write.options(**ORC).orc(out)
 

@@ -56,6 +56,69 @@ def test_bpe(spark, odd, none, tokenizer):
     assert bpe.round_trip(none).count() == 0
 
 
+def test_bpe_splits_other_scripts(spark, tokenizer):
+    """Texts in other scripts are split into words; only characters unknown to the JVM send a text through the library whole."""
+    texts = ["Съешь же ещё этих мягких французских булок", "Η γρήγορη καφέ αλεπού 12 πηδάει", "素早い茶色の狐が 3 回", "चतुर लोमड़ी कूदी", "new \U0001fae9 and \u0870 old", "a\u0085b\u3000c\u200bd \u00a0 e  "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    words = {r.doc_id: r.w for r in docs.select("doc_id", bpe.words_of(docs.text, ["<|endoftext|>"]).alias("w")).collect()}
+    assert all(len(words[i]) > 2 for i in (0, 1, 2, 3, 5)) and all("".join(words[i]) == t for i, t in enumerate(texts))
+    for r in bpe.round_trip(docs).collect():
+        assert r.ids_sha256 == hashlib.sha256(raw(tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids)).hexdigest()
+    memory = bpe._Remembered(bpe.encoder(bpe.default_path()))
+    assert len(memory["x" * 1000]) > 1 and not memory and len(memory["word"]) and list(memory) == ["word"]
+    back = spark.createDataFrame([(1, [15496]), (2, None), (3, []), (4, [995])], "doc_id long, ids array<int>")
+    assert {r.doc_id: r.text for r in bpe.decode(back).collect()} == {1: tokenizer.decode([15496]), 2: "", 3: "", 4: tokenizer.decode([995])}
+
+
+def test_trees_by_brute_force():
+    """Flattened traversal equals a walk node by node, and the first split is the best of an exhaustive search over bins."""
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 12, (300, 5)).astype(np.float32)
+    y = ((x[:, 1] > 5) ^ (rng.random(300) < 0.1)).astype(float)
+    trees = quality.grow(x, y)
+    for row in x[::17]:
+        total = trees.base
+        for feature, edge, leaf in zip(trees.feature, trees.edge, trees.leaf, strict=True):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if row[feature[node]] > edge[node] else 1)
+            total += leaf[node - len(feature)]
+        assert np.isclose(trees.scores(row[None])[0], 1 / (1 + np.exp(-total)))
+    p = y.mean()
+    g, h = p - y, np.full(len(y), p * (1 - p))
+    gains = {}
+    for f in range(5):
+        for cut in np.unique(np.quantile(x[:, f], np.linspace(0, 1, quality.BINS)[1:-1])):
+            left = x[:, f] <= cut
+            if min(left.sum(), (~left).sum()) >= quality.LEAST:
+                gains[f, cut] = sum(g[m].sum() ** 2 / (h[m].sum() + quality.SMOOTH) for m in (left, ~left))
+    assert np.isclose(gains[trees.feature[0, 0], trees.edge[0, 0]], max(gains.values()))
+
+
+def test_language_kernel_is_the_explicit_one():
+    """The folded matrix scores as kernel values with landmarks times coefficients do; very long texts keep their language."""
+    texts = [f"{w} {i} text of some words {w}" for w in ("alpha beta", "gamma delta", "epsilon zeta") for i in range(20)]
+    langs = ["a"] * 20 + ["b"] * 20 + ["c"] * 20
+    kernel = language.fit(np.packbits(language.presence(texts), axis=1), langs, landmarks=15)
+    order = np.random.default_rng(5).permutation(60)[:15]
+    bits = language.presence(texts).astype(float)
+    gram = lambda a, b: (a @ b.T) / np.sqrt(np.outer(a.sum(1), b.sum(1)))
+    marks = bits[order]
+    values, vectors = np.linalg.eigh(gram(marks, marks))
+    root = vectors[:, values > 1e-6 * values.max()] / np.sqrt(values[values > 1e-6 * values.max()])
+    phi = gram(bits, marks) @ root
+    target = np.where(np.array(langs)[:, None] == np.array(list("abc")), 1.0, -1.0)
+    beta = np.linalg.solve(phi.T @ phi / 60 + language.RIDGE / 3 * np.eye(phi.shape[1]), phi.T @ target / 60)
+    assert np.allclose(phi @ beta, language.normed(language.presence(texts)) @ kernel.weights, atol=1e-3)
+    assert kernel.predict(["gamma delta " * 50_000, "alpha beta"])[0] == ["b", "a"]
+
+
+def test_all_languages_are_learned(spark):
+    rows = [(i, f"{'abcdefghij'[i % 10] * 5} {'klmnopqrst'[i // 10 % 10] * 5} {i}", f"l{i % 100:02}") for i in range(600)]
+    kernel = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(kernel.languages) == 100
+
+
 def test_packing(spark, odd, none, tokenizer):
     rows = packing.pack(odd).toPandas()
     for i, text in enumerate(ODD):
