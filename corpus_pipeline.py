@@ -2,7 +2,8 @@
 
 Counted as part of the subpackage seaswath.llm, whose operators the stages call. Each stage takes
 (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the last return the columns of
-documents. Null, empty and repeated rows are treated as each operator's docstring says.
+documents. Null, empty and repeated rows are treated as each operator's docstring says; further columns are
+carried, whatever their names.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seaswath.llm import language, near_dedup, packing, quality, substring_dedup
-from seaswath.llm.common import table, written
+from seaswath.llm.common import discarded, table, unused, written
 
 #: Below this share the most likely language is no better than a guess.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -27,8 +28,9 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages: those without a letter, or of no clear language, go."""
-    found = docs.withColumn("_found", language.identify(spark, language.train(docs), F.col("text")))
-    known = (F.col("_found.lang_pred") != language.UNKNOWN) & (F.col("_found.score") >= LEAST_LANGUAGE_SCORE)
+    name = unused(docs, "found")
+    found = docs.withColumn(name, language.identify(spark, language.train(docs), F.col("text")))
+    known = (F.col(f"{name}.lang_pred") != language.UNKNOWN) & (F.col(f"{name}.score") >= LEAST_LANGUAGE_SCORE)
     return found.where(known).select(*docs.columns)
 
 
@@ -62,7 +64,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn, each written as Parquet and read again as the next one's documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        before, docs = docs, written(stage(spark, docs, sf_dir), name)
+        if name != STAGES[0][0]:
+            discarded(before)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
