@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seaswath.llm.common import table
+from seaswath.llm.common import frugal, table
 from seaswath.llm.tokens import Encoder, default_path, encoder
 
 #: The pre-tokenizer's pattern for Java's engine: fixed values.
@@ -98,6 +98,7 @@ def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text:
             ids, at = encode_words(words, memory)
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.ListArray.from_arrays(pa.array(at[ends].astype(np.int32)), pa.array(ids.astype(np.int32)))], [key, "ids"])
 
+    frugal(docs.sparkSession)
     split = docs.select(F.col(key), words_of(F.col(text), list(encoder(path).special)).alias("words"))
     return split.mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, ids array<int>")
 
@@ -142,6 +143,7 @@ def round_trip(docs: DataFrame, path: str | None = None, key: str = "doc_id", te
                 decoded.append(hashlib.sha256(got.tobytes().decode("utf-8", "replace").encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(at)), pa.array(codes, pa.string()), pa.array(decoded, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
+    frugal(docs.sparkSession)
     split = docs.select(F.col(key), words_of(F.col(text), list(encoder(path).special)).alias("words"))
     return split.mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 

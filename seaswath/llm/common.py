@@ -35,9 +35,19 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Bytes that an Arrow batch may hold on its way to a Python worker.
+BATCH_BYTES = 4 << 20
+
+
+def frugal(spark: SparkSession) -> SparkSession:
+    """The session with its Arrow batches bounded by bytes, not by rows alone: texts may be very long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
+    spark = frugal(df.sparkSession)
     path = shared_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

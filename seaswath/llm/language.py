@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seaswath.llm.common import fold, slices, table, texts_of
+from seaswath.llm.common import fold, frugal, slices, table, texts_of
 
 PER_LANGUAGE, SAMPLE, LANDMARKS, FOLDS, HELD_OUT = 1000, 16_000, 256, 3, 1
 GRAMS, HASHED_BITS, RIDGE, SHARPNESS, UNKNOWN = (1, 2, 3, 4), 15, 1e-3, 6.0, "und"
@@ -51,7 +51,8 @@ def presence(texts: list[str]) -> np.ndarray:
 
 def normed(rows: np.ndarray) -> np.ndarray:
     x = rows.astype(np.float32)
-    return x / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
+    x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
+    return x
 
 
 @dataclass
@@ -114,7 +115,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPL
 
 def identify(spark: SparkSession, kernel: Kernel, text: Column) -> Column:
     """struct(lang_pred, score) of whole texts."""
-    model = spark.sparkContext.broadcast(kernel)
+    model = frugal(spark).sparkContext.broadcast(kernel)
 
     @F.pandas_udf("lang_pred string, score double")
     def identified(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from seaswath.llm.common import n_parts, slices, table, texts_of
+from seaswath.llm.common import frugal, n_parts, slices, table, texts_of
 from seaswath.llm.tokens import default_path, encoder, little_endian
 
 LENGTH, END_ID = 1024, 0
@@ -121,6 +121,7 @@ class Packer:
 def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset: one row per piece."""
     path = path or default_path()
+    frugal(docs.sparkSession)
     key = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
-from seaswath.llm.common import fold, table
+from seaswath.llm.common import fold, frugal, table
 
 SAMPLE, FOLDS, THRESHOLD = 20_000, 5, 0.3
 TREES, DEPTH, BINS, RATE, LEAST, SMOOTH = 60, 4, 64, 0.2, 20, 1.0
@@ -107,6 +107,7 @@ def grow(x: np.ndarray, y: np.ndarray) -> Trees:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Trees:
     """Trees learned from at most `sample` labelled documents whose fold is not 0."""
+    frugal(docs.sparkSession)
     usable = labels.where((fold("doc_id", FOLDS) != 0) & F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).alias("_label"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # bounded: `sample` rows of two numbers
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "_label").agg(F.min("text").alias("text")).orderBy("doc_id").select(text_statistics("text").alias("x"), "_label").toPandas()
@@ -116,7 +117,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
 
 def score(spark: SparkSession, trees: Trees, text: Column) -> Column:
     """The chance of label 1 for whole texts."""
-    model = spark.sparkContext.broadcast(trees)
+    model = frugal(spark).sparkContext.broadcast(trees)
 
     @F.pandas_udf(DoubleType())
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:

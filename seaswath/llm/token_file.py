@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seaswath.llm.common import n_parts, shared_path, slices, table, texts_of
+from seaswath.llm.common import frugal, n_parts, shared_path, slices, table, texts_of
 from seaswath.llm.tokens import default_path, encoder
 
 END_ID = 2
@@ -29,6 +29,7 @@ ORC = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "or
 def write_ids(docs: DataFrame, out: str, path: str | None = None, end_id: int = END_ID) -> None:
     """Encode every whole text, append end_id, write ORC files under out in ascending doc_id order."""
     path = path or default_path()
+    frugal(docs.sparkSession)
 
     def run(batches):
         enc, part, done = encoder(path), TaskContext.get().partitionId(), 0

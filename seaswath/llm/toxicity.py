@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seaswath.llm.common import fold, slices, table, texts_of
+from seaswath.llm.common import fold, frugal, slices, table, texts_of
 from seaswath.llm.words import hashed_words
 
 PER_LABEL, K, BLOCK, FIRST_BLOCKS, FOLDS, THRESHOLD = 2000, 12, 32, 4, 5, 0.5
@@ -150,7 +150,7 @@ def relevances(place: np.ndarray, toxic: np.ndarray, n_terms: int, n: int, n_tox
 
 def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray, int]:
     """Over all documents: how many hold each of the (sample-bounded) terms, and how many documents there are."""
-    wanted = docs.sparkSession.sparkContext.broadcast(terms)
+    wanted = frugal(docs.sparkSession).sparkContext.broadcast(terms)
 
     def run(batches):
         df, n = np.zeros(len(wanted.value), np.int64), 0
@@ -203,7 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: i
 
 def judge(spark: SparkSession, index: Index, text: Column) -> Column:
     """struct(score, example, cosine) of whole texts."""
-    model = spark.sparkContext.broadcast(index)
+    model = frugal(spark).sparkContext.broadcast(index)
 
     @F.pandas_udf("score double, example long, cosine double")
     def judged(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
