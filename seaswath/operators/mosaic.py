@@ -1,7 +1,7 @@
 """Mosaic of geocoded tiles: union extent, placement, greatest value of each cell.
 
 Tiles are sparse pixels (line, row, col, value) and one row of metadata a line. Tiles of different
-resolutions cannot be merged: the mosaic takes the first one's, as all of a run have the same.
+resolutions cannot be merged: they raise.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ def corners(meta: DataFrame) -> DataFrame:
 
 def extent(meta: DataFrame) -> DataFrame:
     """One row: ulx, uly, res, h, w, epsg of the union; no row for no tile."""
-    ends = corners(meta).join(meta.select(LINE, "res", "epsg"), LINE).agg(F.min("min_x").alias("ulx"), F.max("max_y").alias("uly"), F.max("max_x").alias("x1"), F.min("min_y").alias("y0"), F.min("res").alias("res"), F.min("epsg").alias("epsg"))
+    ends = corners(meta).join(meta.select(LINE, "res", "epsg"), LINE).agg(F.min("min_x").alias("ulx"), F.max("max_y").alias("uly"), F.max("max_x").alias("x1"), F.min("min_y").alias("y0"), F.when(F.min("res") < F.max("res"), F.raise_error("tiles of different resolutions")).otherwise(F.min("res")).alias("res"), F.min("epsg").alias("epsg"))
     size = lambda a, b: F.ceil((F.col(a) - F.col(b)) / F.col("res")).cast("int")
     return ends.where("res IS NOT NULL").select("ulx", "uly", "res", size("uly", "y0").alias("h"), size("x1", "ulx").alias("w"), "epsg")
 

@@ -50,32 +50,38 @@ def repaired(x: np.ndarray, mean_x: float, n_sample: int, factor: float, quiet:
     return out, of
 
 
-def repair(bottom: DataFrame, n_sample: int, factor: float = 0.7, quiet: float = 5.0) -> DataFrame:
-    """bottom with the humps replaced."""
+def sized(bottom: DataFrame, n_sample: int | DataFrame) -> DataFrame:
+    """line, _mean (of port_x), _n: the width of the line's rows, given as a number for all or as line, n_sample."""
     means = bottom.groupBy(LINE).agg(F.avg("port_x").alias("_mean"))
-    chunks = halo(bottom.select(LINE, "ping", "port_x", "stbd_x"), HALO, HALO).join(means, LINE)
+    if isinstance(n_sample, DataFrame):
+        return means.join(n_sample.select(LINE, F.col("n_sample").cast("int").alias("_n")), LINE)
+    return means.withColumn("_n", F.lit(n_sample))
+
+
+def repair(bottom: DataFrame, n_sample: int | DataFrame, factor: float = 0.7, quiet: float = 5.0) -> DataFrame:
+    """bottom with the humps replaced."""
+    chunks = halo(bottom.select(LINE, "ping", "port_x", "stbd_x"), HALO, HALO).join(sized(bottom, n_sample), LINE)
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("ping").reset_index(drop=True)
-        x = group["port_x"].to_numpy(np.int64)
-        new, of = repaired(x, float(group["_mean"].iloc[0]), n_sample, factor, quiet)
+        x, width = group["port_x"].to_numpy(np.int64), int(group["_n"].iloc[0])
+        new, of = repaired(x, float(group["_mean"].iloc[0]), width, factor, quiet)
         out = group[[LINE, "ping", "port_x", "stbd_x"]].copy()
         hit = of >= 0
         out["port_x"] = np.where(hit, new, x)
-        out["stbd_x"] = np.where(hit, n_sample - new, group["stbd_x"])
+        out["stbd_x"] = np.where(hit, width - new, group["stbd_x"])
         return out[group["_own"].to_numpy()]
 
     return chunks.groupBy(LINE, "_chunk").applyInPandas(run, f"{LINE} {bottom.schema[LINE].dataType.simpleString()}, ping int, port_x int, stbd_x int")
 
 
-def peaks(bottom: DataFrame, n_sample: int, factor: float = 0.7) -> DataFrame:
+def peaks(bottom: DataFrame, n_sample: int | DataFrame, factor: float = 0.7) -> DataFrame:
     """line, ping, port_x of the peaks."""
-    means = bottom.groupBy(LINE).agg(F.avg("port_x").alias("_mean"))
-    chunks = halo(bottom.select(LINE, "ping", "port_x"), HALO, HALO).join(means, LINE)
+    chunks = halo(bottom.select(LINE, "ping", "port_x"), HALO, HALO).join(sized(bottom, n_sample), LINE)
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("ping").reset_index(drop=True)
-        found = find_peaks(group["port_x"].to_numpy(np.int64), peak_height(float(group["_mean"].iloc[0]), n_sample, factor), DISTANCE, PROMINENCE)
+        found = find_peaks(group["port_x"].to_numpy(np.int64), peak_height(float(group["_mean"].iloc[0]), int(group["_n"].iloc[0]), factor), DISTANCE, PROMINENCE)
         at = group.iloc[found]
         return at[at["_own"]][[LINE, "ping", "port_x"]]
 

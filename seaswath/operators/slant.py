@@ -5,6 +5,8 @@ A depth beyond the half width counts as the half width. Null bottoms give rows o
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,17 +35,21 @@ def widths(rows: DataFrame) -> DataFrame:
     return low.select(LINE, width.alias("width"), ground(F.col("_h"), F.col("_max_port")).alias("min_port_width"), ground(F.col("_h"), F.col("_max_stbd")).alias("min_stbd_width"))
 
 
-def gathered(half: Column, xb: Column, width: Column) -> Column:
-    """half (outward) at ground distances 0 to width - 1; 0 beyond its end."""
+def gathered(at: Callable[[Column], Column], half: Column, xb: Column, width: Column) -> Column:
+    """Samples of a side at ground distances 0 to width - 1; 0 beyond its end. at(j): its sample j places from nadir, of half a row.
+
+    Samples are taken from the whole row: a half cut out inside the lambda would be copied anew for each of them.
+    """
     xb = xb.cast("double")
     source = lambda x: F.floor(F.sqrt(xb * xb + x.cast("double") * x.cast("double"))).cast("int")
-    return F.when(width > 0, F.transform(F.sequence(F.lit(0), width - 1), lambda x: F.coalesce(F.get(half, source(x)), F.lit(0.0)))).otherwise(F.array().cast("array<double>"))
+    return F.when(width > 0, F.transform(F.sequence(F.lit(0), width - 1), lambda x: F.when(source(x) < half, at(source(x))).otherwise(0.0))).otherwise(F.array().cast("array<double>"))
 
 
 def correct(pings: DataFrame, bottom: DataFrame, offset: tuple[int, int] = (2, 5)) -> DataFrame:
     """pings with bs in ground range, and the line's width, min_port_width and min_stbd_width."""
     rows = with_depths(pings, bottom, offset)
     rows = rows.join(widths(rows), LINE)  # a row for each line
-    port = gathered(arrays.port(F.col("bs")), F.col("xb_port"), F.col("width"))
-    stbd = gathered(arrays.starboard(F.col("bs")), F.col("xb_stbd"), F.col("width"))
+    h = arrays.half_width(F.col("bs"))
+    port = gathered(lambda j: F.get("bs", h - 1 - j), h, F.col("xb_port"), F.col("width"))
+    stbd = gathered(lambda j: F.get("bs", h + j), h, F.col("xb_stbd"), F.col("width"))
     return rows.withColumn("bs", arrays.joined_halves(port, stbd)).drop("xb_port", "xb_stbd", "port_x", "stbd_x")

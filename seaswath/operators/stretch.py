@@ -19,18 +19,26 @@ def samples(rows: DataFrame, column: str = "bs") -> DataFrame:
     return rows.select(LINE, F.explode(column).alias("v"))
 
 
-def tops(rows: DataFrame, column: str = "bs") -> DataFrame:
-    """line, n (samples), top (greatest one): from rows, without exploding them."""
-    return rows.groupBy(LINE).agg(F.sum(F.size(column)).alias("n"), F.max(F.array_max(column)).alias("top"))
+def counted(rows: DataFrame, column: str = "bs") -> DataFrame:
+    """line, bin, edge (the value is whole), count, most: samples by unit bins, counted map-side; a line without samples has one row of nulls.
+
+    Everything else follows from this one pass: sample numbers and greatest samples too, from a row for each gray level.
+    """
+    v, whole = F.col("v"), F.floor("v")
+    return rows.select(LINE, F.explode_outer(column).alias("v")).groupBy(LINE, whole.alias("bin"), (v == whole).alias("_edge")).agg(F.count(v).alias("count"), F.max(v).alias("most"))
+
+
+def tops(counts: DataFrame) -> DataFrame:
+    """line, n (samples), top (greatest one) from counts by bins."""
+    return counts.groupBy(LINE).agg(F.sum("count").alias("n"), F.max("most").alias("top"))
 
 
 def histogram(rows: DataFrame, column: str = "bs") -> DataFrame:
     """line, bin, count, n, top: unit bins from 0 to ceil(top) - 2, of which the last one is closed at its upper end."""
-    ends = tops(rows, column).withColumn("_end", F.ceil("top") - 1)
-    # Counted by bin of unit width first (partial sums map-side); a value at the last edge moves to the bin below it.
-    whole = F.floor("v")
-    counts = samples(rows, column).where("v >= 0").groupBy(LINE, whole.alias("bin"), (F.col("v") == whole).alias("_edge")).agg(F.count("*").alias("count"))
-    placed = counts.join(ends, LINE).where((F.col("bin") < F.col("_end")) | ((F.col("bin") == F.col("_end")) & F.col("_edge")))
+    counts = counted(rows, column)
+    ends = tops(counts).withColumn("_end", F.ceil("top") - 1)
+    # A value at the last edge moves to the bin below it.
+    placed = counts.where("bin >= 0").join(ends, LINE).where((F.col("bin") < F.col("_end")) | ((F.col("bin") == F.col("_end")) & F.col("_edge")))
     at = F.least(F.col("bin"), F.col("_end") - 1)
     return placed.where("_end > 0").groupBy(LINE, at.alias("bin")).agg(F.sum("count").alias("count"), F.first("n").alias("n"), F.first("top").alias("top"))
 
@@ -42,7 +50,7 @@ def clip_levels(rows: DataFrame, ratio: float, column: str = "bs") -> DataFrame:
     scanned = bins.withColumn("_sum", so_far)  # a row for each gray level of a line
     level = lambda share: F.min(F.when(F.col("_sum") > F.floor(F.col("n") * share), F.col("bin")))
     found = scanned.groupBy(LINE).agg(level(ratio).alias("lo"), level(1 - ratio).alias("hi"))
-    return tops(rows, column).join(found, LINE, "left").select(LINE, "n", "top", F.coalesce("lo", F.lit(0)).cast("double").alias("lo"), F.coalesce("hi", F.lit(0)).cast("double").alias("hi"))
+    return tops(counted(rows, column)).join(found, LINE, "left").select(LINE, "n", "top", F.coalesce("lo", F.lit(0)).cast("double").alias("lo"), F.coalesce("hi", F.lit(0)).cast("double").alias("hi"))
 
 
 def linear_stretch(rows: DataFrame, ratio: float = 0.02, new_min: float = 1.0, new_max: float = 255.0, column: str = "bs", out: str = "gray") -> DataFrame:

@@ -41,11 +41,11 @@ class Tile:
 
 
 def workspace(spark: SparkSession) -> str:
-    """A new folder below the one that driver and executors share (spark.checkpoint.dir); a temporary one where that is unset (tests)."""
+    """A new folder below the one that driver and executors share (spark.checkpoint.dir); a temporary one for a local master where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"file://{tempfile.mkdtemp(prefix='seaswath-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    base = base or f"file://{tempfile.mkdtemp(prefix='seaswath-')}"
     return f"{base.rstrip('/')}/tiles-{uuid.uuid4().hex}"
 
 
@@ -63,11 +63,11 @@ def tvg(pings: DataFrame, p: Params) -> DataFrame:
     return pings.withColumn("bs", acoustics.tvg(F.col("bs"), p.slant_range, p.lambd, alpha(p)))
 
 
-def find_bottom(gained: DataFrame, p: Params, width: int | None = None) -> DataFrame:
+def find_bottom(gained: DataFrame, p: Params) -> DataFrame:
     found = bottom.detect(gained, p.gradient_thred_factor, p.win_h, p.compat)
     if p.use_ab_line_correction:
-        width = width or gained.agg(F.max(F.size("bs"))).first()[0] or 0  # one number
-        found = bottom.smoothed(repair.repair(found, width, p.peak_factor, p.valley_std))
+        widths = gained.groupBy(LINE).agg(F.max(F.size("bs")).alias("n_sample"))  # a row for each line
+        found = bottom.smoothed(repair.repair(found, widths, p.peak_factor, p.valley_std))
     return found
 
 
