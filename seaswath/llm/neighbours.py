@@ -27,7 +27,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seaswath.llm.common import table, written
@@ -36,12 +36,16 @@ CODEBOOKS, WORDS, BEAM, SAMPLE, ROUNDS = 48, 256, 4, 8192, 4
 EVERY, TOP, RERANK, ROW_BLOCK, QUERY_BLOCK, AT_ONCE = 20, 20, 64, 8192, 1024, 64
 
 
+def takes_part(key: Column, vector: Column) -> Column:
+    """Whether a row has a key and a vector of finite components, not all zero."""
+    v = vector.cast("array<double>")
+    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.coalesce(key.isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0), F.lit(False))
+
+
 def usable(df: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """key and vector (array of double) of the rows that take part."""
-    v = F.col("_v")
-    rows = df.select(F.col(key), F.col(vector).cast("array<double>").alias("_v"))
-    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    return rows.where(v.isNotNull() & F.col(key).isNotNull() & finite & F.exists(v, lambda x: x != 0)).select(key, v.alias(vector))
+    return df.where(takes_part(F.col(key), F.col(vector))).select(F.col(key), F.col(vector).cast("array<double>").alias(vector))
 
 
 def matrix(column: pa.Array) -> np.ndarray:

@@ -5,11 +5,17 @@ SPILL of a plane go to both sides. The upper splits are fitted to a bounded samp
 to groups; each group splits on by itself, until a leaf is small or no plane parts it without spilling
 most of it (a tight cluster stays whole). Within leaves vectors are compared exactly, and each is joined
 to neighbours by a spanning set of links, never by all pairs. Connected components follow. All links lie
-within a component, so that links are then counted exactly component by component, block against block.
+within a component, so that links are then counted exactly component by component.
+
+A group or component too large for one task is laid in rings by the angle to its mean. Two vectors whose
+angles add up to less than the threshold's are linked, and two whose angles differ by more are not: only
+the other pairs of rings are compared, block against block. A tight cluster thus costs no comparison,
+however large; one whose members lie all about the threshold costs the square of its size.
 
 Vectors null, zero or with null or non-finite components link with nothing and are their own component.
-Vectors of different lengths never link. A repeated vec_id counts as one vector for each row. Links are
-those of cosine >= THRESHOLD in double precision.
+Vectors of different lengths never link. Every row is a vector of its own, also where a vec_id repeats.
+Rows without a vec_id get n_links 0 and no component. Links are those of cosine >= THRESHOLD in double
+precision.
 """
 
 from __future__ import annotations
@@ -17,14 +23,16 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seaswath.llm.common import table, written
 from seaswath.llm.components import components
-from seaswath.llm.neighbours import matrix, usable
+from seaswath.llm.neighbours import matrix, takes_part, usable
 
 THRESHOLD, TREES, SPILL, LEAF, GROUP, SAMPLE, BLOCK = 0.95, 10, 0.025, 128, 2048, 4096, 1024
+#: A group of more vectors is not split further in one task; rings to the threshold's angle.
+LARGE, RINGS = 8192, 64
 
 
 class Router:
@@ -98,25 +106,112 @@ def spanning(x: np.ndarray, rows: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+
+def settled(ring: Column, other: Column) -> Column:
+    """Whether all vectors of two rings are linked, with a ring to spare for rounding. Ring -1 is a whole small group."""
+    return (ring >= 0) & (other >= 0) & (ring + other + 3 <= RINGS)
+
+
+def ringed(rows: DataFrame, group: list[str]) -> DataFrame:
+    """rows (group, id, copies, u) with ring, part, against (blocks to compare with: ring, part), sure (copies in settled rings) and lead (an id of the innermost ring, linked to the row) or null.
+
+    Groups of at most BLOCK rows are one block. A group has some RINGS * 10 rings at most.
+    """
+    large = rows.groupBy(*group).agg(F.count("*").alias("_n")).where(F.col("_n") > BLOCK).select(*group)
+    means = rows.join(large, group, "left_semi").select(*group, F.posexplode("u").alias("k", "x")).groupBy(*group, "k").agg(F.avg("x").alias("x"))
+    centres = means.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("_c")).select(*group, F.col("_c.x").alias("_c"))
+    # Any direction serves where the mean has none.
+    c, length = F.col("_c"), F.sqrt(dot(F.col("_c"), F.col("_c")))
+    centres = written(centres.select(*group, F.when(length > 1e-9, F.transform(c, lambda x: x / length)).otherwise(F.transform(c, lambda x: 1 / F.sqrt(F.size(c)))).alias("_c")), "vector-centres")
+    angle = F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), dot(F.col("u"), F.col("_c")))))
+    ring = F.when(F.col("_c").isNull(), F.lit(-1)).otherwise(F.floor(angle * RINGS / float(np.arccos(THRESHOLD))))
+    placed = written(rows.join(centres, group, "left").withColumn("ring", ring.cast("long")).drop("_c"), "vector-rings")
+    each = placed.groupBy(*group, "ring").agg(F.ceil(F.count("*") / BLOCK).alias("parts"), F.sum("copies").alias("copies"), F.min("id").alias("first"))
+    whole = each.groupBy(*group).agg(F.collect_list(F.struct("ring", "parts", "copies")).alias("_all"), F.min_by("first", "ring").alias("_lead"), F.min("ring").alias("_inner"))
+    ring = F.col("ring")
+    close = lambda b: ~settled(ring, b.ring) & (F.abs(ring - b.ring) <= RINGS + 2)
+    blocks = lambda b: F.transform(F.sequence(F.lit(0).cast("long"), b.parts - 1), lambda q: F.struct(b.ring.alias("ring"), q.alias("part")))
+    plan = each.join(whole, group).select(
+        *group,
+        "ring",
+        "parts",
+        F.flatten(F.transform(F.filter("_all", close), blocks)).alias("against"),
+        F.aggregate(F.filter("_all", lambda b: settled(ring, b.ring)), F.lit(0).cast("long"), lambda s, b: s + b.copies).alias("sure"),
+        F.when(settled(ring, F.col("_inner")), F.col("_lead")).alias("lead"),
+    )
+    return placed.join(plan, [*group, "ring"]).withColumn("part", F.pmod(F.xxhash64("id"), "parts")).drop("parts")
+
+
+def faced(rows: DataFrame, group: list[str], kernel, schema: str, once: bool = False) -> DataFrame:
+    """kernel over each two blocks that have to be compared; `once`: not the other way about too."""
+    keys = [*group, "ring", "part", "ring2", "part2"]
+    left = rows.withColumn("_b", F.explode("against")).select(*group, "ring", "part", F.col("_b.ring").alias("ring2"), F.col("_b.part").alias("part2"), "id", "copies", "u")
+    right = left.select(*group, F.col("ring2").alias("ring"), F.col("part2").alias("part"), F.col("ring").alias("ring2"), F.col("part").alias("part2"), "id", "copies", "u")
+    if once:
+        forward = (F.col("ring") < F.col("ring2")) | ((F.col("ring") == F.col("ring2")) & (F.col("part") <= F.col("part2")))
+        left, right = left.where(forward), right.where(forward)
+    left, right = left.toDF(*left.columns), right.toDF(*right.columns)  # columns of their own, though of one table
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(kernel, schema)
+
+
+def counted_links(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    if not len(a) or not len(b):
+        return pd.DataFrame({"id": [], "n": []}).astype("int64")
+    near = np.stack(a["u"].to_numpy()) @ np.stack(b["u"].to_numpy()).T >= THRESHOLD
+    near &= a["id"].to_numpy()[:, None] != b["id"].to_numpy()[None, :]
+    return pd.DataFrame({"id": a["id"].to_numpy(), "n": near @ b["copies"].to_numpy()})
+
+
+def spanning_links(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    both = pd.concat([a, b]).drop_duplicates("id")
+    ids, found = both["id"].to_numpy(), spanning(np.stack(both["u"].to_numpy()), np.arange(len(both))) if len(both) else []
+    return pd.DataFrame([(ids[i], ids[j]) for i, j in found], columns=["a", "b"]).astype("int64")
+
+
 def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept: one row for each row of df."""
     spark = df.sparkSession
     unit = lambda v: F.transform(v, lambda x: x / F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, y: s + y * y)))
     rows = usable(df, key, vector).select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("v"))
-    classes = written(rows.groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")).select("id", "copies", "v", unit(F.col("v")).alias("u")), "vector-classes")
+    # Classes are named by a number of their own, since a vec_id may repeat; written once, it stays.
+    classes = rows.groupBy("v").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+    classes = written(classes.select(F.monotonically_increasing_id().alias("id"), "least", "copies", "v", unit(F.col("v")).alias("u")), "vector-classes")
     member = written(rows.join(classes.select("v", "id", "copies"), "v").select("vec_id", "id", "copies"), "vector-members")
     n = classes.count()
-    sample = [r[0] for r in classes.orderBy(F.xxhash64("id")).select("u").limit(SAMPLE).collect()]  # a fixed bound
-    size = int(np.bincount([len(v) for v in sample]).argmax()) if sample else 1
-    depth = max(0, int(np.ceil(np.log2(max(1, n) / GROUP))))
-    routers = spark.sparkContext.broadcast([Router(np.array([v for v in sample if len(v) == size]).reshape(-1, size), depth, t) for t in range(TREES)])
+    sample = [r[0] for r in classes.orderBy(F.xxhash64("v"), "v").select("u").limit(SAMPLE).collect()]  # a fixed bound
+    fitted = {}
+    for size in sorted({len(v) for v in sample}):
+        x = np.array([v for v in sample if len(v) == size])
+        depth = max(0, int(np.ceil(np.log2(max(1, n * len(x) / len(sample)) / GROUP))))
+        fitted[size] = [Router(x, depth, t) for t in range(TREES)]
+    routers = spark.sparkContext.broadcast(fitted)
+
+    def ways(batch: pa.RecordBatch):
+        """(length, tree, node, places) of a batch; vectors of a length that the sample lacks are one node."""
+        sizes = batch.column(1).value_lengths().to_numpy()
+        for size in np.unique(sizes).tolist():
+            at = np.flatnonzero(sizes == size)
+            if size not in routers.value:
+                yield size, 0, 1, at
+                continue
+            x = matrix(batch.column(1).take(pa.array(at)))
+            for tree, router in enumerate(routers.value[size]):
+                for node, some in router.groups(x):
+                    yield size, tree, node, at[some]
+
+    def numbers(batches):
+        for batch in batches:
+            found = [(size, tree, node, len(at)) for size, tree, node, at in ways(batch)]
+            yield pa.RecordBatch.from_pylist([dict(zip(("size", "tree", "node", "n"), f, strict=True)) for f in found], pa.schema([("size", pa.int32()), ("tree", pa.int32()), ("node", pa.int64()), ("n", pa.int64())]))
 
     def route(batches):
         for batch in batches:
-            x, ids = matrix(batch.column(1)), batch.column(0).to_numpy()
-            for tree, router in enumerate(routers.value):
-                for node, at in router.groups(x):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), tree, np.int32)), pa.array(np.full(len(at), node)), pa.array(ids[at]), batch.column(1).take(pa.array(at))], ["tree", "node", "id", "u"])
+            for size, tree, node, at in ways(batch):
+                fixed = [pa.array(np.full(len(at), size, np.int32)), pa.array(np.full(len(at), tree, np.int32)), pa.array(np.full(len(at), node, np.int64))]
+                yield pa.RecordBatch.from_arrays([*fixed, batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at))], ["size", "tree", "node", "id", "u"])
 
     def link(key, group: pd.DataFrame) -> pd.DataFrame:
         x, ids = np.stack(group["u"].to_numpy()), group["id"].to_numpy()
@@ -124,29 +219,27 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
         found = {(min(ids[i], ids[j]), max(ids[i], ids[j])) for rows in leaves(x, rng) for i, j in spanning(x, rows)}
         return pd.DataFrame(sorted(found), columns=["a", "b"]).astype("int64")
 
-    routed = classes.where(F.size("u") == size).select("id", "u").mapInArrow(route, "tree int, node long, id long, u array<double>")
-    joined = components(routed.groupBy("tree", "node").applyInPandas(link, "a long, b long"))
-    grouped = written(classes.join(joined, "id").select("component", "id", "copies", "u"), "vector-components")
-    parts = grouped.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-    dealt = grouped.join(parts, "component").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
-    # Each block of a component meets all its blocks one at a time: block against block, counts only.
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    left = dealt.select("component", "part", other.alias("against"), "id", "u").toDF("component", "part", "against", "id", "u")
-    right = dealt.select("component", F.col("part").alias("against"), other.alias("part"), "id", "copies", "u").toDF("component", "against", "part", "id", "copies", "u")
-
-    def count(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame({"id": [], "n": []}).astype("int64")
-        near = np.stack(a["u"].to_numpy()) @ np.stack(b["u"].to_numpy()).T >= THRESHOLD
-        near &= a["id"].to_numpy()[:, None] != b["id"].to_numpy()[None, :]
-        return pd.DataFrame({"id": a["id"].to_numpy(), "n": near @ b["copies"].to_numpy()})
-
-    keys = ["component", "part", "against"]
-    counted = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-    known = member.join(counted, "id", "left").join(joined, "id", "left").select("vec_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    everyone = df.select(F.col(key).cast("long").alias("vec_id"))
-    found = everyone.join(known.dropDuplicates(["vec_id"]), "vec_id", "left")
-    return found.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")).withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    group, arrows = ["size", "tree", "node"], classes.select("id", "u")
+    routed = arrows.mapInArrow(route, "size int, tree int, node long, id long, u array<double>")
+    nodes = arrows.mapInArrow(numbers, "size int, tree int, node long, n long").groupBy(*group).agg(F.sum("n").alias("n"))
+    large = written(nodes.where(F.col("n") > LARGE).select(*group), "large-nodes")
+    links = routed.join(large, group, "left_anti").groupBy(*group).applyInPandas(link, "a long, b long")
+    if large.limit(1).count():
+        rings = ringed(routed.join(large, group, "left_semi").withColumn("copies", F.lit(1)), group)
+        sure = rings.where("lead IS NOT NULL AND lead <> id").select(F.col("id").alias("a"), F.col("lead").alias("b"))
+        links = links.unionByName(sure).unionByName(faced(rings, group, spanning_links, "a long, b long", once=True))
+    joined = components(links)
+    rings = ringed(classes.join(joined, "id").select("component", "id", "copies", "u"), ["component"])
+    own = F.when(settled(F.col("ring"), F.col("ring")), F.col("copies")).otherwise(0)
+    counts = faced(rings, ["component"], counted_links, "id long, n long").unionByName(rings.select("id", (F.col("sure") - own).alias("n")))
+    counted = counts.groupBy("id").agg(F.sum("n").alias("n"))
+    names = classes.join(joined, "id").groupBy("component").agg(F.min("least").alias("component_id"))
+    named = classes.select("id", "least", "copies").join(joined, "id", "left").join(names, "component", "left").join(counted, "id", "left")
+    named = named.select("id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
+    vec_id = F.col(key).cast("long")
+    others = df.where(~takes_part(F.col(key), F.col(vector))).select(vec_id.alias("vec_id"), F.lit(0).cast("long").alias("n_links"), vec_id.alias("component_id"))
+    found = member.join(named, "id").select("vec_id", "n_links", "component_id").unionByName(others)
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
 def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -295,6 +295,47 @@ def test_vector_dedup(spark):
     assert vector_dedup.near_duplicates(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def brute_links(rows):
+    """n_links and component_id of each (vec_id, vector) row, every row its own vector."""
+    n, links = len(rows), []
+    usable = [v is not None and len(v) > 0 and all(c is not None and np.isfinite(c) for c in v) and any(v) for _, v in rows]
+    unit = [np.asarray(v, np.float64) / np.linalg.norm(np.asarray(v, np.float64)) if u else None for (_, v), u in zip(rows, usable, strict=True)]
+    for size in {len(u) for u in unit if u is not None}:
+        at = [i for i in range(n) if unit[i] is not None and len(unit[i]) == size]
+        x = np.array([unit[i] for i in at])
+        near = np.triu(x @ x.T >= vector_dedup.THRESHOLD, 1)
+        links += [(at[i], at[j]) for i, j in zip(*np.nonzero(near), strict=True)]
+    number = Counter(i for link in links for i in link)
+    root, least = roots(n, links), {}
+    for i, r in enumerate(root):
+        least[r] = min(least.get(r, rows[i][0]), rows[i][0])
+    return Counter((rows[i][0], number[i], least[r]) for i, r in enumerate(root))
+
+
+def test_vector_dedup_of_large_clusters(spark, monkeypatch):
+    """A tight cluster, one that lies all about the threshold, copies and loose pairs, each cluster over many blocks: equal to brute force."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((1800, 24))
+    x[:500] = x[0] + rng.normal(0, 0.08, (500, 24))
+    x[500:900] = x[500] + rng.normal(0, 0.24, (400, 24))
+    x[900:1000] = x[600]
+    x[1000:1400:2] = x[1001:1400:2] + rng.normal(0, 0.1, (200, 24))
+    monkeypatch.setattr(vector_dedup, "BLOCK", 64)
+    monkeypatch.setattr(vector_dedup, "LARGE", 200)
+    rows = [(int(i), v.tolist()) for i, v in zip(rng.permutation(len(x)), x, strict=True)]
+    got = vector_dedup.near_duplicates(spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, ring int"))
+    assert Counter((r.vec_id, r.n_links, r.component_id) for r in got.collect()) == brute_links(rows)
+
+
+def test_vector_dedup_of_odd_rows(spark):
+    """Repeated ids with like and unlike vectors, other lengths, odd vectors and columns of our own names."""
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.standard_normal(4 if i % 5 else 7).tolist()) for i in range(1, 60)]
+    rows += [(3, [-c for c in rows[2][1]]), (70, [2 * c for c in rows[2][1]]), (3, rows[2][1]), (71, [-c for c in rows[2][1]]), (72, rows[4][1]), (80, None), (81, [0.0] * 4), (82, [1.0, None, 0.0, 0.0]), (83, [float("nan")] * 4), (84, [])]
+    got = vector_dedup.near_duplicates(spark.createDataFrame([(i, v, 1, 1) for i, v in rows], "vec_id long, embedding array<double>, id int, copies int"))
+    assert Counter((r.vec_id, r.n_links, r.component_id) for r in got.collect()) == brute_links(rows)
+
+
 def shingles(text):
     small = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
     w = re.findall("[0-9a-z_\u0080-\U0010ffff]+", small)
