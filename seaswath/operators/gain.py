@@ -103,18 +103,21 @@ def no_object(values: Column, share: float) -> Column:
     return judged(values)
 
 
-def no_object_pings(rows: DataFrame, share: float = 0.3, gain: float = 10.0) -> DataFrame:
-    """The rows whose coarsely levelled ping shows no object; bs stays as it was."""
-    levelled = applied(rows, factors(rows), gain, out="_coarse")
+def no_object_pings(rows: DataFrame, share: float = 0.3, gain: float = 10.0, coarse: DataFrame | None = None) -> DataFrame:
+    """The rows whose coarsely levelled ping shows no object; bs stays as it was. coarse: factors(rows), where they are at hand."""
+    levelled = applied(rows, factors(rows) if coarse is None else coarse, gain, out="_coarse")
     return levelled.where(no_object(F.col("_coarse"), share)).drop("_coarse")
 
 
 def coarse2fine(rows: DataFrame, ratio: float = 0.02, prob_thred: float = 0.3, **_) -> DataFrame:
-    """Factors learned a second time, from the pings without objects alone; a line without such pings keeps the coarse ones."""
-    coarse = factors(rows)
-    fine = factors(no_object_pings(rows, prob_thred))
+    """Factors learned a second time, from the pings without objects alone; a line without such pings keeps the coarse ones.
+
+    Both tables of factors have one row a line and are persisted, since the stretch reads its rows three times.
+    """
+    coarse = factors(rows).persist()
+    fine = factors(no_object_pings(rows, prob_thred, coarse=coarse))
     best = coarse.select(LINE, F.col("factor").alias("_first")).join(fine, LINE, "left").select(LINE, F.coalesce("factor", "_first").alias("factor"))
-    return stretch.linear_stretch(applied(rows, best), ratio)
+    return stretch.linear_stretch(applied(rows, best.persist()), ratio)
 
 
 def gaussian(sigma: float) -> np.ndarray:
