@@ -23,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seaswath.llm.common import table, written
@@ -116,7 +116,7 @@ def settled(ring: Column, other: Column) -> Column:
 
 
 def ringed(rows: DataFrame, group: list[str]) -> DataFrame:
-    """rows (group, id, copies, u) with ring, part, against (blocks to compare with: ring, part), sure (copies in settled rings) and lead (an id of the innermost ring, linked to the row) or null.
+    """rows (group, id, copies, u) with belt, part, against (blocks to compare with: belt, part), sure (copies in settled belts), inside (its own belt is settled) and lead (an id of the innermost belt, linked to the row) or null.
 
     Groups of at most BLOCK rows are one block. A group has some RINGS * 10 rings at most.
     """
@@ -129,29 +129,35 @@ def ringed(rows: DataFrame, group: list[str]) -> DataFrame:
     angle = F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), dot(F.col("u"), F.col("_c")))))
     ring = F.when(F.col("_c").isNull(), F.lit(-1)).otherwise(F.floor(angle * RINGS / float(np.arccos(THRESHOLD))))
     placed = written(rows.join(centres, group, "left").withColumn("ring", ring.cast("long")).drop("_c"), "vector-rings")
-    each = placed.groupBy(*group, "ring").agg(F.ceil(F.count("*") / BLOCK).alias("parts"), F.sum("copies").alias("copies"), F.min("id").alias("first"))
-    whole = each.groupBy(*group).agg(F.collect_list(F.struct("ring", "parts", "copies")).alias("_all"), F.min_by("first", "ring").alias("_lead"), F.min("ring").alias("_inner"))
-    ring = F.col("ring")
-    close = lambda b: ~settled(ring, b.ring) & (F.abs(ring - b.ring) <= RINGS + 2)
-    blocks = lambda b: F.transform(F.sequence(F.lit(0).cast("long"), b.parts - 1), lambda q: F.struct(b.ring.alias("ring"), q.alias("part")))
+    # Neighbouring rings of few rows make one belt of about BLOCK rows.
+    rings = placed.groupBy(*group, "ring").agg(F.count("*").alias("n"), F.sum("copies").alias("copies"), F.min("id").alias("first"))
+    before = F.sum("n").over(Window.partitionBy(*group).orderBy("ring")) - F.col("n")
+    rings = rings.withColumn("belt", F.floor(before / BLOCK))
+    each = rings.groupBy(*group, "belt").agg(F.ceil(F.sum("n") / BLOCK).alias("parts"), F.sum("copies").alias("copies"), F.min("first").alias("first"), F.min("ring").alias("low"), F.max("ring").alias("high"))
+    whole = each.groupBy(*group).agg(F.collect_list(F.struct("belt", "parts", "copies", "low", "high")).alias("_all"), F.min_by("first", "belt").alias("_lead"), F.min("high").alias("_inner"))
+    low, high = F.col("low"), F.col("high")
+    close = lambda b: ~settled(high, b.high) & (low - b.high <= RINGS + 2) & (b.low - high <= RINGS + 2)
+    blocks = lambda b: F.transform(F.sequence(F.lit(0).cast("long"), b.parts - 1), lambda q: F.struct(b.belt.alias("belt"), q.alias("part")))
     plan = each.join(whole, group).select(
         *group,
-        "ring",
+        "belt",
         "parts",
         F.flatten(F.transform(F.filter("_all", close), blocks)).alias("against"),
-        F.aggregate(F.filter("_all", lambda b: settled(ring, b.ring)), F.lit(0).cast("long"), lambda s, b: s + b.copies).alias("sure"),
-        F.when(settled(ring, F.col("_inner")), F.col("_lead")).alias("lead"),
+        F.aggregate(F.filter("_all", lambda b: settled(high, b.high)), F.lit(0).cast("long"), lambda s, b: s + b.copies).alias("sure"),
+        settled(high, high).alias("inside"),
+        F.when(settled(high, F.col("_inner")), F.col("_lead")).alias("lead"),
     )
-    return placed.join(plan, [*group, "ring"]).withColumn("part", F.pmod(F.xxhash64("id"), "parts")).drop("parts")
+    plan = rings.select(*group, "ring", "belt").join(plan, [*group, "belt"])
+    return placed.join(plan, [*group, "ring"]).withColumn("part", F.pmod(F.xxhash64("id"), "parts")).drop("parts", "ring")
 
 
 def faced(rows: DataFrame, group: list[str], kernel, schema: str, once: bool = False) -> DataFrame:
     """kernel over each two blocks that have to be compared; `once`: not the other way about too."""
-    keys = [*group, "ring", "part", "ring2", "part2"]
-    left = rows.withColumn("_b", F.explode("against")).select(*group, "ring", "part", F.col("_b.ring").alias("ring2"), F.col("_b.part").alias("part2"), "id", "copies", "u")
-    right = left.select(*group, F.col("ring2").alias("ring"), F.col("part2").alias("part"), F.col("ring").alias("ring2"), F.col("part").alias("part2"), "id", "copies", "u")
+    keys = [*group, "belt", "part", "belt2", "part2"]
+    left = rows.withColumn("_b", F.explode("against")).select(*group, "belt", "part", F.col("_b.belt").alias("belt2"), F.col("_b.part").alias("part2"), "id", "copies", "u")
+    right = left.select(*group, F.col("belt2").alias("belt"), F.col("part2").alias("part"), F.col("belt").alias("belt2"), F.col("part").alias("part2"), "id", "copies", "u")
     if once:
-        forward = (F.col("ring") < F.col("ring2")) | ((F.col("ring") == F.col("ring2")) & (F.col("part") <= F.col("part2")))
+        forward = (F.col("belt") < F.col("belt2")) | ((F.col("belt") == F.col("belt2")) & (F.col("part") <= F.col("part2")))
         left, right = left.where(forward), right.where(forward)
     left, right = left.toDF(*left.columns), right.toDF(*right.columns)  # columns of their own, though of one table
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(kernel, schema)
@@ -230,7 +236,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
         links = links.unionByName(sure).unionByName(faced(rings, group, spanning_links, "a long, b long", once=True))
     joined = components(links)
     rings = ringed(classes.join(joined, "id").select("component", "id", "copies", "u"), ["component"])
-    own = F.when(settled(F.col("ring"), F.col("ring")), F.col("copies")).otherwise(0)
+    own = F.when(F.col("inside"), F.col("copies")).otherwise(0)
     counts = faced(rings, ["component"], counted_links, "id long, n long").unionByName(rings.select("id", (F.col("sure") - own).alias("n")))
     counted = counts.groupBy("id").agg(F.sum("n").alias("n"))
     names = classes.join(joined, "id").groupBy("component").agg(F.min("least").alias("component_id"))
