@@ -12,13 +12,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """id, component: for every id with a link, the smallest id it reaches.
 
     Alternates two star operations (each joins a node's neighbours to its smallest one), which halves
-    distances; links never outnumber those given. A node with very many neighbours is aggregated map-side
-    and joined back by a join that Spark can split. No links give no rows; loops and repeats are dropped.
+    distances; links never outnumber those given. A node with very many neighbours is aggregated map-side,
+    written, and joined back by a join that Spark can split. No links give no rows; loops and repeats are dropped.
     """
 
-    def star(links: DataFrame) -> DataFrame:
-        least = links.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        return links.join(least, "u")
+    def star(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """links with the smallest id m that their u meets, and the table of these, to be discarded."""
+        least = written(links.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        return links.join(least, "u"), least
 
     def ordered(x, y):
         return F.greatest(x, y).alias("u"), F.least(x, y).alias("v")
@@ -26,14 +27,16 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now = written(links.where(F.col(a) != F.col(b)).select(*ordered(F.col(a), F.col(b))).distinct(), "links")
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = star(both).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        joined = star(large)
+        met, first = star(both)
+        large = written(met.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct(), "large-stars")
+        joined, second = star(large)
         small = joined.select("u", F.col("m").alias("v")).unionByName(joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")))
         after = written(small.where("u != v").distinct(), "links")
         # Done when all links are stars round roots: no id has two parents, no parent is a child.
         parents = after.groupBy("u").agg(F.count("*").alias("n"))
         unfinished = after.select(F.col("v").alias("u")).distinct().join(parents, "u", "left_semi").limit(1).count() or parents.where("n > 1").limit(1).count()
-        discarded(now)
+        for gone in (now, first, large, second):
+            discarded(gone)
         now = after
         if not unfinished:
             return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
