@@ -120,7 +120,8 @@ def ringed(rows: DataFrame, group: list[str]) -> DataFrame:
 
     Groups of at most BLOCK rows are one block. A group has some RINGS * 10 rings at most.
     """
-    large = rows.groupBy(*group).agg(F.count("*").alias("_n")).where(F.col("_n") > BLOCK).select(*group)
+    # What is joined by group is written first: Spark then knows its size, and splits groups that hold many rows.
+    large = written(rows.groupBy(*group).agg(F.count("*").alias("_n")).where(F.col("_n") > BLOCK).select(*group), "large-groups")
     means = rows.join(large, group, "left_semi").select(*group, F.posexplode("u").alias("k", "x")).groupBy(*group, "k").agg(F.avg("x").alias("x"))
     centres = means.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("_c")).select(*group, F.col("_c.x").alias("_c"))
     # Any direction serves where the mean has none.
@@ -147,7 +148,7 @@ def ringed(rows: DataFrame, group: list[str]) -> DataFrame:
         settled(high, high).alias("inside"),
         F.when(settled(high, F.col("_inner")), F.col("_lead")).alias("lead"),
     )
-    plan = rings.select(*group, "ring", "belt").join(plan, [*group, "belt"])
+    plan = written(rings.select(*group, "ring", "belt").join(plan, [*group, "belt"]), "vector-belts")
     return placed.join(plan, [*group, "ring"]).withColumn("part", F.pmod(F.xxhash64("id"), "parts")).drop("parts", "ring")
 
 
@@ -239,8 +240,11 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     own = F.when(F.col("inside"), F.col("copies")).otherwise(0)
     counts = faced(rings, ["component"], counted_links, "id long, n long").unionByName(rings.select("id", (F.col("sure") - own).alias("n")))
     counted = counts.groupBy("id").agg(F.sum("n").alias("n"))
-    names = classes.join(joined, "id").groupBy("component").agg(F.min("least").alias("component_id"))
-    named = classes.select("id", "least", "copies").join(joined, "id", "left").join(names, "component", "left").join(counted, "id", "left")
+    # Written, so that Spark knows its size and splits a component that holds many rows; vectors without links stay out of
+    # the join by component, where their nulls would meet in one task.
+    names = written(classes.join(joined, "id").groupBy("component").agg(F.min("least").alias("component_id")), "component-names")
+    belongs = joined.join(names, "component").select("id", "component_id")
+    named = classes.select("id", "least", "copies").join(belongs, "id", "left").join(counted, "id", "left")
     named = named.select("id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
     vec_id = F.col(key).cast("long")
     others = df.where(~takes_part(F.col(key), F.col(vector))).select(vec_id.alias("vec_id"), F.lit(0).cast("long").alias("n_links"), vec_id.alias("component_id"))
