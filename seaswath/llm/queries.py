@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from seaswath.llm.bpe import op1_bpe
+from seaswath.llm.centroids import op12_centroids
+from seaswath.llm.divergence import op13_divergence
 from seaswath.llm.language import op3_language
 from seaswath.llm.near_dedup import op7_near_dedup
 from seaswath.llm.neighbours import op5_neighbours
 from seaswath.llm.packing import op4_packing
+from seaswath.llm.pieces import op11_sentencepiece
 from seaswath.llm.quality import op2_quality
 from seaswath.llm.sql import SQL
 from seaswath.llm.substring_dedup import op10_substring_dedup
@@ -31,6 +34,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_vector_dedup": op9_vector_dedup,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_sentencepiece": op11_sentencepiece,
+        "op12_centroids": op12_centroids,
+        "op13_divergence": op13_divergence,
     }
 
 
