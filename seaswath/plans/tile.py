@@ -21,7 +21,7 @@ from seaswath.functions import acoustics
 from seaswath.operators import bottom, gain, geocode, ingest, mosaic, navigation, qc, repair, slant, speed, stretch
 from seaswath.operators.ordered import LINE
 from seaswath.sources import jsf, raster
-from seaswath.types import Params
+from seaswath.types import SONAR, Params
 
 log = logging.getLogger("seaswath")
 PING = "line string, ping int, ping_number long, bs array<double>, lon double, lat double, heading double, pitch double, roll double, speed double, course double"
@@ -114,7 +114,7 @@ def quality(tile: Tile, p: Params) -> DataFrame:
 
 def run_ingest(spark: SparkSession, source: str, out: str, p: Params, mode: str = "FAILFAST") -> DataFrame:
     """JSF files to downsampled pings, as Parquet by line."""
-    messages = jsf.read(spark, source, mode)
+    messages = jsf.read(spark, source, mode, messagetype=SONAR, subsystem=p.frequency)
     rows = ingest.downsample(ingest.pings(messages, p.frequency), p.slant_range, p.res)
     rows.write.mode("overwrite").partitionBy(LINE).parquet(f"{out}/pings")
     return read_pings(spark, out)

@@ -1,7 +1,8 @@
 """Sonar files as a stream: each new .jsf file is decoded, paired and written as pings while others arrive.
 
-A line is one file, so that a micro-batch holds whole lines and pairing needs no state. Batches that are
-run again after a failure overwrite what they wrote.
+A line is one file, so that a micro-batch holds whole lines and pairing needs no state; files are only named by the
+stream and read in byte ranges by many tasks, whatever their size. Batches that are run again after a failure
+overwrite what they wrote.
 """
 
 from __future__ import annotations
@@ -20,7 +21,10 @@ FILES = "path string, modificationTime timestamp, length long, content binary"
 def messages(spark: SparkSession, source: str, files_a_batch: int = 8, mode: str = "PERMISSIVE") -> DataFrame:
     """A stream of messages."""
     files = spark.readStream.format("binaryFile").schema(FILES).option("pathGlobFilter", "*.jsf").option("maxFilesPerTrigger", files_a_batch).load(source)
-    return jsf.decoded(files, mode)
+    if not jsf.known(source):
+        return jsf.decoded(files, mode)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return jsf.decoded_ranges(jsf.ranges(files.select("path", "length"), parts), mode)
 
 
 def start(spark: SparkSession, source: str, out: str, checkpoint: str, p: Params, once: bool = False) -> StreamingQuery:

@@ -44,8 +44,9 @@ def test_messages(spark, folder):
     assert ingest.pings(m.where("false"), 20).count() == 0
     jsf.register(spark)
     d = spark.read.format("jsf").load(f"file://{folder}/in")
-    assert d.count() == m.count() and d.where("messagetype = 82").count() == 6
-    assert d.where("subsystem = 20 AND channel = 0").count() == m.where("subsystem = 20 AND channel = 0").count()
+    assert d.where("messagetype = 82").count() == 6 and d.count() == m.count()
+    some = spark.read.format("jsf").options(subsystem=20, channel=0).load(f"file://{folder}/in")
+    assert some.count() == m.where("subsystem = 20 AND channel = 0").count() == jsf.read(spark, f"file://{folder}/in", subsystem=20, channel=0).count()
 
 
 @pytest.mark.parametrize("broken", [b"\1\2\3", b"\0" * 16, jsf.encoded(survey(1))[:-5]])
@@ -57,6 +58,80 @@ def test_broken_files(spark, tmp_path, broken):
     assert rows[-1].marker is None and rows[-1].payload
 
 
+def held(raw):
+    return jsf.Held(len(raw), lambda at, n: raw[at : at + n], block=64)
+
+
+def tricky():
+    """Records with false headers in their data, and what breaks them: the parts, and whether each is sound."""
+    rng, mark = np.random.default_rng(3), jsf.MARK
+    parts = []
+    for i in range(120):
+        false = mark + bytes(2) + (80).to_bytes(2, "little") + bytes(6) + (300).to_bytes(4, "little")
+        kind = i % 6
+        if kind == 0:
+            parts.append((jsf.encoded([{"payload": false * 3 + mark, "subsystem": 20}]), True))
+        elif kind == 1:
+            parts.append((jsf.encoded([{"payload": jsf.encoded([{"payload": b"inner"}])[:-2]}]), True))
+        elif kind == 2 and i % 4 == 0:
+            parts.append((rng.integers(0, 256, 50, np.uint8).tobytes().replace(mark, b"\0\0") + mark + b"\0" * 9, False))
+        elif kind == 3 and i % 9 == 3:
+            parts.append((jsf.encoded([{"samples": [1, 2, 3], "sonar": {"samplecount": 7}}]), False))
+        else:
+            parts.append((jsf.encoded([{"samples": np.where(rng.random(60) < 0.3, 5633, rng.integers(-99, 99, 60)), "sonar": {"pingnumber": i}}]), True))
+    return parts
+
+
+def test_ranges_give_what_one_pass_gives(monkeypatch):
+    """However a file is cut, each record is read once; broken bytes in the middle lose nothing else, and no byte goes."""
+    parts = tricky()
+    raw = b"".join(p for p, _ in parts)
+    whole = list(jsf.records(held(raw)))
+    begins = np.concatenate([[0], np.cumsum([len(p) for p, _ in parts])[:-1]]).tolist()
+    assert {r["seq"] for r in whole if "error" not in r} == {b for b, (_, ok) in zip(begins, parts, strict=True) if ok}
+    lost = b"".join(r["payload"] for r in whole if "error" in r)
+    assert lost == b"".join(p for p, ok in parts if not ok)
+    monkeypatch.setattr(jsf, "LOOK", 1500)
+    for size in (37, 256, 1000, 4096, len(raw) + 1):
+        cut = [r for at in range(0, len(raw), size) for r in jsf.records(held(raw), at, min(at + size, len(raw)))]
+        assert [(r["seq"], r.get("error"), r["payload"]) for r in cut] == [(r["seq"], r.get("error"), r["payload"]) for r in whole], size
+    some = list(jsf.records(held(raw), wanted={"messagetype": 80}))
+    assert [r["seq"] for r in some] == [r["seq"] for r in whole if r.get("messagetype") == 80]
+    monkeypatch.setattr(jsf, "PAYLOAD", 16)
+    assert b"".join(r["payload"] for r in jsf.records(held(raw)) if "error" in r) == lost
+    assert list(jsf.records(held(b""))) == []
+
+
+def test_files_in_many_tasks(spark, tmp_path):
+    """The data source and the ranges of file names read a cut file as a whole one, with spaces in its name."""
+    raw = b"".join(p for p, _ in tricky())
+    (tmp_path / "in put").mkdir()
+    (tmp_path / "in put" / "a b.jsf").write_bytes(raw)
+    (tmp_path / "in put" / "none.jsf").write_bytes(b"")
+    folder, order = f"file://{tmp_path}/in put", ["line", "seq"]
+    cut, one = jsf.read(spark, folder, "PERMISSIVE", split=700), jsf.read(spark, folder, "PERMISSIVE")
+    assert cut.rdd.getNumPartitions() == -(-len(raw) // 700) and one.rdd.getNumPartitions() == 1
+    want = [r.asDict(True) for r in one.orderBy(*order).collect()]
+    assert [r.asDict(True) for r in cut.orderBy(*order).collect()] == want
+    files = spark.read.format("binaryFile").load(folder)
+    named = jsf.decoded_ranges(jsf.ranges(files.select("path", "length"), 5, 700), "PERMISSIVE", 700)
+    assert [r.asDict(True) for r in named.orderBy(*order).collect()] == want
+    assert [r.asDict(True) for r in jsf.decoded(files, "PERMISSIVE").orderBy(*order).collect()] == want
+    assert cut.where("messagetype = 80").count() == sum(r["messagetype"] == 80 for r in want)
+    with pytest.raises(Exception, match="a b, record at byte"):
+        jsf.read(spark, folder, split=700).collect()
+
+
+@pytest.mark.parametrize("weighting", range(6))
+@pytest.mark.parametrize("form", [0, 1])
+def test_samples_of_both_formats(weighting, form):
+    """dataformat 1 has two shorts a sample; samples are scaled by two to the minus weighting factor."""
+    samples = np.arange(-20, 20) * 32
+    raw = jsf.encoded([{"samples": samples, "sonar": {"samplecount": 40 // (form + 1), "dataformat": form, "weightingfactor": weighting}}])
+    (row,) = jsf.records(held(raw))
+    assert row["sonar"]["dataformat"] == form and np.array_equal(row["sonardata"], samples / 2.0**weighting)
+
+
 def test_rasters(spark, tmp_path):
     image = np.arange(12, dtype=np.uint8).reshape(3, 4)
     assert (raster.png_pixels(raster.png(image)) == image).all()
