@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from seaswath.functions import arrays
 from seaswath.operators.ordered import LINE, halo, in_chunk, owned
+from seaswath.operators.recurrence import recurrence
 
 SIDES = ("port", "stbd")
 TOTAL = float(arrays.SMOOTH_11[3])
@@ -55,14 +56,13 @@ def thresholds(rows: DataFrame, factor: float, compat: bool = True) -> DataFrame
     The first four pings use a share of their own greatest gradient. After that, in the compatible form,
     port uses the starboard side's: the mean of the ping's own share and the four shares stored before it,
     where all from the fourth ping on are stored as the fourth; starboard keeps the fourth. Otherwise each
-    side uses the mean of its own shares over the last five pings.
+    side's threshold is the mean of the ping's own share and of that side's thresholds at the four pings before it.
     """
     share = {s: F.array_max(f"g_{s}") * factor for s in SIDES}
-    rows = rows.withColumns({f"_m_{s}": x for s, x in share.items()})
     if not compat:
-        w = in_chunk().rowsBetween(-4, 0)
-        recent = owned(halo(rows, 4, 0).withColumns({f"t_{s}": F.when(F.col("ping") < 4, F.col(f"_m_{s}")).otherwise(F.avg(f"_m_{s}").over(w)) for s in SIDES}))
-        return recent.drop("_m_port", "_m_stbd")
+        found = recurrence(rows.select(LINE, "ping", F.array(*share.values()).alias("x")), 0.2, (0.2,) * 4)
+        return rows.join(found.select(LINE, "ping", *(F.get("y", F.lit(i)).alias(f"t_{s}") for i, s in enumerate(SIDES))), [LINE, "ping"])
+    rows = rows.withColumns({f"_m_{s}": x for s, x in share.items()})
     # Four numbers for each line.
     stored = rows.where("ping < 4").groupBy(LINE).agg(*(F.max(F.when(F.col("ping") == i, F.col("_m_stbd"))).alias(f"_s{i}") for i in range(4)))
     rows = rows.join(stored, LINE)

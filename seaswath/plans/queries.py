@@ -149,6 +149,23 @@ def gradient_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("line", "ping", rounded("t_port", 4).alias("t_port"), rounded("t_stbd", 4).alias("t_stbd"))
 
 
+#: Each side's own thresholds, ping after ping (a recursive table, so WITH RECURSIVE).
+RECURRENCE = """
+    m AS (SELECT line, ping, 0.1::DOUBLE * max(g) FILTER (side = 'port') AS mp, 0.1::DOUBLE * max(g) FILTER (side = 'stbd') AS ms FROM g GROUP BY line, ping),
+    rc AS (SELECT line, ping, [mp] AS p, [ms] AS s FROM m WHERE ping = 0
+        UNION ALL
+        SELECT m.line, m.ping, list_prepend(CASE WHEN m.ping < 4 THEN mp ELSE (mp + list_sum(p[:4])) / 5.0::DOUBLE END, p[:3]), list_prepend(CASE WHEN m.ping < 4 THEN ms ELSE (ms + list_sum(s[:4])) / 5.0::DOUBLE END, s[:3])
+        FROM rc JOIN m ON m.line = rc.line AND m.ping = rc.ping + 1),
+    th AS (SELECT line, ping, p[1] AS t_port, s[1] AS t_stbd FROM rc)"""
+
+
+@query("RECURSIVE " + and_also(views.WATERFALL, SMOOTH, GRADIENT, RECURRENCE), "SELECT line, ping, round(t_port, 4) AS t_port, round(t_stbd, 4) AS t_stbd FROM th")
+def gradient_threshold_recurrent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The thresholds as they are meant: a linear recurrence of each side's own ones."""
+    rows = bottom.thresholds(bottom.gradients(views.waterfall(spark, sf_dir)), 0.1, compat=False)
+    return rows.select("line", "ping", rounded("t_port", 4).alias("t_port"), rounded("t_stbd", 4).alias("t_stbd"))
+
+
 COARSE = """
     hit AS (SELECT line, ping, side, j FROM g JOIN th USING (line, ping) WHERE g >= CASE WHEN side = 'port' THEN t_port ELSE t_stbd END),
     best AS (SELECT line, ping, side, min(j) AS j FROM (SELECT *, rank() OVER (PARTITION BY line, ping, side ORDER BY g DESC) AS r FROM g) WHERE r = 1 GROUP BY line, ping, side),
@@ -161,6 +178,11 @@ def bottom_coarse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottom.coarse(views.waterfall(spark, sf_dir))
 
 
+@query("RECURSIVE " + and_also(views.WATERFALL, SMOOTH, GRADIENT, RECURRENCE, COARSE), "SELECT line, ping, CAST(31 - p AS INT) AS port_x, CAST(31 + s AS INT) AS stbd_x FROM pair WHERE r = 1")
+def bottom_coarse_recurrent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottom.coarse(views.waterfall(spark, sf_dir), compat=False)
+
+
 BOTTOM = "bt AS (SELECT line, ping, CAST(max(v) FILTER (k = 0) AS INT) % 31 AS port_x, 32 + CAST(max(v) FILTER (k = 1) AS INT) % 31 AS stbd_x FROM px GROUP BY line, ping)"
 
 
