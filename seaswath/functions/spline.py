@@ -1,8 +1,13 @@
-"""Smoothing B-splines of a parametric curve in numpy: one segment of a survey line at a time.
+"""Smoothing B-splines of a parametric curve in numpy, block by block.
 
-Knots are added where residuals are largest until the sum of squared residuals is at most s; then the
-jumps of the highest derivative are penalised so that it comes to s within a thousandth of it. Fewer than
-four points lower the degree; one point gives a constant.
+Knots lie at points; spans of residuals above the average that s allows are halved until the sum of squared residuals is at
+most s. Then the jumps of the highest derivative are penalised by 1 / p, where p is searched for until the sum comes
+to s within a thousandth of it. Four points or fewer give a polynomial through all of them.
+
+The coefficients solve a banded system, which is cut into blocks of SPANS spans. A block shares its first and its last four
+coefficients with its neighbours: it eliminates all others, the borders of all blocks make a small system in
+a row, and each block finishes by itself. Blocks hold coefficients less the points at their knots, so that sums stay small. `fit` does
+without blocks, for comparison.
 """
 
 from __future__ import annotations
@@ -10,6 +15,10 @@ from __future__ import annotations
 import numpy as np
 
 TOLERANCE, DEGREE = 1e-3, 3
+#: Spans of a block; every so many points a knot from the outset; logarithms of p that are tried first and last, and how many at once.
+SPANS, FIRST, LOW, HIGH, TRIED = 64, 1024, -30.0, 60.0, 8
+#: Coefficients that neighbouring blocks share.
+BORDER = 4
 
 
 def chord_parameter(points: np.ndarray) -> np.ndarray:
@@ -48,23 +57,6 @@ def jumps(t: np.ndarray, k: int) -> np.ndarray:
     return d[1:] - d[:-1]
 
 
-def _with_knots(fit_of: np.ndarray, u: np.ndarray, inner: list[float], more: int) -> list[float]:
-    """`more` further knots, each at the middle point of the knot interval of the largest residuals."""
-    for _ in range(more):
-        edges = np.array([u[0], *inner, u[-1]])
-        of = np.clip(np.searchsorted(edges, u, "right") - 1, 0, len(edges) - 2)
-        inside = (u > edges[of]) & (u < edges[of + 1])
-        weight = np.bincount(of, fit_of, len(edges) - 1)
-        room = np.bincount(of[inside], minlength=len(edges) - 1)
-        weight[room == 0] = -1
-        best = int(weight.argmax())
-        if weight[best] < 0:
-            break
-        places = np.flatnonzero(inside & (of == best))
-        inner = sorted([*inner, float(u[places[len(places) // 2]])])
-    return inner
-
-
 def fit(u: np.ndarray, points: np.ndarray, s: float) -> tuple[np.ndarray, np.ndarray, int]:
     """(knots, coefficients, degree) of the smoothing spline through points at u."""
     n, k = len(u), min(DEGREE, len(u) - 1)
@@ -91,32 +83,245 @@ def fit(u: np.ndarray, points: np.ndarray, s: float) -> tuple[np.ndarray, np.nda
         inner = u[(k + 1) // 2 : n - (k + 1) // 2] if k % 2 else (u[k // 2 : n - k // 2 - 1] + u[k // 2 + 1 : n - k // 2]) / 2
         t = knots(inner)
         return t, np.linalg.solve(basis(t, k, u), points), k
-    inner: list[float] = []
-    t = knots(inner)
-    c, each = solved(t)
-    if each.sum() <= s * (1 + TOLERANCE):
-        return t, c, k
-    more, before = 1, each.sum()
-    while each.sum() > s and len(inner) < n - k - 1:
-        added = _with_knots(each, u, inner, more)
-        if len(added) == len(inner):
+    inner = np.zeros(0)
+    c, each = solved(knots(inner))
+    while each.sum() > s * (1 + TOLERANCE):
+        at = np.searchsorted(u, inner)
+        more = middles(np.append(0, at), np.append(at, n - 1), np.add.reduceat(each, np.append(0, at)), s / n, n)
+        if not len(more):
             break
-        inner, t = added, knots(added)
-        c, each = solved(t)
-        gained = before - each.sum()
-        guess = int(more * (each.sum() - s) / gained) if gained > TOLERANCE * s else 2 * more
-        more, before = min(2 * more, max(guess, more // 2, 1)), each.sum()
+        inner = u[np.sort(np.concatenate([at, more]).astype(int))]
+        c, each = solved(knots(inner))
+    t = knots(inner)
     if each.sum() > s * (1 - TOLERANCE):
         return t, c, k
-    low, high = -30.0, 60.0  # of log p: residuals fall as p rises
-    for _ in range(200):
+    low, high = LOW, HIGH
+    while True:
         middle = (low + high) / 2
         c, each = solved(t, np.exp(middle))
-        if abs(each.sum() - s) <= TOLERANCE * s:
-            break
+        if abs(each.sum() - s) <= TOLERANCE * s or high - low < 1e-9:
+            return t, c, k
         low, high = (middle, high) if each.sum() > s else (low, middle)
-    return t, c, k
 
 
 def evaluate(t: np.ndarray, c: np.ndarray, k: int, u: np.ndarray) -> np.ndarray:
     return np.repeat(c, len(u), 0) if k == 0 else basis(t, k, np.clip(u, t[0], t[-1])) @ c
+
+
+def middles(first: np.ndarray, last: np.ndarray, residual: np.ndarray, share: float, n: int) -> np.ndarray:
+    """New knots: the middle points of spans (from point `first` to `last`) with more residual than their share, where that may hold one."""
+    at = first + (last - first) // 2
+    return at[(residual > share * (last - first)) & (at > first) & (at >= 2) & (at <= n - 3)]
+
+
+class Block:
+    """Spans first..first + len(counts) of a line: sums over their points, less the points at the knots.
+
+    t, v: the knots from index `first` on (7 more than spans) and the points at them; last: whether the line ends here.
+    """
+
+    def __init__(self, first: int, last: bool, t: np.ndarray, v: np.ndarray, span: np.ndarray, u: np.ndarray, points: np.ndarray):
+        self.first, self.last, self.t, n = first, last, t, len(t) - 7
+        size = n + 3 if last else n + BORDER
+        self.base = v[2 : 2 + size]
+        values = local_basis(t, span, u)
+        left = points - np.einsum("nr,nrd->nd", values, self.base[span[:, None] + np.arange(4)])
+        gram, right = np.zeros((n, 4, 4)), np.zeros((n, 4, points.shape[1]))
+        np.add.at(gram, span, values[:, :, None] * values[:, None, :])
+        np.add.at(right, span, values[:, :, None] * left[:, None, :])
+        self.gram, self.right, self.square = gram, right, np.bincount(span, (left**2).sum(1), n)
+        self._assemble(size)
+
+    def _assemble(self, size: int) -> None:
+        at, n = np.arange(len(self.gram)), len(self.gram)
+        self.h, self.g = np.zeros((size, size)), np.zeros((size, self.right.shape[2]))
+        for i in range(4):
+            self.g[at + i] += self.right[:, i]
+            for j in range(4):
+                self.h[at + i, at + j] += self.gram[:, i, j]
+        rows = n - 1 if self.last else n  # an inner knot's jump belongs to the block of its first coefficient
+        jump = local_jumps(self.t, rows)
+        self.d = np.zeros((rows, size))
+        for i in range(5):
+            self.d[np.arange(rows), np.arange(rows) + i] = jump[:, i]
+        self.dd = self.d.T @ self.d
+        self.dg = self.dd @ (self.base - self.base[:1])
+
+    def parts(self) -> tuple[np.ndarray, np.ndarray]:
+        """(border, interior) places."""
+        size, all_of = len(self.h), np.arange(len(self.h))
+        is_border = (all_of < BORDER) & (self.first > 0) | (all_of >= size - BORDER) & (not self.last)
+        return all_of[is_border], all_of[~is_border]
+
+    def system(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1.0 / p)[:, None, None]  # 0 where p is infinite
+        return self.h + w * self.dd, self.g - w * self.dg
+
+    def eliminated(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What a block leaves on its border (for each p): a matrix and a right side."""
+        b, i = self.parts()
+        h, g = self.system(p)
+        x = np.linalg.solve(h[:, i[:, None], i], np.concatenate([h[:, i[:, None], b], g[:, i]], 2)) if len(i) else np.zeros((len(p), 0, len(b) + g.shape[2]))
+        back = h[:, b[:, None], i] @ x
+        return h[:, b[:, None], b] - back[:, :, : len(b)], g[:, b] - back[:, :, len(b) :]
+
+    def finished(self, p: np.ndarray, border: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(coefficients less base, squared residuals of each span), for each p, by the values at the border."""
+        b, i = self.parts()
+        h, g = self.system(p)
+        out = np.zeros((len(p), *self.base.shape))
+        out[:, b] = border
+        if len(i):
+            out[:, i] = np.linalg.solve(h[:, i[:, None], i], g[:, i] - h[:, i[:, None], b] @ border)
+        c = out[:, np.arange(len(self.gram))[:, None] + np.arange(4)]
+        squares = self.square - 2 * (c * self.right).sum((2, 3)) + np.einsum("psid,sij,psjd->ps", c, self.gram, c)
+        return out, np.maximum(squares, 0.0)
+
+    def taylor(self, c: np.ndarray, span: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """(points, dimensions, 4): the curve as a cubic in the distance from each u, by coefficients less base."""
+        from_here = self.base[:1]
+        c, out = c + (self.base - from_here), []
+        for order in range(4):
+            if order:
+                k = DEGREE + 1 - order
+                i = np.arange(len(c) - 1)
+                wide = self.t[np.minimum(i + 4, len(self.t) - 1)] - self.t[i + order]
+                c = k / order * np.diff(c, axis=0) / np.where(wide > 0, wide, np.inf)[:, None]
+            values = local_basis(self.t, span, u, DEGREE - order)
+            out.append(np.einsum("nr,nrd->nd", values, c[span[:, None] + np.arange(4 - order)]))
+        out[0] = out[0] + from_here
+        return np.stack(out, 2)
+
+
+def local_basis(t: np.ndarray, span: np.ndarray, u: np.ndarray, degree: int = DEGREE) -> np.ndarray:
+    """The degree + 1 B-splines of each u that are not 0; span j lies between t[j + 3] and t[j + 4]."""
+    at = span + DEGREE
+    values = np.zeros((len(u), degree + 1))
+    values[:, 0] = 1.0
+    for d in range(1, degree + 1):
+        last = np.zeros(len(u))
+        for r in range(d):
+            right, left = t[at + r + 1], t[at + r + 1 - d]
+            share = values[:, r] / (right - left)
+            values[:, r] = last + (right - u) * share
+            last = (u - left) * share
+        values[:, d] = last
+    return values
+
+
+def local_jumps(t: np.ndarray, rows: int) -> np.ndarray:
+    """(rows, 5): the jump of the third derivative at the knot t[row + 4] by five coefficients from `row` on."""
+    w = np.ones((rows + 4, 1))
+    for order in (1, 2, 3):
+        n = len(w) - 1
+        i = np.arange(n)
+        factor = ((DEGREE + 1 - order) / (t[i + 4] - t[i + order]))[:, None]
+        new = np.zeros((n, order + 1))
+        new[:, 1:] += factor * w[1:]
+        new[:, :-1] -= factor * w[:-1]
+        w = new
+    out = np.zeros((rows, 5))
+    out[:, 1:] += w[1 : rows + 1]
+    out[:, :-1] -= w[:rows]
+    return out
+
+
+def borders(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """The values at each block's border, by what all blocks of a line leave on theirs (in order)."""
+    if len(parts) == 1:
+        return [parts[0][1]]  # no border at all
+    kept, (m, h) = [], parts[0]
+    for s, g in parts[1:]:
+        m, h = m + s[:, :BORDER, :BORDER], h + g[:, :BORDER]
+        across = s[:, :BORDER, BORDER:]
+        solved = np.linalg.solve(m, np.concatenate([across, h], 2))
+        kept.append((solved[:, :, : across.shape[2]], solved[:, :, across.shape[2] :]))
+        if across.shape[2]:
+            turned = across.transpose(0, 2, 1)
+            m, h = s[:, BORDER:, BORDER:] - turned @ kept[-1][0], g[:, BORDER:] - turned @ kept[-1][1]
+    values = [kept[-1][1]]
+    for across, own in kept[-2::-1]:
+        values.append(own - across @ values[-1])
+    values = values[::-1]
+    return [values[0], *(np.concatenate([a, b], 1) for a, b in zip(values, values[1:], strict=False)), values[-1]]
+
+
+def knots_of(first: int, spans: int, inner_at: np.ndarray, inner: np.ndarray, inner_points: np.ndarray, total: int, ends: tuple[float, np.ndarray, float, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Knots first..first + spans + 7 and the points at them, from inner knots numbered inner_at; before and after all `total` inner ones come the line's ends."""
+    want = np.arange(first, first + spans + 7) - (DEGREE + 1)
+    begin, begin_point, end, end_point = ends
+    t = np.where(want < 0, begin, end)
+    v = np.where((want < 0)[:, None], begin_point, end_point)
+    inside = (want >= 0) & (want < total)
+    place = np.searchsorted(inner_at, want[inside])
+    t[inside], v[inside] = inner[place], inner_points[place]
+    return t, v
+
+
+def next_tries(low: float, high: float) -> np.ndarray:
+    """Logarithms of p between two."""
+    return low + (high - low) * np.arange(1, TRIED + 1) / (TRIED + 1)
+
+
+def narrowed(low: float, high: float, sums: np.ndarray, s: float) -> tuple[float, float, float | None]:
+    """The bounds round the p whose sum of squares is s, by the sums at the tries between them, and the p itself once found."""
+    tries = next_tries(low, high)
+    best = int(np.abs(sums - s).argmin())
+    if abs(sums[best] - s) <= TOLERANCE * s or high - low < 1e-9:
+        return low, high, float(tries[best])
+    over = int((sums > s).sum())  # sums fall as p rises
+    return (tries[over - 1] if over else low), (tries[over] if over < TRIED else high), None
+
+
+def through_all(u: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """(points, dimensions, 4): the polynomial through up to four points, in the distance from each u."""
+    out = np.zeros((len(u), points.shape[1], 4))
+    for i, at in enumerate(u):
+        out[i, :, : len(u)] = np.linalg.solve(np.vander(u - at, increasing=True), points - points[:1]).T
+    out[:, :, 0] += points[0]
+    return out
+
+
+def curve(u: np.ndarray, points: np.ndarray, s: float, spans: int = SPANS) -> np.ndarray:
+    """(points, dimensions, 4): the smoothing spline of a whole line as a cubic in the distance from each u."""
+    n = len(u)
+    if n <= DEGREE + 1:
+        return through_all(u, points)
+
+    def blocks(at: np.ndarray) -> list[tuple[Block, slice]]:
+        span = np.searchsorted(at, np.arange(n), "right")
+        edges = np.searchsorted(span, np.arange(0, len(at) + 1 + spans, spans))
+        out = []
+        for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+            if i * spans > len(at):
+                break
+            last = (i + 1) * spans > len(at)
+            count = len(at) + 1 - i * spans if last else spans
+            t, v = knots_of(i * spans, count, np.arange(len(at)), u[at], points[at], len(at), (u[0], points[0], u[-1], points[-1]))
+            out.append((Block(i * spans, last, t, v, span[a:b] - i * spans, u[a:b], points[a:b]), slice(a, b)))
+        return out
+
+    def solved(all_of: list, p: np.ndarray):
+        return [b.finished(p, x) for (b, _), x in zip(all_of, borders([b.eliminated(p) for b, _ in all_of]), strict=True)]
+
+    at = np.arange(2, n - 2) if s <= 0 else np.arange(FIRST, n - 2, FIRST)
+    none = np.array([np.inf])
+    while True:
+        now = blocks(at)
+        each = np.concatenate([squares[0] for _, squares in solved(now, none)])
+        more = middles(np.append(0, at), np.append(at, n - 1), each, s / n, n) if each.sum() > s * (1 + TOLERANCE) else []
+        if not len(more):
+            break
+        at = np.sort(np.concatenate([at, more]))
+    p = none
+    if s > 0 and each.sum() < s * (1 - TOLERANCE):
+        low, high, found = LOW, HIGH, None
+        while found is None:
+            tries = np.exp(next_tries(low, high))
+            low, high, found = narrowed(low, high, sum(squares.sum(1) for _, squares in solved(now, tries)), s)
+        p = np.exp(np.array([found]))
+    out = np.zeros((n, points.shape[1], 4))
+    for (block, rows), (c, _) in zip(now, solved(now, p), strict=True):
+        span = np.searchsorted(at, np.arange(rows.start, rows.stop), "right") - block.first
+        out[rows] = block.taylor(c[0], span, u[rows])
+    return out

@@ -8,17 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seaswath.functions import spline
 from seaswath.functions.projection import project
+from seaswath.functions.spline import SPANS
+from seaswath.operators import smoothing
 from seaswath.operators.ordered import LINE, filled, halo, in_chunk, owned, running_sum
-
-#: Fixes that are smoothed together, and how many of the neighbours' fixes a segment sees on each side.
-SEGMENT, OVERLAP = 2048, 64
+from seaswath.sources.tables import stored, workspace
 
 
 def fill_zeros(df: DataFrame, column: str) -> DataFrame:
@@ -106,50 +103,29 @@ def extents(df: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
     return df.groupBy(LINE).agg(F.min(lon).alias("min_lon"), F.max(lon).alias("max_lon"), F.min(lat).alias("min_lat"), F.max(lat).alias("max_lat"))
 
 
-def smoothed_segment(u: np.ndarray, points: np.ndarray, s: float, at: np.ndarray) -> np.ndarray:
-    """The smoothing spline of points (parameters u) at other parameters."""
-    return spline.evaluate(*spline.fit(u, points, s), at)
-
-
-def spline_smooth(df: DataFrame, columns: list[str], s: float, with_place: bool, segment: int = SEGMENT) -> DataFrame:
+def spline_smooth(df: DataFrame, columns: list[str], s: float, with_place: bool, with_curve: str | None = None, whole: int = smoothing.WHOLE, spans: int = SPANS) -> DataFrame:
     """Columns replaced by a parametric cubic smoothing spline of the changing values, spread over all pings.
 
     With `with_place` the curve is (number of the fix, value), as for a single sequence. The curve parameter
-    runs linearly from fix to fix. A line of more than `segment` fixes is smoothed in segments that see
-    OVERLAP fixes of their neighbours, each with its share of s, so that no task holds a whole long line.
+    runs evenly from fix to fix; after the last fix it stays within the curve. Lines with a value that is null or not finite
+    stay as they are. A column `with_curve` holds, for each ping, u (its parameter less its fix's), `to` (the next ping's) and c, the
+    cubics of the columns from that fix on, four coefficients each.
     """
-    marked = marked_fixes(df, columns)
-    counted = running_sum(marked, F.col("is_fix").cast("long"), "_fix_number").withColumn("_fix_number", (F.col("_fix_number") - 1).cast("int"))
-    totals = counted.groupBy(LINE).agg((F.max("_fix_number") + 1).alias("_fixes"))
-    rows = counted.join(totals, LINE).select(LINE, "ping", "is_fix", "_fix_number", "_fixes", *(F.col(c).cast("double").alias(c) for c in columns))
-    own, place = F.floor(F.col("_fix_number") / segment).cast("int"), F.pmod(F.col("_fix_number"), F.lit(segment))
-    where = F.array_compact(F.array(own, F.when((place <= OVERLAP) & (own > 0), own - 1), F.when(segment - place <= OVERLAP, own + 1)))
-    dealt = rows.withColumn("_home", own).withColumn("_segment", F.explode(where))
-
-    def smooth(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("ping")
-        fixes = group[group["is_fix"]]
-        mine = (group["_home"] == group["_segment"]).to_numpy()
-        out = group[[LINE, "ping"]].copy()
-        if not len(fixes) or not mine.any():
-            return out.assign(**{c: group[c] for c in columns})[mine]
-        points = fixes[columns].to_numpy(np.float64)
-        curve = np.column_stack([fixes["_fix_number"].to_numpy(np.float64), points]) if with_place else points
-        if not np.isfinite(curve).all():
-            return out.assign(**{c: group[c] for c in columns})[mine]
-        u = spline.chord_parameter(curve)
-        share = s * len(fixes) / max(1, int(fixes["_fixes"].iloc[0]))
-        pings, fix_pings = group["ping"].to_numpy(np.float64), fixes["ping"].to_numpy(np.float64)
-        spread = np.interp(pings, fix_pings, u)
-        if len(u) > 1:  # the slope goes on after the last fix, within the curve's range
-            after = pings > fix_pings[-1]
-            spread[after] = np.minimum(1.0, u[-1] + (pings[after] - fix_pings[-1]) * (u[-1] - u[-2]) / (fix_pings[-1] - fix_pings[-2]))
-        smoothed = smoothed_segment(u, curve, share, spread)[:, 1 if with_place else 0 :]
-        return out.assign(**{c: smoothed[:, i] for i, c in enumerate(columns)})[mine]
-
-    types = ", ".join([f"{LINE} {df.schema[LINE].dataType.simpleString()}", "ping int", *(f"{c} double" for c in columns)])
-    found = dealt.groupBy(LINE, "_segment").applyInPandas(smooth, types)
-    return df.drop(*columns).join(found, [LINE, "ping"]).select(*df.columns)
+    folder = workspace(df.sparkSession)
+    marked = marked_fixes(df.select(LINE, "ping", *(F.col(c).cast("double").alias(c) for c in columns)), columns)
+    counted = running_sum(marked, F.col("is_fix").cast("long"), "_fix").withColumn("_fix", (F.col("_fix") - 1).cast("int"))
+    counted = stored(counted, folder, "pings")
+    fixes = counted.where("is_fix").select(LINE, F.col("_fix").alias("ping"), F.col("ping").alias("at"), F.array(*columns).alias("point"))
+    fixes = stored(smoothing.parameters(fixes, F.col("ping") if with_place else None), folder, "fixes")
+    found = smoothing.curves(fixes, s, len(columns) + with_place, whole, spans)
+    ready = fixes.join(found, [LINE, "ping"]).select(LINE, F.col("ping").alias("_fix"), "at", "slope", (F.col("n") - 1 - F.col("u")).alias("_left"), "curve")
+    spread = counted.join(ready, [LINE, "_fix"], "left")
+    u, to = (F.least((F.col("ping") + more - F.col("at")) * F.col("slope"), F.col("_left")) for more in (0, 1))
+    cubics = F.slice("curve", 5 if with_place else 1, 4 * len(columns))
+    value = lambda i: smoothing.cubic(F.col("_u"), F.col("_c"), i)
+    rows = spread.withColumns({"_u": u, "_c": cubics}).select(LINE, "ping", *(F.coalesce(value(i), F.col(c)).alias(c) for i, c in enumerate(columns)), F.struct(F.col("_u").alias("u"), to.alias("to"), F.col("_c").alias("c")).alias("_curve"))
+    out = df.drop(*columns).join(rows, [LINE, "ping"])
+    return out.select(*df.columns, *([F.col("_curve").alias(with_curve)] if with_curve else []))
 
 
 def smooth_sequence(df: DataFrame, column: str, s: float) -> DataFrame:
@@ -163,16 +139,16 @@ def linear_track(df: DataFrame, s: float = 0.0) -> DataFrame:
     return interpolate_between_fixes(fixes, ["x", "y"], F.col("_fix")).drop("_fix")
 
 
-def spline_track(df: DataFrame, s: float = 80.0) -> DataFrame:
-    return spline_smooth(df, ["x", "y"], s, False)
+def spline_track(df: DataFrame, s: float = 80.0, with_curve: str | None = None) -> DataFrame:
+    return spline_smooth(df, ["x", "y"], s, False, with_curve)
 
 
 #: By the name that the command line gives.
-TRACKS: dict[str, Callable[[DataFrame, float], DataFrame]] = {"linear": linear_track, "bspline": spline_track}
+TRACKS: dict[str, Callable[[DataFrame, float], DataFrame]] = {"linear": linear_track, "bspline": lambda df, s: spline_track(df, s, "curve")}
 
 
 def prepared_track(df: DataFrame, kind: str, s: float, geo_epsg: int, proj_epsg: int) -> DataFrame:
-    """Positions filled, projected and smoothed: df with x and y."""
+    """Positions filled, projected and smoothed: df with x and y, and with curve (see spline_smooth) where they follow a spline."""
     if kind not in TRACKS:
         raise ValueError(f"unknown track smoothing {kind}: one of {sorted(TRACKS)}")
     return TRACKS[kind](projected(fill_positions(df), geo_epsg, proj_epsg), s)

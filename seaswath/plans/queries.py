@@ -586,6 +586,14 @@ def subping_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select("line", "ping", "step", "sub", rounded("x", 4).alias("x"), rounded("y", 4).alias("y"))
 
 
+@query()
+def subping_on_spline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sub-pings and their courses on the smoothing spline of each track."""
+    track = navigation.spline_track(plane_view(spark, sf_dir), 80.0, "curve")
+    parts = geocode.subpings(track, RES, curve="curve")
+    return parts.select("line", "ping", "step", "sub", *(rounded(c, 4).alias(c) for c in ("x", "y", "heading")))
+
+
 SPATIAL = """
     nv AS (SELECT line, ping, x, y FROM tr),
     sc AS (SELECT px.line, px.ping, k, x + (k - 32) * 80.0::DOUBLE / 32 * cos(radians((px.ping * 7) % 360)) AS x, y - (k - 32) * 80.0::DOUBLE / 32 * sin(radians((px.ping * 7) % 360)) AS y FROM px JOIN nv ON nv.line = px.line AND nv.ping = px.ping)"""

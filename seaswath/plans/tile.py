@@ -9,9 +9,7 @@ from __future__ import annotations
 
 import argparse
 import logging
-import tempfile
 import time
-import uuid
 from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +19,7 @@ from seaswath.functions import acoustics
 from seaswath.operators import bottom, gain, geocode, ingest, mosaic, navigation, qc, repair, slant, speed, stretch
 from seaswath.operators.ordered import LINE
 from seaswath.sources import jsf, raster
+from seaswath.sources.tables import stored, workspace
 from seaswath.types import SONAR, Params
 
 log = logging.getLogger("seaswath")
@@ -40,21 +39,6 @@ class Tile:
     meta: DataFrame
 
 
-def workspace(spark: SparkSession) -> str:
-    """A new folder below the one that driver and executors share (spark.checkpoint.dir); a temporary one for a local master where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    base = base or f"file://{tempfile.mkdtemp(prefix='seaswath-')}"
-    return f"{base.rstrip('/')}/tiles-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """df written below folder and read again: later stages read it more than once."""
-    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/{name}")
-    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
-
-
 def alpha(p: Params) -> Column:
     return acoustics.absorption(p.frequency_hz, p.temperature, p.salinity, p.depth, p.pH)
 
@@ -83,7 +67,9 @@ def geocoded(gray: DataFrame, track: DataFrame, p: Params, fill: bool = True) ->
     reach = geocode.flat_range(p.slant_range, F.col("slant_width"), F.size("gray"))
     rows = gray.select(LINE, "ping", "gray", reach.alias("reach"))
     meta = geocode.tile_meta(rows.select(LINE, "ping", "reach").join(track.select(LINE, "ping", "x", "y"), [LINE, "ping"]), p.res, p.proj_epsg)
-    painted = geocode.paints(rows, geocode.subpings(angled, p.res, angle), meta)
+    curve = "curve" if "curve" in track.columns else None
+    parts = geocode.subpings(angled, p.res, angle, curve, "angle_curve" if angle else None)
+    painted = geocode.paints(rows, parts, meta)
     return (geocode.filled_raster(painted, p.is_ns) if fill else geocode.last_writer(painted, ["step", "k"])), meta
 
 

@@ -233,3 +233,66 @@ def test_recurrence_equals_a_loop(spark, size):
     assert [(r.line, r.ping) for r in got] == [r[:2] for r in rows]
     assert np.allclose([r.y for r in got], np.concatenate([want, x[:3]]), rtol=1e-12, atol=0)
     assert recurrence(spark.createDataFrame([], "line string, ping int, x array<double>"), 0.2, (0.2,) * 4).count() == 0
+
+
+def track(spark, n, fixes_of=3, lines=("a", "b")):
+    """Bent lines of n fixes (the second of 40), each held for some pings, with noise; and one line of a single fix, one of nulls."""
+    rng, rows, points = np.random.default_rng(2), [], {}
+    for line, size in zip(lines, (n, 40), strict=True):
+        x = np.arange(size)
+        points[line] = np.column_stack([4e5 + 40 * np.sin(x / 30) + x * 0.4, 2e5 + 30 * np.cos(x / 17)]) + rng.normal(0, 0.05, (size, 2))
+        rows += [(line, fixes_of * i + k, *map(float, p)) for i, p in enumerate(points[line]) for k in range(fixes_of)]
+    return spark.createDataFrame([*rows, ("c", 0, 1.0, 2.0), ("d", 0, None, 1.0)], "line string, ping int, x double, y double"), points
+
+
+@pytest.mark.parametrize("s", [0.0, 0.05, 3.0])
+def test_spline_in_blocks_is_the_dense_one(s):
+    """Knots and penalty as without blocks, any size of block; cubics join smoothly."""
+    for n in (5, 30, 90):
+        x = np.arange(n)
+        points = np.column_stack([4e6 + 5 * np.sin(x / 4), x * 0.7]) + np.random.default_rng(n).normal(0, 0.1, (n, 2))
+        u = spline.chord_parameter(points) * (n - 1)
+        got, small = spline.curve(u, points, s), spline.curve(u, points, s, spans=8)
+        assert np.allclose(got, small, rtol=0, atol=1e-8)
+        dense = spline.evaluate(*spline.fit(u, points, s), u)
+        assert np.allclose(got[:, :, 0], dense, rtol=0, atol=max(2e-3 * s, 1e-7))
+        left = ((got[:, :, 0] - points) ** 2).sum()
+        assert left <= s * 1.002 + 1e-9 and (n < 90 or left >= s * 0.998 - 1e-9)
+        h = np.diff(u)[:, None]
+        assert np.allclose(sum(got[:-1, :, k] * h**k for k in range(4)), got[1:, :, 0], rtol=0, atol=1e-7)
+        assert np.allclose(sum(k * got[:-1, :, k] * h ** (k - 1) for k in range(1, 4)), got[1:, :, 1], rtol=0, atol=1e-7)
+
+
+def test_long_lines_are_smoothed_as_short_ones(spark):
+    """Rounds of Spark jobs give what one task gives, whatever the size of blocks; s is met over the whole line."""
+    df, points = track(spark, 700)
+    want = navigation.spline_smooth(df, ["x", "y"], 2.0, False).orderBy("line", "ping").toPandas()
+    at = want[(want.line == "a") & (want.ping % 3 == 0)][["x", "y"]].to_numpy()
+    assert ((at - points["a"]) ** 2).sum() == pytest.approx(2.0, rel=1e-3)
+    assert want[want.line == "c"].values.tolist() == [["c", 0, 1.0, 2.0]] and want[want.line == "d"].y.tolist() == [1.0]
+    got = navigation.spline_smooth(df, ["x", "y"], 2.0, False, whole=9, spans=24).orderBy("line", "ping").toPandas()
+    assert np.allclose(got[["x", "y"]].to_numpy(float), want[["x", "y"]].to_numpy(float), rtol=0, atol=1e-8, equal_nan=True)
+
+
+def test_subpings_lie_on_the_spline(spark):
+    """Positions and headings equal a direct evaluation of the curve; the last ping keeps its way; a heading runs on its own spline."""
+    df, points = track(spark, 50, 3)
+    df = df.where("line IN ('a', 'b')").withColumn("heading", 90 + 20 * F.sin(F.col("ping") / 9.0))
+    smooth = navigation.spline_track(df, 0.0, "curve")
+    parts = geocode.subpings(smooth, 0.1, curve="curve").where("line = 'a'").orderBy("step").toPandas()
+    u = spline.chord_parameter(points["a"])
+    t, c, k = spline.fit(u, points["a"], 0.0)
+    at = np.interp(np.arange(148), np.arange(50) * 3.0, u)
+    at = np.append(at, np.minimum(1.0, at[-1] + np.array([1, 2]) * (u[-1] - u[-2]) / 3))
+    counts = parts.groupby("ping").sub.count().to_numpy()
+    where = np.concatenate([np.linspace(a, b, m + 1)[:-1] for a, b, m in zip(at, [*at[1:], at[-1]], counts, strict=True)])
+    assert np.allclose(parts[["x", "y"]].to_numpy(), spline.evaluate(t, c, k, where), rtol=0, atol=1e-8)
+    onward = spline.evaluate(t, c, k, np.append(where[1:], 1.0))
+    d = onward - spline.evaluate(t, c, k, where)
+    moving = (np.hypot(*d.T) > 1e-6) & (parts.ping < 147).to_numpy()
+    assert moving.sum() > 100 and np.allclose(parts.heading[moving], np.degrees(np.arctan2(d[:, 0], d[:, 1]))[moving] % 360, atol=1e-5)
+    turned, name = geocode.course(smooth, "heading", 0.0)
+    angled = geocode.subpings(turned, 0.1, name, "curve", "angle_curve").where("line = 'a'").orderBy("step").toPandas()
+    assert np.allclose(angled.heading[angled["sub"] == 0], 90 + 20 * np.sin(np.arange(150) / 9.0), atol=1e-6)
+    straight = geocode.subpings(smooth, 0.1).where("line = 'a'")
+    assert straight.count() == len(parts)
