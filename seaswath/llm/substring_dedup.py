@@ -1,14 +1,20 @@
 """10. Repeated passages by collinear chaining.
 
 Seeds are runs of SEED words; of every WINDOW successive ones that of the lowest hash is taken, so that
-two documents that share SEED + WINDOW - 1 words in a row share a seed, wherever it stands. Seeds that
-several documents hold are matched with the document of the smallest id, each occurrence with one there
+two documents that share SEED + WINDOW - 1 words in a row share a seed, wherever it stands. Since ordinary phrases are
+seeds of very many documents, pairs of runs are keys as well: of every PAIR_WINDOW successive runs that of the lowest hash, with the lowest
+one of those that begin NEAR to NEAR + REACH - 1 words further on. A pair spans more words than a phrase, so whoever else holds
+phrases of a passage (up to NEAR + SEED - 1 words of it), its first holder is found; and words that stand unchanged for
+PAIR_WINDOW + NEAR + REACH + SEED - 2 words in a row hold a pair.
+Keys that several documents hold are matched with the document of the smallest id, each occurrence with one there
 (two, where that document holds it more than once): a very common passage costs no more than its
-occurrences, and a document that holds a passage more often than the first one repeats it each time. The
+occurrences, and a document that holds a passage more often than the first one repeats it each time. A matched pair
+gives the places between its runs as well. The
 matches of a document with one such earlier document are chained: places must rise in both, and gaps
 cost, so that the best chain ending at each match is a maximum over earlier places, kept in a Fenwick
-tree. A seed that HOT documents or more of one Arrow batch hold is matched there, with the first of them, and only that
-one's occurrences go on: no seed's occurrences meet in one task. Chains are cut at wide gaps and aligned word by word in a band, some way beyond both ends; words that
+tree. Frequent keys are matched in two steps: one that HOT documents or more of an Arrow batch hold is matched there, with the first of them,
+and that one's occurrences go on; so of a frequent key a task gets some rows of each batch, not one of each document.
+Chains are cut at wide gaps and aligned word by word in a band, some way beyond both ends; words that
 align in some chain, with any earlier document, count together.
 
 A passage is a run of at least LEAST words of which at least AGREE of the words align and half of the words
@@ -16,9 +22,11 @@ at its ends; what such runs cover together is cut. The first document
 keeps it; it is a repeat in all later ones. Repeats inside one document are not looked for.
 
 Of LEAST words of which AGREE are left unchanged, four successive ones are, so seeds are that short, and a
-chain needs two of them. Passages changed at every fifth word throughout can still lack a second sampled seed.
+chain needs two of them. Passages changed at every fifth word throughout can still lack a second sampled seed, or a
+pair where phrases of earlier documents hide their seeds.
 
-Null, empty and short texts have no passages. A null doc_id takes no part. Rows that repeat a doc_id are one
+Null, empty and short texts have no passages. Very long texts are read whole by one task each, once for keys and once for chains; memory
+follows their length (some 30 bytes a word), and alignments are made ROWS words at a time. A null doc_id takes no part. Rows that repeat a doc_id are one
 document, by their least text; rows of it with another text are left as they are. Words are as in
 `words`; white space and punctuation between words do not matter. Further columns are carried and never read.
 Empty tables give no rows.
@@ -36,36 +44,52 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from seaswath.llm.common import n_parts, one_each, slices, table, texts_of, unused, written
-from seaswath.llm.words import hashed_words, runs
+from seaswath.llm.words import STEP, hashed_words, mixed, runs
 
 SEED, WINDOW, LEAST, AGREE, GAP_COST, LEAST_SEEDS = 4, 4, 50, 0.8, 0.1, 2
 #: Fewest words of an aligned piece, and those at its ends that must agree by half.
 LEAST_PIECE, EDGE = 16, 8
 #: Words on each side of a chain that travel with it for prolonging, and how far an alignment may leave the diagonal.
 AROUND, BAND = 64, 24
-#: Documents of one batch from which on a seed counts as hot.
+#: Runs of which one begins a pair, the least words from it to the pair's other run, and how many runs are looked at there.
+PAIR_WINDOW, NEAR, REACH = 12, 20, 8
+#: Documents of one batch from which on a key counts as frequent.
 HOT = 8
-#: In a row of occurrences that is matched already, the key is the anchor, and its place, plus one, stands above these bits.
-PLACE_BITS = 32
+#: What stands beside an occurrence: 0 for a seed, the words between its runs for a pair; from MATCHED on, the row is a match already: its key is the anchor, MATCHED plus its place stands there.
+MATCHED = 64
+#: Places that a matched pair gives, its ends included.
+STEPS = 4
+#: Words that are aligned at once.
+ROWS = 1 << 15
 PAIR = "doc_id long, anchor long"
 
 
-def seeds(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, place, hash) of the sampled seeds: the lowest hash of each window of seeds, each once."""
+def lowest(runs_: np.ndarray, place: np.ndarray, n: np.ndarray, text: np.ndarray, window: int) -> np.ndarray:
+    """Where the lowest run of each window of successive ones stands, each once; texts of fewer runs have their lowest one."""
+    view = np.lib.stride_tricks.sliding_window_view(np.concatenate([runs_, np.full(window - 1, np.iinfo(np.uint64).max)]), window)
+    low = view.argmin(1) + np.arange(len(runs_))
+    inside = place + window <= n[text]  # windows that lie within their text
+    short = np.flatnonzero((n > 0) & (n < window))
+    starts = np.cumsum(n) - n
+    few = np.array([starts[t] + runs_[starts[t] : starts[t] + n[t]].argmin() for t in short], np.int64)
+    return np.unique(np.concatenate([low[inside], few]))
+
+
+def keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, key, words between the runs: 0 for a seed) of the sampled seeds and pairs."""
     hashes, ends, _, _ = hashed_words(texts)
     all_runs, text = runs(hashes, ends, SEED)
     if not len(all_runs):
-        return text, text, all_runs
+        return text, text, all_runs, text
     n = np.bincount(text, minlength=len(texts))
     place = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n)
-    view = np.lib.stride_tricks.sliding_window_view(np.concatenate([all_runs, np.full(WINDOW - 1, np.iinfo(np.uint64).max)]), WINDOW)
-    low = view.argmin(1) + np.arange(len(all_runs))
-    inside = place + WINDOW <= n[text]  # windows that lie within their text
-    short = np.flatnonzero((n > 0) & (n < WINDOW))  # a text of fewer seeds: its lowest one
-    starts = np.cumsum(n) - n
-    few = np.array([starts[t] + all_runs[starts[t] : starts[t] + n[t]].argmin() for t in short], np.int64)
-    at = np.unique(np.concatenate([low[inside], few]))
-    return text[at], place[at], all_runs[at]
+    at = lowest(all_runs, place, n, text, WINDOW)
+    begin = lowest(all_runs, place, n, text, PAIR_WINDOW)
+    begin = begin[place[begin] + NEAR + REACH <= n[text[begin]]]
+    other = begin[:, None] + NEAR + np.arange(REACH)
+    apart = NEAR + all_runs[other].argmin(1)
+    pair = mixed(all_runs[begin] * np.uint64(STEP) + all_runs[begin + apart])
+    return np.concatenate([text[at], text[begin]]), np.concatenate([place[at], place[begin]]), np.concatenate([all_runs[at], pair]), np.concatenate([np.zeros(len(at), np.int64), apart])
 
 
 class Fenwick:
@@ -91,6 +115,9 @@ class Fenwick:
 
 def chains(x: np.ndarray, y: np.ndarray) -> list[list[int]]:
     """The matches of each chain: places x rise in the document and y in the other one; the best first, each match in one chain."""
+    steps = np.diff(x)
+    if len(x) and (y - x == y[0] - x[0]).all() and (steps > 0).all() and (steps < 2 * SEED / (4 * GAP_COST)).all():
+        return [list(range(len(x)))]  # equally far apart and close to each other: every match adds more than its gap costs
     order = np.lexsort((-y, x))
     rank = np.unique(y, return_inverse=True)[1] + 1
     tree, score, before = Fenwick(int(rank.max())), np.zeros(len(x)), np.full(len(x), -1)
@@ -163,23 +190,23 @@ MATCH = ["doc_id", "anchor", "place", "anchor_place"]
 
 
 def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches of the occurrences (seed, doc_id, place), sorted, with those of the seed's first document.
+    """Matches of the occurrences (key, doc_id, place, beside), sorted, with those of the key's first document.
 
     An occurrence meets the first document's one of the same turn, turns beyond the last one beginning anew, and the
-    one after that. Of a seed that goes on in the next batch, the first document's places and the last turn are held.
+    one after that. Of a key that goes on in the next batch, the first document's places and the last turn are held.
     Rows that are matched already are only passed on.
     """
-    held_seed, held_doc, held_turns, first = None, None, 0, np.zeros((0, 2), np.int64)
+    held_seed, held_doc, held_turns, first = None, None, 0, np.zeros((0, 3), np.int64)
     for batch in batches:
-        seed, doc, place = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
-        if (done := place >> PLACE_BITS > 0).any():
-            yield pa.RecordBatch.from_arrays([pa.array(doc[done]), pa.array(seed[done]), pa.array(place[done] & ((1 << PLACE_BITS) - 1)), pa.array((place[done] >> PLACE_BITS) - 1)], MATCH)
-            seed, doc, place = seed[~done], doc[~done], place[~done]
+        seed, doc, place, beside = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
+        if (done := beside >= MATCHED).any():
+            yield pa.RecordBatch.from_arrays([pa.array(doc[done]), pa.array(seed[done]), pa.array(place[done]), pa.array(beside[done] - MATCHED)], MATCH)
+            seed, doc, place, beside = seed[~done], doc[~done], place[~done], beside[~done]
         if not len(seed):
             continue
         more = held_seed is not None and seed[0] == held_seed
         if more:
-            seed, doc, place = np.concatenate([np.full(len(first), held_seed), seed]), np.concatenate([first[:, 0], doc]), np.concatenate([first[:, 1], place])
+            seed, doc, place, beside = np.concatenate([np.full(len(first), held_seed), seed]), np.concatenate([first[:, 0], doc]), np.concatenate([first[:, 1], place]), np.concatenate([first[:, 2], beside])
         new_seed = np.concatenate([[True], seed[1:] != seed[:-1]])
         new_doc = new_seed | np.concatenate([[True], doc[1:] != doc[:-1]])
         at, run_of, group_of = np.arange(len(seed)), np.cumsum(new_doc) - 1, np.cumsum(new_seed) - 1
@@ -195,37 +222,43 @@ def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         theirs = groups[group_of[mine]] + np.concatenate([turn[later] % count[g], (turn[later][again] + 1) % count[g][again]])
         start = groups[-1]
         held_seed, held_doc, held_turns = seed[-1], doc[-1], int(turn[-1]) + 1
-        first = np.stack([doc[start : start + count[-1]], place[start : start + count[-1]]], 1)
-        yield pa.RecordBatch.from_arrays([pa.array(doc[mine]), pa.array(doc[theirs]), pa.array(place[mine]), pa.array(place[theirs])], MATCH)
-
-
-def occurrences(seed: np.ndarray, doc: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch that go on: those of hot seeds matched here, but for the first document's."""
-    names = ["key", "doc_id", "place"]
+        first = np.stack([doc[start : start + count[-1]], place[start : start + count[-1]], beside[start : start + count[-1]]], 1)
+        # A pair's match stands for places between its runs as well.
+        is_pair = beside[mine] > 0
+        out = [(doc[mine], doc[theirs], place[mine], place[theirs])]
+        for i in range(1, STEPS):
+            m, t = mine[is_pair], theirs[is_pair]
+            out.append((doc[m], doc[t], place[m] + beside[m] * i // (STEPS - 1), place[t] + beside[t] * i // (STEPS - 1)))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], MATCH)
+
+
+def occurrences(seed: np.ndarray, doc: np.ndarray, place: np.ndarray, beside: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch that go on: those of frequent keys matched here, but for the first document's."""
+    names = ["key", "doc_id", "place", "beside"]
     order = np.lexsort((place, doc, seed))
-    seed, doc, place = seed[order], doc[order], place[order]
+    seed, doc, place, beside = seed[order], doc[order], place[order], beside[order]
     new_seed = np.concatenate([np.ones(min(1, len(seed)), bool), seed[1:] != seed[:-1]])
     new_doc = new_seed | np.concatenate([np.ones(min(1, len(seed)), bool), doc[1:] != doc[:-1]])
     group, holders = np.cumsum(new_seed) - 1, np.add.reduceat(new_doc, np.flatnonzero(new_seed)) if len(seed) else np.zeros(0, int)
     hot = (holders >= HOT)[group]
     if hot.any():
-        for m in paired(iter([pa.RecordBatch.from_arrays([pa.array(c[hot]) for c in (seed, doc, place)], names)])):
+        for m in paired(iter([pa.RecordBatch.from_arrays([pa.array(c[hot]) for c in (seed, doc, place, beside)], names)])):
             mine, anchor, at, there = (c.to_numpy() for c in m.columns)
-            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(mine), pa.array(at | (there + 1) << PLACE_BITS)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(mine), pa.array(at), pa.array(there + MATCHED)], names)
     goes = ~hot | (doc == doc[np.flatnonzero(new_seed)][group])
-    yield pa.RecordBatch.from_arrays([pa.array(c[goes]) for c in (seed, doc, place)], names)
+    yield pa.RecordBatch.from_arrays([pa.array(c[goes]) for c in (seed, doc, place, beside)], names)
 
 
 def matched(text: DataFrame, parts: int) -> DataFrame:
-    """doc_id, anchor, place, anchor_place: each shared seed's occurrences with its first document's."""
+    """doc_id, anchor, place, anchor_place: each shared key's occurrences with its first document's."""
 
     def run(batches):
         for batch in slices(batches, "text"):
-            of, place, seed = seeds(texts_of(batch))
-            yield from occurrences(seed.view(np.int64), batch.column(0).to_numpy(zero_copy_only=False)[of], place.astype(np.int64))
+            of, place, key, beside = keys(texts_of(batch))
+            yield from occurrences(key.view(np.int64), batch.column(0).to_numpy(zero_copy_only=False)[of], place.astype(np.int64), beside)
 
-    found = text.mapInArrow(run, "key long, doc_id long, place long")
-    by = F.when(F.shiftright("place", PLACE_BITS) > 0, F.xxhash64("doc_id")).otherwise(F.col("key"))
+    found = text.mapInArrow(run, "key long, doc_id long, place long, beside long")
+    by = F.when(F.col("beside") >= MATCHED, F.xxhash64("doc_id")).otherwise(F.col("key"))
     dealt = found.repartition(parts, by).sortWithinPartitions("key", "doc_id", "place")
     return dealt.mapInArrow(paired, f"{PAIR}, place long, anchor_place long")
 
@@ -277,6 +310,15 @@ def anchor_words(windows: DataFrame, text: DataFrame) -> DataFrame:
 def agreeing(x: np.ndarray, y: np.ndarray, shift: int) -> np.ndarray:
     """For each word of x the place in y that it aligns with, or -1: equal words of which at least 3 in 7 successive ones
     stand equally far apart, by shift and at most BAND more or less; of several places that with the most equal words round it."""
+    n = len(x)
+    if n > ROWS:  # some rows at a time, with those beside them that the sums below reach
+        parts = [(a, max(0, a - 3), min(n, a + ROWS)) for a in range(0, n, ROWS)]
+        cut = [(agreeing_rows(x[b : min(n, e + 3)], y, shift + b), a - b, e - b) for a, b, e in parts]
+        return np.concatenate([found[a:e] for found, a, e in cut])
+    return agreeing_rows(x, y, shift)
+
+
+def agreeing_rows(x: np.ndarray, y: np.ndarray, shift: int) -> np.ndarray:
     n, width, low = len(x), 2 * BAND + 1, shift - BAND
     held = np.full(n + width - 1, -1, np.int64)
     a, b = max(0, -low), min(n + width - 1, len(y) - low)

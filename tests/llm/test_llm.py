@@ -490,6 +490,7 @@ def test_pairs_by_brute_force():
                 want.update({(doc, anchor, place, there[(turn + k) % len(there)]) for k in (0, 1)} if len(there) > 1 else [(doc, anchor, place, there[0])])
     for size in (1, 7, 1000):
         batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + size], strict=True)], ["seed", "doc_id", "place"]) for i in range(0, len(rows), size)]
+        batches = [pa.RecordBatch.from_arrays([*b.columns, pa.array([0] * len(b))], ["seed", "doc_id", "place", "beside"]) for b in batches]
         assert Counter(tuple(r.values()) for b in substring_dedup.paired(iter(batches)) for r in b.to_pylist()) == want
 
 
@@ -497,11 +498,11 @@ def test_hot_seeds_are_matched_in_their_batch():
     """Of a seed that many documents of a batch hold only the first one's places go on; every other occurrence is matched."""
     docs = np.repeat(np.arange(100, 150), 2)
     seed, place = np.tile([7, 100], 50) + np.where(np.arange(100) % 2, np.arange(100), 0), np.arange(100) * 3
-    rows = [tuple(r.values()) for b in substring_dedup.occurrences(seed, docs, place) for r in b.to_pylist()]
-    done = {(d, k, p & 0xFFFFFFFF, (p >> 32) - 1) for k, d, p in rows if p >> 32}
+    rows = [tuple(r.values()) for b in substring_dedup.occurrences(seed, docs, place, np.zeros(100, np.int64)) for r in b.to_pylist()]
+    done = {(d, k, p, b - substring_dedup.MATCHED) for k, d, p, b in rows if b >= substring_dedup.MATCHED}
     assert done == {(d, 100, int(p), 0) for d, p in zip(docs[2::2].tolist(), place[2::2], strict=True)}
-    assert sorted(r for r in rows if not r[2] >> 32) == sorted([(7, 100, 0), *((int(s), int(d), int(p)) for s, d, p in zip(seed[1::2], docs[1::2], place[1::2], strict=True))])
-    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*sorted(rows), strict=True)], ["key", "doc_id", "place"])
+    assert sorted(r for r in rows if not r[3]) == sorted([(7, 100, 0, 0), *((int(s), int(d), int(p), 0) for s, d, p in zip(seed[1::2], docs[1::2], place[1::2], strict=True))])
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*sorted(rows), strict=True)], ["key", "doc_id", "place", "beside"])
     assert {tuple(r.values()) for b in substring_dedup.paired(iter([batch])) for r in b.to_pylist()} == done
 
 
@@ -534,6 +535,66 @@ def test_edited_passages(spark):
     assert len(want) > 80 and sum(found.get(i) == spans for i, spans in want.items()) >= 0.95 * len(want) and set(found) <= set(want)
 
 
+@pytest.mark.parametrize("n", [4, 8, 12, 20])
+def test_phrases_of_earlier_documents_hide_no_passage(spark, n):
+    """Earlier documents, and ones between, hold every n words of passages that two documents share: all are found whole, in any number of partitions."""
+    rng, rows, want = np.random.default_rng(n), [], {}
+    texts, first = {}, 10_000
+    for i, size in enumerate((100, 60, 53, 300)):
+        p = own(f"p{i}x", size)
+        for at in range(0, size, n // 2):  # every phrase twice: before both holders, and between them
+            for base in (0, 20_000):
+                texts[base + len(texts)] = own(f"e{len(texts)}x", 30) + p[at : at + n] + own(f"f{len(texts)}x", 30)
+        texts[first + i] = own(f"a{i}x", 40) + p + own(f"b{i}x", 7)
+        texts[first * 4 + i] = own(f"c{i}x", 11) + p + own(f"d{i}x", 30)
+        want[first * 4 + i] = [(11, 11 + size)]
+    rows = [(i, " ".join(t), "en", "s", 1, "w", "l") for i, t in texts.items()]
+    rng.shuffle(rows)
+    for parts in (1, 6):
+        docs = spark.createDataFrame([(int(i), str(t), *rest) for i, t, *rest in rows], DOCS.replace("n_chars long", "n_chars string")).repartition(parts)
+        found = {r.doc_id: [tuple(s) for s in r.spans] for r in substring_dedup.repeats(docs).collect()}
+        # Phrases as long as a piece that aligns count together: of these even the first holder is made up.
+        assert {i: x for i, x in found.items() if n < substring_dedup.LEAST_PIECE or i >= 4 * first} == want
+
+
+def test_edited_passages_among_phrases(spark):
+    """With phrases of eight words before and between, four in five edited passages (a word in twenty) are still found."""
+    rng, texts, late = np.random.default_rng(9), {}, []
+    for i in range(40):
+        p = own(f"p{i}x", 90)
+        for at in range(0, 90, 4):
+            for base in (0, 20_000):
+                texts[base + len(texts)] = own(f"e{len(texts)}x", 20) + p[at : at + 8] + own(f"f{len(texts)}x", 20)
+        flags = rng.random(90) > 0.05
+        texts[10_000 + i] = own(f"a{i}x", 40) + p
+        texts[50_000 + i] = own(f"c{i}x", 11) + [w if f else w + "changed" for w, f in zip(p, flags, strict=True)] + own(f"d{i}x", 30)
+        late.append(50_000 + i)
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", 1, "w", "l") for i, t in texts.items()], DOCS)
+    found = {r.doc_id: sum(s["last"] - s["first"] for s in r.spans) for r in substring_dedup.repeats(docs).collect()}
+    assert set(found) <= set(late) and sum(found.get(i, 0) >= 80 for i in late) >= 0.8 * len(late)
+
+
+def test_alignment_of_very_long_texts(monkeypatch):
+    """Words aligned some at a time give what all at once give."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 400, 1000).astype(np.uint32)
+    y = np.concatenate([x[:300], x[310:]])
+    y[rng.choice(len(y), 90, replace=False)] = 999
+    want = substring_dedup.agreeing(x, y, 0)
+    for rows in (7, 64, 333):
+        monkeypatch.setattr(substring_dedup, "ROWS", rows)
+        assert (substring_dedup.agreeing(x, y, 0) == want).all()
+
+
+def test_straight_chains_are_those_of_the_tree():
+    """Matches that are equally far apart and close make one chain, as the Fenwick tree finds."""
+    rng = np.random.default_rng(7)
+    x = np.cumsum(rng.integers(1, 20, 60))
+    assert substring_dedup.chains(x, x + 11) == [list(range(60))]
+    bent = np.append(x, x[-1] + 3)
+    assert list(range(60)) in [c[:60] for c in substring_dedup.chains(bent, np.append(x + 11, x[-1] + 15))]
+
+
 def test_chains_by_brute_force():
     rng = np.random.default_rng(4)
     x, y = np.sort(rng.choice(400, 40, replace=False)), rng.choice(400, 40, replace=False)
