@@ -158,20 +158,41 @@ def walked(parts, is_ns):
 
 
 @pytest.mark.parametrize("is_ns", [True, False])
-def test_gap_fill_like_a_walk(spark, is_ns):
+@pytest.mark.parametrize("size", [1, 7, 4096])
+def test_gap_fill_like_a_walk(spark, is_ns, size):
+    """A line to and fro along the axis, whatever the parts: steps cross, turn back and leave gaps in gaps."""
     rng = np.random.default_rng(5)
-    rows, parts, at = [], [], 50
-    for step in range(60):
-        at += int(rng.integers(-4, 5))
+    rows, parts, at, onward = [], [], 50, 3
+    for step in range(90):
+        at += int(rng.integers(-4, 5)) if step < 60 else onward
+        onward = -onward if step in (70, 80) else onward
         heading = float(rng.choice([10, 100, 200, 300]))
-        pixels = [(a, at + int(rng.integers(0, 2)), int(rng.integers(1, 255))) for a in range(12)]
+        pixels = [(a, at + int(rng.integers(0, 2)), int(rng.integers(1, 255))) for a in range(6)]
         turned = 90 <= heading < 270 if is_ns else heading < 180
         parts.append((pixels, turned))
         for k, (a, c, v) in enumerate(pixels):
             rows.append(("a", step, k, c if is_ns else a, a if is_ns else c, v, heading))
     df = spark.createDataFrame(rows, "line string, step long, k int, row int, col int, value smallint, heading double")
-    got = {((r.col, r.row) if is_ns else (r.row, r.col)): r.value for r in geocode.filled_raster(df, is_ns).collect()}
+    got = {((r.col, r.row) if is_ns else (r.row, r.col)): r.value for r in geocode.filled_raster(df, is_ns, size).collect()}
     assert got == walked(parts, is_ns)
+    assert geocode.filled_raster(df.where("false"), is_ns).count() == 0
+
+
+def test_runs_of_overlapping_gaps(spark):
+    """Runs go on over blocks of pixels; in a run, gaps are filled in the order of steps."""
+    rng = np.random.default_rng(6)
+    gaps = [("a", 0, step, int(a), int(a + rng.integers(0, 9))) for step, a in enumerate(rng.integers(0, 600, 80))]
+    found = geocode.clusters(spark.createDataFrame(gaps, "line string, axis int, step long, a long, b long"), size=16).collect()
+    reach, begin, want = -1, None, {}
+    for _, _, step, a, b in sorted(gaps, key=lambda g: (g[3], g[2])):
+        begin = a if a > reach else begin
+        reach, want[step] = max(reach, b), begin
+    assert {r.step: r.cluster for r in found} == want
+    full, ok = set(), []
+    for _, _, _, a, b in gaps:
+        ok.append(not full & set(range(a, b + 1)))
+        full |= set(range(a, b + 1)) if ok[-1] else set()
+    assert geocode.accepted([g[2] for g in gaps], [g[3] for g in gaps], [g[4] for g in gaps]) == ok
 
 
 def test_straight_line_geocoding(spark):
