@@ -47,26 +47,21 @@ def blockwise(rows: DataFrame, res: float, seed: int = 0) -> DataFrame:
 
 
 def overall(rows: DataFrame, res: float, seed: int = 0, column: str = "gray") -> DataFrame:
-    """line, ping, `column`: as many rows as the track's length in units of res.
+    """line, ping, `column`: as many rows as the track's length in units of res, each the mean of the pings that it covers, weighted by overlap.
 
-    Fewer rows than pings are means weighted by overlap; more are the nearest pings.
+    With n pings and m rows, a ping reaches from ping * m to (ping + 1) * m and a row from r * n to (r + 1) * n: whole
+    numbers, so that shares are exact whether rows become fewer or more.
     """
-    size = line_lengths(rows).join(rows.groupBy(LINE).agg((F.max("ping") + 1).alias("_n")), LINE).select(LINE, "_n", F.floor(F.col("length") / res).alias("_m")).where("_m > 0")
-    sized = rows.select(LINE, "ping", column).join(size, LINE)
-    scale = F.col("_m") / F.col("_n")
-    low, high = F.col("ping") * scale, (F.col("ping") + 1) * scale
-    # Nearest: output row r shows ping floor(r * n / m).
-    first = F.ceil(F.col("ping") * F.col("_m") / F.col("_n"))
-    last = F.ceil((F.col("ping") + 1) * F.col("_m") / F.col("_n")) - 1
-    more = sized.where("_m >= _n").withColumn("ping", F.explode(F.sequence(first, last))).select(LINE, F.col("ping").cast("int"), F.col(column).cast("array<double>").alias(column))
-    targets = F.sequence(F.floor(low), F.least(F.col("_m") - 1, F.ceil(high) - 1))
-    fewer = sized.where("_m < _n").withColumn("_low", low).withColumn("_high", high).withColumn("_r", F.explode(targets))
-    weight = F.least(F.col("_high"), F.col("_r") + 1) - F.greatest(F.col("_low"), F.col("_r"))
-    each = fewer.select(LINE, "_r", weight.alias("_w"), F.posexplode(column).alias("_k", "_v")).where("_w > 0")
+    size = line_lengths(rows).join(rows.groupBy(LINE).agg((F.max("ping") + 1).cast("long").alias("_n")), LINE).select(LINE, "_n", F.floor(F.col("length") / res).alias("_m")).where("_m > 0")
+    ping, n, m, r = F.col("ping").cast("long"), F.col("_n"), F.col("_m"), F.col("_r")
+    low, high = ping * m, (ping + 1) * m
+    sized = rows.select(LINE, "ping", column).join(size, LINE).withColumn("_r", F.explode(F.sequence(F.floor(low / n), F.ceil(high / n) - 1)))
+    weight = F.least(high, (r + 1) * n) - F.greatest(low, r * n)
+    each = sized.select(LINE, "_r", n, weight.alias("_w"), F.posexplode(column).alias("_k", "_v")).where("_w > 0")
     # Sums of samples combine map-side: a standing vessel's many pings never meet in one group.
     means = each.groupBy(LINE, "_r", "_k").agg((F.sum(F.col("_w") * F.col("_v")) / F.sum("_w")).alias("_v"))
     packed = means.groupBy(LINE, F.col("_r").cast("int").alias("ping")).agg(F.array_sort(F.collect_list(F.struct("_k", "_v"))).alias("_s"))
-    return more.unionByName(packed.select(LINE, "ping", F.col("_s._v").alias(column)))
+    return packed.select(LINE, "ping", F.col("_s._v").alias(column))
 
 
 METHODS: dict[str, Callable[..., DataFrame]] = {"blockwise": blockwise, "overall": overall}
@@ -80,7 +75,7 @@ def corrected(rows: DataFrame, method: str, res: float, seed: int = 0) -> DataFr
 
 def drawn_pings(rows: DataFrame, k: int = 2, seed: int = 0) -> DataFrame:
     """k pings of each line, drawn by hash (a sample is the feature here)."""
-    order = F.xxhash64(F.lit(seed), F.col("ping"))
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col("ping").cast("string")))
     # The k smallest hashes, one after another by aggregates that combine map-side.
     left, chosen = rows.select(LINE, "ping", order.alias("h")), None
     for _ in range(k):

@@ -201,12 +201,14 @@ def _abnormal_sql(x: str) -> str:
     return f"{total} / nullif({weight}, 0) AS m_{x}, [{', '.join(seen)}] AS near_{x}"
 
 
-ABNORMAL = f"""
-    nb AS (SELECT line, ping, port_x, stbd_x, {_abnormal_sql('port_x')}, {_abnormal_sql('stbd_x')} FROM bt WINDOW w AS (PARTITION BY line ORDER BY ping)),
-    ab AS (SELECT line, ping, CASE WHEN abs(port_x - m_port_x) <= list_stddev_pop(near_port_x) + 1e-9 THEN port_x ELSE CAST(floor(m_port_x) AS INT) END AS port_x, CASE WHEN abs(stbd_x - m_stbd_x) <= list_stddev_pop(near_stbd_x) + 1e-9 THEN stbd_x ELSE CAST(floor(m_stbd_x) AS INT) END AS stbd_x FROM nb)"""
+def abnormal(source: str, result: str) -> str:
+    """Tables that correct a bottom line once."""
+    return f"""
+    n_{result} AS (SELECT line, ping, port_x, stbd_x, {_abnormal_sql('port_x')}, {_abnormal_sql('stbd_x')} FROM {source} WINDOW w AS (PARTITION BY line ORDER BY ping)),
+    {result} AS (SELECT line, ping, CASE WHEN abs(port_x - m_port_x) <= list_stddev_pop(near_port_x) + 1e-9 THEN port_x ELSE CAST(floor(m_port_x) AS INT) END AS port_x, CASE WHEN abs(stbd_x - m_stbd_x) <= list_stddev_pop(near_stbd_x) + 1e-9 THEN stbd_x ELSE CAST(floor(m_stbd_x) AS INT) END AS stbd_x FROM n_{result})"""
 
 
-@query(and_also(views.WATERFALL, BOTTOM, ABNORMAL), "SELECT line, ping, port_x, stbd_x FROM ab")
+@query(and_also(views.WATERFALL, BOTTOM, abnormal("bt", "ab")), "SELECT line, ping, port_x, stbd_x FROM ab")
 def bottom_abnormal_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottom.abnormal_corrected(bottom_view(spark, sf_dir))
 
@@ -221,7 +223,13 @@ def bottom_smooth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottom.smoothed(bottom_view(spark, sf_dir))
 
 
-@query()
+DETECTED = "bt AS (SELECT line, ping, CAST(31 - p AS INT) AS port_x, CAST(31 + s AS INT) AS stbd_x FROM pair WHERE r = 1)"
+
+
+@query(
+    and_also(views.WATERFALL, SMOOTH, GRADIENT, THRESHOLDS, COARSE, DETECTED, abnormal("bt", "once"), abnormal("once", "twice")),
+    f"SELECT line, ping, {_smooth_sql('port_x')}, {_smooth_sql('stbd_x')} FROM twice WINDOW w AS (PARTITION BY line ORDER BY ping)",
+)
 def bottom_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottom.detect(views.waterfall(spark, sf_dir))
 
@@ -565,10 +573,30 @@ def speed_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return speed.blockwise(plane_view(spark, sf_dir), RES / 3).groupBy("line").agg(F.count("*").alias("n"))
 
 
-@query()
+def overall_sql(res: float) -> str:
+    return f"""
+    tk AS (SELECT line, ping, ping * 0.375::DOUBLE AS x, ping * 0.5::DOUBLE AS y FROM numbered),
+    st AS (SELECT line, ping, sqrt(power(x - lag(x) OVER w, 2) + power(y - lag(y) OVER w, 2)) AS d FROM tk WINDOW w AS (PARTITION BY line ORDER BY ping)),
+    sz AS (SELECT line, count(*) AS n, CAST(floor(sum(d) / {res}::DOUBLE) AS BIGINT) AS m FROM st GROUP BY line),
+    ov AS (SELECT px.line, px.ping, k, v, n, m, unnest(range(px.ping * m // n, ((px.ping + 1) * m + n - 1) // n)) AS r FROM px JOIN sz USING (line) WHERE m > 0),
+    mn AS (SELECT line, CAST(r AS INT) AS ping, k, sum((least((ping + 1) * m, (r + 1) * n) - greatest(ping * m, r * n)) * v) / any_value(n) AS v FROM ov GROUP BY line, r, k)"""
+
+
+def overall_view(spark: SparkSession, sf_dir: str, res: float) -> DataFrame:
+    rows = views.waterfall(spark, sf_dir).withColumns({"x": F.col("ping") * 0.375, "y": F.col("ping") * 0.5})
+    return long(speed.overall(rows.withColumnRenamed("bs", "gray"), res), "gray").withColumn("v", rounded("v", 9))
+
+
+@query(and_also(views.WATERFALL, overall_sql(RES)), "SELECT line, ping, k, round(v, 9) AS v FROM mn")
 def speed_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.waterfall(spark, sf_dir).withColumns({"x": F.col("ping") * 0.4, "y": F.col("ping") * 0.3})
-    return speed.overall(rows.withColumnRenamed("bs", "gray"), RES)
+    """Fewer rows than pings: a row is longer than a step."""
+    return overall_view(spark, sf_dir, RES)
+
+
+@query(and_also(views.WATERFALL, overall_sql(0.23)), "SELECT line, ping, k, round(v, 9) AS v FROM mn")
+def speed_overall_enlarged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More rows than pings."""
+    return overall_view(spark, sf_dir, 0.23)
 
 
 # Geocoding.
@@ -630,14 +658,14 @@ def paint_last_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return painted_tiles(spark, sf_dir)
 
 
-@query(and_also(views.TILE_META), "SELECT min(ulx) AS ulx, max(uly) AS uly, min(res) AS res, CAST(ceil((max(uly) - min(uly - h * res)) / min(res)) AS INT) AS h, CAST(ceil((max(ulx + w * res) - min(ulx)) / min(res)) AS INT) AS w FROM meta")
+@query(and_also(views.PAINTED, views.TILE_META), "SELECT min(ulx) AS ulx, max(uly) AS uly, min(res) AS res, CAST(ceil((max(uly) - min(uly - h * res)) / min(res)) AS INT) AS h, CAST(ceil((max(ulx + w * res) - min(ulx)) / min(res)) AS INT) AS w FROM meta")
 def mosaic_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mosaic.extent(views.tile_meta(spark)).drop("epsg")
+    return mosaic.extent(views.tile_meta(spark, sf_dir)).drop("epsg")
 
 
 @query(and_also(views.PAINTED, views.TILE_META), 'SELECT CAST("row" + floor(500.0::DOUBLE - uly) AS INT) AS "row", CAST(col + floor(ulx - 100.0::DOUBLE) AS INT) AS col, max(value) AS value FROM tile JOIN meta USING (line) GROUP BY 1, 2')
 def mosaic_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mosaic.merged(painted_tiles(spark, sf_dir), views.tile_meta(spark))
+    return mosaic.merged(painted_tiles(spark, sf_dir), views.tile_meta(spark, sf_dir))
 
 
 @query(and_also(views.PAINTED), "SELECT line, CAST(count(*) FILTER (value > 1) * 0.1::DOUBLE * 0.1::DOUBLE AS DOUBLE) AS area FROM tile GROUP BY line")
@@ -664,7 +692,18 @@ def painted_track(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return geocode.paints(gray, geocode.subpings(track, RES), meta), meta
 
 
-@query()
+#: The bent track, its parts and headings, and what they paint.
+BENT = """
+    tr AS (SELECT line, ping, 500.0::DOUBLE + ping * 1.7::DOUBLE AS x, 300.0::DOUBLE + ping * 2.9::DOUBLE - ping * ping * 0.021::DOUBLE AS y FROM numbered)"""
+PAINTS = """
+    hd AS (SELECT line, ping, degrees(atan2(coalesce(nx - x, x - lag(x) OVER w), coalesce(ny - y, y - lag(y) OVER w))) AS a FROM nx WINDOW w AS (PARTITION BY line ORDER BY ping)),
+    co AS (SELECT line, min(x) - 20.0::DOUBLE AS ulx, max(y) + 20.0::DOUBLE AS uly FROM tr GROUP BY line),
+    sa AS (SELECT sp.line, sp.ping, step, k, 1 + v % 255 AS v, x, y, radians(CASE WHEN a < 0 THEN a + 360.0::DOUBLE ELSE a END) AS a, (k - 32) * 20.0::DOUBLE / 32 AS t, ulx, uly FROM sp JOIN hd ON hd.line = sp.line AND hd.ping = sp.ping JOIN co ON co.line = sp.line JOIN px ON px.line = sp.line AND px.ping = sp.ping),
+    pi AS (SELECT line, step, k, v, CAST(trunc((uly - (y - t * sin(a))) / 1.0::DOUBLE) AS INT) AS "row", CAST(trunc((x + t * cos(a) - ulx) / 1.0::DOUBLE) AS INT) AS col FROM sa),
+    pn AS (SELECT *, lag("row") OVER w AS r0, lag(col) OVER w AS c0 FROM pi WINDOW w AS (PARTITION BY line, step ORDER BY k))"""
+
+
+@query(and_also(views.WATERFALL, BENT, PARTS, PAINTS), 'SELECT line, "row", col, CAST(arg_max(v, (step, k)) AS SMALLINT) AS value FROM pn WHERE k = 0 OR "row" <> r0 OR col <> c0 GROUP BY line, "row", col')
 def geocode_tile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geocode.last_writer(painted_track(spark, sf_dir)[0], ["step", "k"])
 
@@ -718,10 +757,10 @@ def hist_normal_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("line", *(rounded(c, 6).alias(c) for c in ("mu", "sigma", "difference")))
 
 
-@query()
+@query(and_also(views.WATERFALL, "dr AS (SELECT line, ping, row_number() OVER (PARTITION BY line ORDER BY md5('0:' || ping)) AS n FROM numbered)"), "SELECT line, ping, k, v FROM px JOIN dr USING (line, ping) WHERE n <= 2")
 def drawn_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two pings of each line, drawn by hash: sampling is the feature."""
-    return speed.drawn_pings(views.waterfall(spark, sf_dir), 2)
+    return long(speed.drawn_pings(views.waterfall(spark, sf_dir), 2), "bs")
 
 
 @query()

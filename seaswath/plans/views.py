@@ -84,10 +84,11 @@ PAINTED = """
     tile AS (SELECT line, "row", col, arg_max(value, (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS value FROM paint GROUP BY ALL)"""
 
 
-def tile_meta(spark: SparkSession) -> DataFrame:
-    """Five tiles of 64 pixels a side, a metre a pixel, each half over the one before."""
-    return spark.range(5).select(F.col("id").cast("int").alias("line"), (F.col("id") * 32.0 + 100.0).alias("ulx"), (F.lit(500.0) - F.col("id") * 16.0).alias("uly"), F.lit(1.0).alias("res"), F.lit(64).alias("h"), F.lit(64).alias("w"), F.lit(4499).alias("epsg"))
+def tile_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five tiles' places: as large as what is painted on them, a metre a pixel, each half over the one before."""
+    ends = painted(spark, sf_dir).groupBy("line").agg((F.max("row") + 1).alias("h"), (F.max("col") + 1).alias("w"))
+    return ends.select("line", (F.col("line") * 32.0 + 100.0).alias("ulx"), (F.lit(500.0) - F.col("line") * 16.0).alias("uly"), F.lit(1.0).alias("res"), "h", "w", F.lit(4499).alias("epsg"))
 
 
 TILE_META = """
-    meta AS (SELECT CAST(id AS INT) AS line, id * 32.0::DOUBLE + 100.0::DOUBLE AS ulx, 500.0::DOUBLE - id * 16.0::DOUBLE AS uly, 1.0::DOUBLE AS res, 64 AS h, 64 AS w FROM range(0, 5) r(id))"""
+    meta AS (SELECT line, line * 32.0::DOUBLE + 100.0::DOUBLE AS ulx, 500.0::DOUBLE - line * 16.0::DOUBLE AS uly, 1.0::DOUBLE AS res, max("row") + 1 AS h, max(col) + 1 AS w FROM paint GROUP BY line)"""
