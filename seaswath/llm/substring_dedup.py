@@ -55,10 +55,12 @@ AROUND, BAND = 64, 24
 PAIR_WINDOW, NEAR, REACH = 12, 20, 8
 #: Documents of one batch from which on a key counts as frequent.
 HOT = 8
-#: What stands beside an occurrence: 0 for a seed, the words between its runs for a pair; from MATCHED on, the row is a match already: its key is the anchor, MATCHED plus its place stands there.
+#: What stands beside an occurrence: 0 for a seed, the words between its runs for a pair; from MATCHED on, the row is a match already: its key is the anchor, and MATCHED plus its place and what is between both runs (16 bits) stands there.
 MATCHED = 64
 #: Places that a matched pair gives, its ends included.
 STEPS = 4
+#: From one place of a straight chain to the next fewer words than this: a place's words outweigh the gap on both sides.
+CLOSE = round(SEED / (2 * GAP_COST))
 #: Words that are aligned at once.
 ROWS = 1 << 15
 PAIR = "doc_id long, anchor long"
@@ -115,9 +117,6 @@ class Fenwick:
 
 def chains(x: np.ndarray, y: np.ndarray) -> list[list[int]]:
     """The matches of each chain: places x rise in the document and y in the other one; the best first, each match in one chain."""
-    steps = np.diff(x)
-    if len(x) and (y - x == y[0] - x[0]).all() and (steps > 0).all() and (steps < 2 * SEED / (4 * GAP_COST)).all():
-        return [list(range(len(x)))]  # equally far apart and close to each other: every match adds more than its gap costs
     order = np.lexsort((-y, x))
     rank = np.unique(y, return_inverse=True)[1] + 1
     tree, score, before = Fenwick(int(rank.max())), np.zeros(len(x)), np.full(len(x), -1)
@@ -151,23 +150,50 @@ def pieces_of(chain: list[int], x: np.ndarray, y: np.ndarray) -> list[list[int]]
     return out
 
 
+MATCH = ["doc_id", "anchor", "place", "anchor_place", "between"]
+
+
+def places_of(rows: np.ndarray) -> np.ndarray:
+    """(doc_id, anchor, place, anchor_place) of matches in order, each once: a pair's match stands for STEPS places from its first run to its other one."""
+    pair = rows[rows[:, 4] > 0]
+    inner = [np.column_stack([pair[:, :2], pair[:, 2] + (pair[:, 4] >> 8) * i // (STEPS - 1), pair[:, 3] + (pair[:, 4] & 255) * i // (STEPS - 1)]) for i in range(1, STEPS)]
+    out = np.concatenate([rows[:, :4], *inner])
+    out = out[np.lexsort(out.T[::-1])]
+    return out[np.concatenate([[True], (out[1:] != out[:-1]).any(1)])] if len(out) else out
+
+
+def parts_of(rows: np.ndarray) -> np.ndarray:
+    """(doc_id, anchor, first, last, anchor_first, anchor_last, seeds) of the chains of places, of all pairs of documents with two places or more."""
+    new = np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(1)]) if len(rows) else np.zeros(0, bool)
+    starts = np.flatnonzero(new)
+    sizes = np.diff(np.append(starts, len(rows)))
+    # Places that are equally far apart and close to each other make one chain, without a search: each adds more than its gap costs.
+    step = np.diff(rows[:, 2], prepend=0)
+    bent = ~new & ((step <= 0) | (step >= CLOSE) | (np.diff(rows[:, 3], prepend=0) != step))
+    crooked = np.logical_or.reduceat(bent, starts) if len(starts) else np.zeros(0, bool)
+    some = starts[(sizes >= LEAST_SEEDS) & ~crooked]
+    n = sizes[(sizes >= LEAST_SEEDS) & ~crooked]
+    straight = np.column_stack([rows[some, 0], rows[some, 1], rows[some, 2], rows[some + n - 1, 2] + SEED, rows[some, 3], rows[some + n - 1, 3] + SEED, n])
+    out = []
+    for at, n in zip(starts[(sizes >= LEAST_SEEDS) & crooked].tolist(), sizes[(sizes >= LEAST_SEEDS) & crooked].tolist(), strict=True):
+        x, y = rows[at : at + n, 2], rows[at : at + n, 3]
+        for chain in chains(x, y):
+            if len(chain) >= LEAST_SEEDS:
+                for part in pieces_of(chain, x, y):
+                    a, b = part[0], part[-1]
+                    out.append((rows[at, 0], rows[at, 1], x[a], x[b] + SEED, y[a], y[b] + SEED, len(chain)))
+    return np.concatenate([straight, np.array(out, np.int64).reshape(-1, 7)])
+
+
 def chained(matches: DataFrame, parts: int) -> DataFrame:
-    """doc_id, anchor, first, last, anchor_first, anchor_last, seeds (of the whole chain): the parts of the chains of matches (doc_id, anchor, place, anchor_place)."""
+    """doc_id, anchor, first, last, anchor_first, anchor_last, seeds (of the whole chain): the parts of the chains of matches of LEAST_SEEDS places or more."""
 
     def run(batches):
         held = None
         columns = ["doc_id", "anchor", "first", "last", "anchor_first", "anchor_last", "seeds"]
 
         def made(rows: np.ndarray):
-            cut = np.flatnonzero((rows[1:, 0] != rows[:-1, 0]) | (rows[1:, 1] != rows[:-1, 1])) + 1
-            out = []
-            for group in np.split(rows, cut):
-                x, y = group[:, 2], group[:, 3]
-                for chain in chains(x, y) if len(x) > 1 else [[0]]:
-                    for part in pieces_of(chain, x, y):
-                        a, b = part[0], part[-1]
-                        out.append((group[0, 0], group[0, 1], x[a], x[b] + SEED, y[a], y[b] + SEED, len(chain)))
-            table = np.array(out, np.int64).reshape(-1, 7)
+            table = parts_of(places_of(rows))
             return pa.RecordBatch.from_arrays([pa.array(table[:, i].copy()) for i in range(7)], columns)
 
         for batch in batches:  # sorted by pair: what may go on in the next batch is held back
@@ -182,11 +208,8 @@ def chained(matches: DataFrame, parts: int) -> DataFrame:
         if held is not None and len(held):
             yield made(held)
 
-    dealt = matches.repartition(parts, "doc_id", "anchor").sortWithinPartitions("doc_id", "anchor", "place", "anchor_place")
-    return dealt.select("doc_id", "anchor", "place", "anchor_place").mapInArrow(run, f"{PAIR}, first long, last long, anchor_first long, anchor_last long, seeds long")
-
-
-MATCH = ["doc_id", "anchor", "place", "anchor_place"]
+    dealt = matches.repartition(parts, "doc_id", "anchor").sortWithinPartitions("doc_id", "anchor")
+    return dealt.select(*MATCH).mapInArrow(run, f"{PAIR}, first long, last long, anchor_first long, anchor_last long, seeds long")
 
 
 def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +223,8 @@ def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         seed, doc, place, beside = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
         if (done := beside >= MATCHED).any():
-            yield pa.RecordBatch.from_arrays([pa.array(doc[done]), pa.array(seed[done]), pa.array(place[done]), pa.array(beside[done] - MATCHED)], MATCH)
+            there = beside[done] - MATCHED
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[done], seed[done], place[done], there >> 16, there & 0xFFFF)], MATCH)
             seed, doc, place, beside = seed[~done], doc[~done], place[~done], beside[~done]
         if not len(seed):
             continue
@@ -223,13 +247,8 @@ def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = groups[-1]
         held_seed, held_doc, held_turns = seed[-1], doc[-1], int(turn[-1]) + 1
         first = np.stack([doc[start : start + count[-1]], place[start : start + count[-1]], beside[start : start + count[-1]]], 1)
-        # A pair's match stands for places between its runs as well.
-        is_pair = beside[mine] > 0
-        out = [(doc[mine], doc[theirs], place[mine], place[theirs])]
-        for i in range(1, STEPS):
-            m, t = mine[is_pair], theirs[is_pair]
-            out.append((doc[m], doc[t], place[m] + beside[m] * i // (STEPS - 1), place[t] + beside[t] * i // (STEPS - 1)))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], MATCH)
+        between = (beside[mine] << 8) | beside[theirs]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (doc[mine], doc[theirs], place[mine], place[theirs], between)], MATCH)
 
 
 def occurrences(seed: np.ndarray, doc: np.ndarray, place: np.ndarray, beside: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -243,8 +262,8 @@ def occurrences(seed: np.ndarray, doc: np.ndarray, place: np.ndarray, beside: np
     hot = (holders >= HOT)[group]
     if hot.any():
         for m in paired(iter([pa.RecordBatch.from_arrays([pa.array(c[hot]) for c in (seed, doc, place, beside)], names)])):
-            mine, anchor, at, there = (c.to_numpy() for c in m.columns)
-            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(mine), pa.array(at), pa.array(there + MATCHED)], names)
+            mine, anchor, at, there, between = (c.to_numpy() for c in m.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(mine), pa.array(at), pa.array((there << 16 | between) + MATCHED)], names)
     goes = ~hot | (doc == doc[np.flatnonzero(new_seed)][group])
     yield pa.RecordBatch.from_arrays([pa.array(c[goes]) for c in (seed, doc, place, beside)], names)
 
@@ -260,7 +279,7 @@ def matched(text: DataFrame, parts: int) -> DataFrame:
     found = text.mapInArrow(run, "key long, doc_id long, place long, beside long")
     by = F.when(F.col("beside") >= MATCHED, F.xxhash64("doc_id")).otherwise(F.col("key"))
     dealt = found.repartition(parts, by).sortWithinPartitions("key", "doc_id", "place")
-    return dealt.mapInArrow(paired, f"{PAIR}, place long, anchor_place long")
+    return dealt.mapInArrow(paired, f"{PAIR}, place long, anchor_place long, between long")
 
 
 def window(first: Column, last: Column) -> tuple[Column, Column]:
@@ -309,13 +328,31 @@ def anchor_words(windows: DataFrame, text: DataFrame) -> DataFrame:
 
 def agreeing(x: np.ndarray, y: np.ndarray, shift: int) -> np.ndarray:
     """For each word of x the place in y that it aligns with, or -1: equal words of which at least 3 in 7 successive ones
-    stand equally far apart, by shift and at most BAND more or less; of several places that with the most equal words round it."""
+    stand equally far apart, by shift and at most BAND more or less; where all seven are equal by shift, that place, else of several
+    places that with the most equal words round it."""
     n = len(x)
-    if n > ROWS:  # some rows at a time, with those beside them that the sums below reach
-        parts = [(a, max(0, a - 3), min(n, a + ROWS)) for a in range(0, n, ROWS)]
-        cut = [(agreeing_rows(x[b : min(n, e + 3)], y, shift + b), a - b, e - b) for a, b, e in parts]
-        return np.concatenate([found[a:e] for found, a, e in cut])
-    return agreeing_rows(x, y, shift)
+    here = np.arange(n) + shift
+    inside = (here >= 0) & (here < len(y))
+    same = np.zeros(n + 7, np.int64)
+    same[4 : n + 4][inside] = x[inside] == y[here[inside]]
+    same = np.cumsum(same)
+    sure = same[7:] - same[:n] == 7
+    out = np.where(sure, here, -1)
+    # What is left is looked at in the band, in stretches of at most ROWS words, with the words beside them that the sums reach.
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], ~sure, [False]])))
+    spans: list[list[int]] = []
+    for a, b in edges.reshape(-1, 2).tolist():
+        if spans and a - spans[-1][1] < 16:
+            spans[-1][1] = b
+        else:
+            spans.append([a, b])
+    for begin, end in spans:
+        for a in range(begin, end, ROWS):
+            b = min(end, a + ROWS)
+            low = max(0, a - 3)
+            found = agreeing_rows(x[low : min(n, b + 3)], y, shift + low)[a - low : b - low]
+            out[a:b] = np.where(sure[a:b], out[a:b], found)
+    return out
 
 
 def agreeing_rows(x: np.ndarray, y: np.ndarray, shift: int) -> np.ndarray:

@@ -491,7 +491,7 @@ def test_pairs_by_brute_force():
     for size in (1, 7, 1000):
         batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + size], strict=True)], ["seed", "doc_id", "place"]) for i in range(0, len(rows), size)]
         batches = [pa.RecordBatch.from_arrays([*b.columns, pa.array([0] * len(b))], ["seed", "doc_id", "place", "beside"]) for b in batches]
-        assert Counter(tuple(r.values()) for b in substring_dedup.paired(iter(batches)) for r in b.to_pylist()) == want
+        assert Counter(tuple(r.values())[:4] for b in substring_dedup.paired(iter(batches)) for r in b.to_pylist()) == want
 
 
 def test_hot_seeds_are_matched_in_their_batch():
@@ -499,11 +499,11 @@ def test_hot_seeds_are_matched_in_their_batch():
     docs = np.repeat(np.arange(100, 150), 2)
     seed, place = np.tile([7, 100], 50) + np.where(np.arange(100) % 2, np.arange(100), 0), np.arange(100) * 3
     rows = [tuple(r.values()) for b in substring_dedup.occurrences(seed, docs, place, np.zeros(100, np.int64)) for r in b.to_pylist()]
-    done = {(d, k, p, b - substring_dedup.MATCHED) for k, d, p, b in rows if b >= substring_dedup.MATCHED}
+    done = {(d, k, p, b - substring_dedup.MATCHED >> 16) for k, d, p, b in rows if b >= substring_dedup.MATCHED}
     assert done == {(d, 100, int(p), 0) for d, p in zip(docs[2::2].tolist(), place[2::2], strict=True)}
     assert sorted(r for r in rows if not r[3]) == sorted([(7, 100, 0, 0), *((int(s), int(d), int(p), 0) for s, d, p in zip(seed[1::2], docs[1::2], place[1::2], strict=True))])
     batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*sorted(rows), strict=True)], ["key", "doc_id", "place", "beside"])
-    assert {tuple(r.values()) for b in substring_dedup.paired(iter([batch])) for r in b.to_pylist()} == done
+    assert {tuple(r.values())[:4] for b in substring_dedup.paired(iter([batch])) for r in b.to_pylist()} == done
 
 
 def test_passages_of_odd_rows(spark):
@@ -580,19 +580,23 @@ def test_alignment_of_very_long_texts(monkeypatch):
     x = rng.integers(0, 400, 1000).astype(np.uint32)
     y = np.concatenate([x[:300], x[310:]])
     y[rng.choice(len(y), 90, replace=False)] = 999
-    want = substring_dedup.agreeing(x, y, 0)
+    want = substring_dedup.agreeing_rows(x, y, 0)
+    assert (substring_dedup.agreeing(x, y, 0) == want).all()
     for rows in (7, 64, 333):
         monkeypatch.setattr(substring_dedup, "ROWS", rows)
         assert (substring_dedup.agreeing(x, y, 0) == want).all()
 
 
 def test_straight_chains_are_those_of_the_tree():
-    """Matches that are equally far apart and close make one chain, as the Fenwick tree finds."""
+    """Matches that are equally far apart and close make one chain, as the Fenwick tree finds; single ones make none; pairs fill what is between."""
     rng = np.random.default_rng(7)
-    x = np.cumsum(rng.integers(1, 20, 60))
+    x = np.cumsum(rng.integers(1, substring_dedup.CLOSE, 60))
     assert substring_dedup.chains(x, x + 11) == [list(range(60))]
-    bent = np.append(x, x[-1] + 3)
-    assert list(range(60)) in [c[:60] for c in substring_dedup.chains(bent, np.append(x + 11, x[-1] + 15))]
+    rows = np.concatenate([np.column_stack([np.full(60, d), np.full(60, 1), x, x + 11 + (x > 300) * (d == 3)]) for d in (2, 3)] + [[[4, 1, 5, 9]]])
+    found = substring_dedup.parts_of(rows).tolist()
+    assert found[0] == [2, 1, x[0], x[-1] + 4, x[0] + 11, x[-1] + 15, 60] and [f[0] for f in found] == [2, 3]
+    twice = np.array([[2, 1, 10, 30, 21 << 8 | 24], [2, 1, 10, 30, 0], [2, 1, 31, 54, 0]])
+    assert substring_dedup.places_of(twice).tolist() == [[2, 1, 10, 30], [2, 1, 17, 38], [2, 1, 24, 46], [2, 1, 31, 54]]
 
 
 def test_chains_by_brute_force():
