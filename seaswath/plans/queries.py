@@ -640,6 +640,31 @@ def tow_to_spatial(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial_view(spark, sf_dir).select("line", "ping", "k", rounded("x", 4).alias("x"), rounded("y", 4).alias("y"))
 
 
+#: Turned by heading, then by roll, then by pitch, each axis written out.
+TILTED = """
+    an AS (SELECT px.line, px.ping, k, tr.x, tr.y, (k - 32) * 80.0::DOUBLE / 32 AS t, -((px.ping % 7)::DOUBLE) AS z, radians((px.ping * 7) % 360) AS h, radians((px.ping * 3) % 11 - 5) AS r, radians((px.ping * 5) % 9 - 4) AS p FROM px JOIN tr ON tr.line = px.line AND tr.ping = px.ping),
+    rz AS (SELECT *, t * cos(h) AS x1, -t * sin(h) AS y1, z AS z1 FROM an),
+    ry AS (SELECT *, cos(r) * x1 - sin(r) * z1 AS x2, y1 AS y2, -sin(r) * x1 + cos(r) * z1 AS z2 FROM rz),
+    rx AS (SELECT *, x2 AS x3, cos(p) * y2 - sin(p) * z2 AS y3 FROM ry)"""
+
+
+@query(and_also(views.WATERFALL, views.NAVIGATION, FILLED, PLANE, TILTED), "SELECT line, ping, k, round(x + x3, 4) AS x, round(y + y3, 4) AS y FROM rx")
+def tow_to_spatial_tilted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions of samples below a fish that rolls and pitches."""
+    rows = views.waterfall(spark, sf_dir).join(plane_view(spark, sf_dir), ["line", "ping"])
+    ping = F.col("ping")
+    angles = {"h": (ping * 7) % 360, "r": (ping * 3) % 11 - 5, "p": (ping * 5) % 9 - 4, "z": -(ping % 7)}
+    each = rows.select("line", "ping", "x", "y", *(c.cast("double").alias(n) for n, c in angles.items()), F.size("bs").alias("n"), F.posexplode("bs").alias("k", "v"))
+    x, y = geocode.spatial(F.col("x"), F.col("y"), F.col("h"), geocode.tow_distance(F.col("k"), F.col("n"), F.lit(80.0)), F.col("r"), F.col("p"), F.col("z"))
+    return each.select("line", "ping", "k", rounded(x, 4).alias("x"), rounded(y, 4).alias("y"))
+
+
+@query(and_also(views.WATERFALL, BOTTOM), "SELECT line, round(sqrt(greatest(0, 6400.0::DOUBLE - power(80.0::DOUBLE - max(port_x) * (80.0::DOUBLE / 32), 2))), 6) AS reach FROM bt GROUP BY line")
+def flat_range_of_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = geocode.flat_range_of_depth(bottom_view(spark, sf_dir), RANGE, F.lit(32))
+    return found.select("line", rounded("reach", 6).alias("reach"))
+
+
 @query(
     and_also(views.WATERFALL, views.NAVIGATION, FILLED, PLANE, SPATIAL),
     "SELECT line, ping, k, CAST(trunc((900.0037::DOUBLE - y) / 0.7::DOUBLE) AS INT) AS \"row\", CAST(trunc((x + 100.0041::DOUBLE) / 0.7::DOUBLE) AS INT) AS col FROM sc",

@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from seaswath.functions import acoustics
 from seaswath.operators import bottom, gain, geocode, ingest, mosaic, navigation, qc, repair, slant, speed, stretch
 from seaswath.operators.ordered import LINE
-from seaswath.sources import jsf, raster
+from seaswath.plans import store
+from seaswath.sources import raster
 from seaswath.sources.tables import stored, workspace
-from seaswath.types import SONAR, Params
+from seaswath.types import Params
 
 log = logging.getLogger("seaswath")
 PING = "line string, ping int, ping_number long, bs array<double>, lon double, lat double, heading double, pitch double, roll double, speed double, course double"
@@ -66,6 +67,8 @@ def geocoded(gray: DataFrame, track: DataFrame, p: Params, fill: bool = True) ->
     angled, angle = geocode.course(track, p.angle, p.angle_s)
     reach = geocode.flat_range(p.slant_range, F.col("slant_width"), F.size("gray"))
     rows = gray.select(LINE, "ping", "gray", reach.alias("reach"))
+    if not p.level:
+        rows = rows.join(track.select(LINE, "ping", "roll", "pitch"), [LINE, "ping"])
     meta = geocode.tile_meta(rows.select(LINE, "ping", "reach").join(track.select(LINE, "ping", "x", "y"), [LINE, "ping"]), p.res, p.proj_epsg)
     curve = "curve" if "curve" in track.columns else None
     parts = geocode.subpings(angled, p.res, angle, curve, "angle_curve" if angle else None)
@@ -99,15 +102,14 @@ def quality(tile: Tile, p: Params) -> DataFrame:
 
 
 def run_ingest(spark: SparkSession, source: str, out: str, p: Params, mode: str = "FAILFAST") -> DataFrame:
-    """JSF files to downsampled pings, as Parquet by line."""
-    messages = jsf.read(spark, source, mode, messagetype=SONAR, subsystem=p.frequency)
-    rows = ingest.downsample(ingest.pings(messages, p.frequency), p.slant_range, p.res)
-    rows.write.mode("overwrite").partitionBy(LINE).parquet(f"{out}/pings")
+    """JSF files to messages, raw pings and downsampled pings, as Parquet by line; only new and changed files are read."""
+    read = store.update(spark, source, out, p, mode)
+    log.info("%d files read", read)
     return read_pings(spark, out)
 
 
 def read_pings(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/pings").withColumn(LINE, F.col(LINE).cast("string"))
+    return store.read(spark, folder, "pings")
 
 
 def run_tiles(spark: SparkSession, folder: str, p: Params, sinks: bool = True) -> Tile:
@@ -149,7 +151,7 @@ def main(args: list[str] | None = None) -> None:
             parser.add_argument(f"--{f.name}", type=kind, default=f.default)
     a = parser.parse_args(args)
     values = {f.name: getattr(a, f.name) for f in fields(Params)}
-    p = Params(**{k: tuple(v) if k == "bottom_offset" else bool(v) if k in ("is_ns", "compat", "use_ab_line_correction") else v for k, v in values.items()})
+    p = Params(**{k: tuple(v) if k == "bottom_offset" else bool(v) if k in ("is_ns", "compat", "use_ab_line_correction", "level") else v for k, v in values.items()})
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(message)s")
     log.info("%s", p)
     spark = SparkSession.builder.appName("seaswath").getOrCreate()

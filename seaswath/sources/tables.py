@@ -27,3 +27,8 @@ def dropped(spark: SparkSession, folder: str, name: str) -> None:
     """Delete a table that nothing reads any more."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)

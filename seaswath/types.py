@@ -79,6 +79,7 @@ class Params:
     angle: str = "cog"
     angle_s: float = 10.0
     compat: bool = True
+    level: bool = True
 
     @property
     def frequency_hz(self) -> float:

@@ -317,3 +317,13 @@ def test_subpings_lie_on_the_spline(spark):
     assert np.allclose(angled.heading[angled["sub"] == 0], 90 + 20 * np.sin(np.arange(150) / 9.0), atol=1e-6)
     straight = geocode.subpings(smooth, 0.1).where("line = 'a'")
     assert straight.count() == len(parts)
+
+
+def test_tilted_fish(spark):
+    """A level fish by the long way is the level one; a roll draws samples in by its cosine; a null angle is level."""
+    at = lambda *more: value(spark, F.array(*geocode.spatial(F.lit(10.0), F.lit(20.0), F.lit(30.0), F.lit(5.0), *more)))
+    level = at()
+    assert np.allclose(at(F.lit(0.0), F.lit(0.0), F.lit(-9.0)), level) and at(F.lit(None), F.lit(None)) == level
+    rolled, pitched = at(F.lit(20.0)), at(None, F.lit(20.0))
+    assert rolled[0] - 10 == pytest.approx((level[0] - 10) * math.cos(math.radians(20))) and rolled[1] == pytest.approx(level[1])
+    assert pitched[1] - 20 == pytest.approx((level[1] - 20) * math.cos(math.radians(20))) and pitched[0] == pytest.approx(level[0])

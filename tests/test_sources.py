@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from seaswath.operators import ingest
-from seaswath.plans import tile
+from seaswath.plans import store, tile
 from seaswath.sources import jsf, raster
 from seaswath.streaming import ingest as stream
 from seaswath.types import Params
@@ -166,3 +166,25 @@ def test_stream(spark, folder):
     q = stream.start(spark, f"file://{folder}/in", f"file://{folder}/streamed", f"file://{folder}/check", p, once=True)
     q.awaitTermination(120)
     assert q.exception() is None and spark.read.parquet(f"file://{folder}/streamed").count() == 118
+
+
+def test_only_new_and_changed_files_are_read(spark, folder, monkeypatch):
+    """A second run reads nothing; a changed file replaces its line in all tables, a new one adds one, the others stay."""
+    p, source, out = Params(slant_range=5.0, res=0.5), f"file://{folder}/in", f"file://{folder}/out"
+    assert store.update(spark, source, out, p) == 2
+    assert store.read(spark, out, "messages").count() == 2 * 122 and store.read(spark, out, "raw").count() == 2 * 59
+    raw = store.read(spark, out, "raw").where("line = 'a'").first()
+    assert len(raw.bs) == 80 and len(store.read(spark, out, "pings").first().bs) < 80
+    kept = sorted((folder / "out" / "raw" / "line=b").iterdir())
+    with monkeypatch.context() as m:
+        m.setattr(jsf, "decoded_ranges", None)
+        assert store.update(spark, source, out, p) == 0
+    (folder / "in" / "a.jsf").write_bytes(jsf.encoded(survey(20)))
+    (folder / "in" / "c.JSF").write_bytes(jsf.encoded(survey(30)))
+    assert {r.line for r in store.pending(spark, source, out).collect()} == {"a", "c"}
+    assert store.update(spark, source, out, p, split=5000) == 2
+    counts = {r.line: r["count"] for r in store.read(spark, out, "pings").groupBy("line").count().collect()}
+    assert counts == {"a": 19, "b": 59, "c": 29}
+    assert {r.line: r["count"] for r in store.read(spark, out, "messages").groupBy("line").count().collect()} == {"a": 40, "b": 122, "c": 61}
+    assert sorted((folder / "out" / "raw" / "line=b").iterdir()) == kept and store.update(spark, source, out, p) == 0
+    assert store.manifest(spark, out).count() == 3
