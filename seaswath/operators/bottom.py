@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from seaswath.functions import arrays
 from seaswath.operators.ordered import LINE, halo, in_chunk, owned
 from seaswath.operators.recurrence import recurrence
+from seaswath.sources.tables import stored, workspace
 
 SIDES = ("port", "stbd")
 TOTAL = float(arrays.SMOOTH_11[3])
@@ -154,8 +155,10 @@ def smoothed(bottom: DataFrame) -> DataFrame:
 
 
 def detect(pings: DataFrame, factor: float = 0.1, win_h: int = 10, compat: bool = True) -> DataFrame:
-    """Coarse line, corrected twice, smoothed."""
-    return smoothed(abnormal_corrected(coarse(pings, factor, compat), win_h, 2))
+    """Coarse line, corrected twice, smoothed. Two whole numbers a ping are written in between: later steps read them more than once."""
+    folder = workspace(pings.sparkSession)
+    found = stored(coarse(pings, factor, compat), folder, "coarse")
+    return smoothed(stored(abnormal_corrected(found, win_h, 2), folder, "corrected"))
 
 
 def overlay(pings: DataFrame, bottom: DataFrame, radius: int = 1) -> DataFrame:

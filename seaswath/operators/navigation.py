@@ -48,29 +48,28 @@ def without_repeats(df: DataFrame, columns: list[str]) -> DataFrame:
     return marked_fixes(df, columns, "_fix").where("_fix").drop("_fix")
 
 
-def around_fixes(df: DataFrame, columns: list[str], is_fix: Column) -> DataFrame:
-    """df with structs _prev, _next (the fixes at or before and after a row) and _prev2 (the one before _prev): ping and columns of each."""
-    fix = F.struct(F.col("ping").alias("p"), *(F.col(c).alias(f"v{i}") for i, c in enumerate(columns)))
-    fixes = df.where(is_fix).select(LINE, "ping", fix.alias("_fix"))
-    # Each fix knows its neighbours: a window over fixes alone, numbered so that chunks of fixes with a halo do.
-    numbered_fixes = running_sum(fixes, F.lit(1), "_q").withColumn("_at", F.col("ping")).withColumn("ping", (F.col("_q") - 1).cast("int"))
-    linked = owned(halo(numbered_fixes, 1, 1).withColumn("_after", F.lead("_fix").over(in_chunk())).withColumn("_before", F.lag("_fix").over(in_chunk())))
-    linked = linked.select(LINE, F.col("_at").alias("ping"), F.struct(F.col("_fix").alias("prev"), F.col("_after").alias("next"), F.col("_before").alias("prev2")).alias("_link"))
-    joined = df.join(linked, [LINE, "ping"], "left").withColumn("_have", F.col("_link").isNotNull())
-    spread = filled(joined, F.col("_have"), ["_link"]).drop("_have")
-    return spread.withColumn("_prev", F.col("_link.prev")).withColumn("_next", F.col("_link.next")).withColumn("_prev2", F.col("_link.prev2")).drop("_link")
-
-
 def interpolate_between_fixes(df: DataFrame, columns: list[str], is_fix: Column) -> DataFrame:
-    """Between kept fixes columns run linearly; after the last the slope goes on; a single fix holds."""
-    rows = around_fixes(df, columns, is_fix)
-    new = {}
+    """Between kept fixes columns run linearly; after the last the slope goes on; a single fix holds.
+
+    Pings with the number of their fix are written once; a window over fixes alone gives each its neighbours, and pings
+    join their fix by its number.
+    """
+    narrow = df.select(LINE, "ping", *columns, is_fix.alias("_fix"))
+    counted = stored(running_sum(narrow, F.col("_fix").cast("long"), "_q"), workspace(df.sparkSession), "fixes")
+    w = in_chunk()
+    fixes = counted.where("_fix").select(LINE, F.col("_q").cast("int").alias("ping"), F.struct(F.col("ping").alias("p"), *(F.col(c).alias(f"v{i}") for i, c in enumerate(columns))).alias("_at"))
+    linked = owned(halo(fixes, 1, 1).withColumns({"_next": F.lead("_at").over(w), "_last": F.lag("_at").over(w)}))
+    linked = linked.select(LINE, F.col("ping").cast("long").alias("_q"), "_at", "_next", "_last")
+    # Pings before the first fix go with it.
+    rows = counted.withColumn("_q", F.greatest(F.col("_q"), F.lit(1).cast("long"))).join(linked, [LINE, "_q"], "left")
+    at, after, before, new = F.col("_at"), F.col("_next"), F.col("_last"), []
     for i, c in enumerate(columns):
-        p, n, b = (F.col(x) for x in ("_prev", "_next", "_prev2"))
         v = f"v{i}"
-        onward = F.when(n.isNotNull(), (n[v] - p[v]) / (n["p"] - p["p"])).when(b.isNotNull(), (p[v] - b[v]) / (p["p"] - b["p"])).otherwise(F.lit(0.0))
-        new[c] = p[v] + (F.col("ping") - p["p"]) * onward
-    return rows.withColumns(new).drop("_prev", "_next", "_prev2")
+        onward = F.when(after.isNotNull(), (after[v] - at[v]) / (after["p"] - at["p"])).when(before.isNotNull(), (at[v] - before[v]) / (at["p"] - before["p"])).otherwise(F.lit(0.0))
+        new.append((at[v] + (F.col("ping") - at["p"]) * onward).alias(c))
+    done = rows.select(LINE, "ping", *new)
+    others = [c for c in df.columns if c not in (LINE, "ping", *columns)]
+    return (df.drop(*columns).join(done, [LINE, "ping"]) if others else done).select(*df.columns)
 
 
 def projected(df: DataFrame, geo_epsg: int, proj_epsg: int) -> DataFrame:

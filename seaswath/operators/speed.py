@@ -13,16 +13,18 @@ from pyspark.sql import functions as F
 
 from seaswath.operators.navigation import line_lengths, marked_fixes
 from seaswath.operators.ordered import LINE, halo, in_chunk, numbered, owned, running_sum
+from seaswath.sources.tables import stored, workspace
 
 
 def with_segments(rows: DataFrame) -> DataFrame:
-    """rows with segment: the number of position fixes before or at a ping, from 0."""
-    return running_sum(marked_fixes(rows, ["x", "y"], "_fix"), F.col("_fix").cast("long"), "segment").withColumn("segment", (F.col("segment") - 1).cast("int"))
+    """line, ping, x, y, segment of rows: the number of position fixes before or at a ping, from 0. Written once: it is read several times."""
+    narrow = marked_fixes(rows.select(LINE, "ping", "x", "y"), ["x", "y"], "_fix")
+    counted = running_sum(narrow, F.col("_fix").cast("long"), "segment").select(LINE, "ping", "x", "y", (F.col("segment") - 1).cast("int").alias("segment"))
+    return stored(counted, workspace(rows.sparkSession), "segments")
 
 
-def segments(rows: DataFrame, res: float) -> DataFrame:
+def segments_of(marked: DataFrame, res: float) -> DataFrame:
     """line, segment, h_o (pings), h_r (rows wanted): between successive fixes; what follows the last one is left out."""
-    marked = with_segments(rows)
     sizes = marked.groupBy(LINE, F.col("segment")).agg(F.count("*").alias("h_o"), F.first("x").alias("x"), F.first("y").alias("y"))
     steps = halo(sizes.withColumn("ping", F.col("segment")), 0, 1)
     dx, dy = F.lead("x").over(in_chunk()) - F.col("x"), F.lead("y").over(in_chunk()) - F.col("y")
@@ -30,6 +32,10 @@ def segments(rows: DataFrame, res: float) -> DataFrame:
     return measured.select(LINE, "segment", "h_o", F.floor(F.col("_d") / res).cast("long").alias("h_r"))
 
 
+def segments(rows: DataFrame, res: float) -> DataFrame:
+    return segments_of(with_segments(rows), res)
+
+
 def copies(rank: Column) -> Column:
     """How often a row stands in the result: h_r div h_o times, once more for as many as are left over."""
     fold = F.floor(F.col("h_r") / F.col("h_o"))
@@ -38,12 +44,15 @@ def copies(rank: Column) -> Column:
 
 def blockwise(rows: DataFrame, res: float, seed: int = 0) -> DataFrame:
     """rows (without x, y) with source_ping and a new dense ping."""
-    marked = with_segments(rows).join(segments(rows, res), [LINE, "segment"]).withColumn("_h", F.xxhash64(F.lit(seed), F.col("ping")))
+    marked = with_segments(rows)
+    wanted = marked.join(segments_of(marked, res), [LINE, "segment"]).withColumn("_h", F.xxhash64(F.lit(seed), F.col("ping")))
     # Ranked by hash, and by the hash's upper bits in buckets: a segment of very many pings is dealt out.
-    ranked = numbered(marked, [LINE, "segment"], ["_h"], F.shiftright("_h", 54), "_rank")
+    ranked = numbered(wanted, [LINE, "segment"], ["_h"], F.shiftright("_h", 54), "_rank")
     repeated = ranked.withColumn("_n", copies(F.col("_rank")).cast("int")).where("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-    again = repeated.withColumnRenamed("ping", "source_ping").drop("_fix", "segment", "h_o", "h_r", "_h", "_rank", "_n", "x", "y")
-    return numbered(again, [LINE], ["source_ping", "_copy"], F.floor(F.col("source_ping") / 1024)).drop("_copy")
+    again = repeated.select(LINE, F.col("ping").alias("source_ping"), "_copy")
+    # Rows are numbered by themselves and meet their data last.
+    done = numbered(again, [LINE], ["source_ping", "_copy"], F.floor(F.col("source_ping") / 1024)).drop("_copy")
+    return rows.drop("x", "y").withColumnRenamed("ping", "source_ping").join(done, [LINE, "source_ping"])
 
 
 def overall(rows: DataFrame, res: float, seed: int = 0, column: str = "gray") -> DataFrame:

@@ -445,7 +445,7 @@ INTERPOLATED = """
 
 @query(and_also(views.NAVIGATION, FILLED, INTERPOLATED), "SELECT line, ping, round(lon, 8) AS lon, round(lat, 8) AS lat FROM it")
 def interpolate_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = navigation.marked_fixes(filled_view(spark, sf_dir), ["lon", "lat"])
+    marked = navigation.marked_fixes(filled_view(spark, sf_dir).select("line", "ping", "lon", "lat"), ["lon", "lat"], "is_fix")
     done = navigation.interpolate_between_fixes(marked, ["lon", "lat"], F.col("is_fix"))
     return done.select("line", "ping", rounded("lon", 8).alias("lon"), rounded("lat", 8).alias("lat"))
 
