@@ -49,6 +49,8 @@ from seaswath.llm.words import STEP, hashed_words, mixed, runs
 SEED, WINDOW, LEAST, AGREE, GAP_COST, LEAST_SEEDS = 4, 4, 50, 0.8, 0.1, 2
 #: Fewest words of an aligned piece, and those at its ends that must agree by half.
 LEAST_PIECE, EDGE = 16, 8
+#: Lengths of parts, from and to, that together are all from LEAST_PIECE to twice that.
+LENGTHS = ((16, 19), (20, 24), (25, 31))
 #: Words on each side of a chain that travel with it for prolonging, and how far an alignment may leave the diagonal.
 AROUND, BAND = 64, 24
 #: Runs of which one begins a pair, the least words from it to the pair's other run, and how many runs are looked at there.
@@ -115,38 +117,80 @@ class Fenwick:
         return found
 
 
-def chains(x: np.ndarray, y: np.ndarray) -> list[list[int]]:
-    """The matches of each chain: places x rise in the document and y in the other one; the best first, each match in one chain."""
-    order = np.lexsort((-y, x))
-    rank = np.unique(y, return_inverse=True)[1] + 1
-    tree, score, before = Fenwick(int(rank.max())), np.zeros(len(x)), np.full(len(x), -1)
-    for i in order:
+def fragments(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Matches that are equally far apart and close to each other, as one: (the order that lists them one after another, where each begins, how many it has)."""
+    order = np.lexsort((x, y - x))
+    step = np.diff(x[order], prepend=x[order[:1]])
+    new = (np.diff((y - x)[order], prepend=(y - x)[order[:1]]) != 0) | (step >= CLOSE)
+    new[:1] = True
+    starts = np.flatnonzero(new)
+    return order, starts, np.diff(np.append(starts, len(x)))
+
+
+def linked(first: np.ndarray, last: np.ndarray, weight: np.ndarray) -> list[list[int]]:
+    """Chains of fragments (their first and last match: x, y; the words they are worth less gaps), the best first, each fragment in one chain.
+
+    Places rise from fragment to fragment in both documents; the best chain that ends with a fragment follows from the greatest value among
+    those that end before it in both.
+    """
+    n = len(first)
+    ranks = np.unique(last[:, 1])
+    tree, score, before = Fenwick(len(ranks)), np.zeros(n), [-1] * n
+    at = (np.searchsorted(ranks, last[:, 1]) + 1).tolist()
+    below = np.searchsorted(ranks, first[:, 1]).tolist()  # how many ranks end before a fragment's first place
+    ended, k = np.argsort(last[:, 0], kind="stable").tolist(), 0
+    x0, y0, x1, y1, w = first[:, 0].tolist(), first[:, 1].tolist(), last[:, 0].tolist(), last[:, 1].tolist(), weight.tolist()
+    for i in np.lexsort((-first[:, 1], first[:, 0])).tolist():
+        while k < n and x1[ended[k]] < x0[i]:
+            j = ended[k]
+            tree.put(at[j], (score[j] + GAP_COST * (x1[j] + y1[j]), j))
+            k += 1
         # A match is worth its words; a gap costs GAP_COST a word on either side: f(j) + cost * (x_j + y_j) is compared.
-        value, j = tree.upto(int(rank[i]) - 1)
-        onward = value - GAP_COST * (x[i] + y[i])
-        fresh = min(SEED, x[i] - x[j], y[i] - y[j]) if j >= 0 else SEED
-        score[i], before[i] = (fresh + onward, j) if j >= 0 and fresh + onward > SEED else (SEED, -1)
-        tree.put(int(rank[i]), (score[i] + GAP_COST * (x[i] + y[i]), int(i)))
-    out, used = [], np.zeros(len(x), bool)
-    for i in np.lexsort((x, -score)):
-        chain, j = [], int(i)
+        value, j = tree.upto(below[i])
+        score[i] = w[i]
+        if j >= 0:
+            more = min(SEED, x0[i] - x1[j], y0[i] - y1[j]) + value - GAP_COST * (x0[i] + y0[i])
+            if more > SEED:
+                score[i], before[i] = w[i] - SEED + more, j
+    out, used = [], [False] * n
+    for i in np.lexsort((first[:, 0], -score)).tolist():
+        chain, j = [], i
         while j >= 0 and not used[j]:
             chain.append(j)
             used[j] = True
-            j = int(before[j])
+            j = before[j]
         if chain:
             out.append(chain[::-1])
     return out
 
 
-def pieces_of(chain: list[int], x: np.ndarray, y: np.ndarray) -> list[list[int]]:
-    """A chain cut at gaps of more than AROUND words, and where its shift leaves that of the part's beginning by more than half a band."""
+def chained_fragments(x: np.ndarray, y: np.ndarray) -> tuple[list[list[int]], np.ndarray, np.ndarray, np.ndarray]:
+    """(chains of fragments, the order of matches in them, where each fragment begins, how many it has)."""
+    order, starts, sizes = fragments(x, y)
+    ends = starts + sizes - 1
+    steps = np.diff(x[order], prepend=0)
+    steps[starts] = 0
+    gained = np.concatenate([[0.0], np.cumsum(np.minimum(SEED, steps) - 2 * GAP_COST * steps)])
+    weight = SEED + gained[ends + 1] - gained[starts]
+    places = np.column_stack([x, y])[order]
+    return linked(places[starts], places[ends], weight), order, starts, sizes
+
+
+def chains(x: np.ndarray, y: np.ndarray) -> list[list[int]]:
+    """The matches of each chain: places x rise in the document and y in the other one; the best first, each match in one chain."""
+    found, order, starts, sizes = chained_fragments(x, y)
+    return [[int(i) for f in chain for i in order[starts[f] : starts[f] + sizes[f]]] for chain in found]
+
+
+def pieces_of(chain: list[tuple[int, int, int, int]]) -> list[list[int]]:
+    """A chain's fragments (first and last place in the document, then in the other one), cut at gaps of more than AROUND words,
+    and where the shift leaves that of a part's beginning by more than half a band: (first, last, first, last)."""
     out: list[list[int]] = []
-    for i in chain:
-        if out and max(x[i] - x[out[-1][-1]], y[i] - y[out[-1][-1]]) <= AROUND and abs((y[i] - x[i]) - (y[out[-1][0]] - x[out[-1][0]])) <= BAND // 2:
-            out[-1].append(i)
+    for a, b, c, d in chain:
+        if out and max(a - out[-1][1], c - out[-1][3]) <= AROUND and abs((c - a) - (out[-1][2] - out[-1][0])) <= BAND // 2:
+            out[-1][1], out[-1][3] = b, d
         else:
-            out.append([i])
+            out.append([a, b, c, d])
     return out
 
 
@@ -177,11 +221,17 @@ def parts_of(rows: np.ndarray) -> np.ndarray:
     out = []
     for at, n in zip(starts[(sizes >= LEAST_SEEDS) & crooked].tolist(), sizes[(sizes >= LEAST_SEEDS) & crooked].tolist(), strict=True):
         x, y = rows[at : at + n, 2], rows[at : at + n, 3]
-        for chain in chains(x, y):
-            if len(chain) >= LEAST_SEEDS:
-                for part in pieces_of(chain, x, y):
-                    a, b = part[0], part[-1]
-                    out.append((rows[at, 0], rows[at, 1], x[a], x[b] + SEED, y[a], y[b] + SEED, len(chain)))
+        doc, anchor, kept = *rows[at, :2].tolist(), []
+        found, order, first, many = chained_fragments(x, y)
+        last, many = order[first + many - 1], many.tolist()
+        ends = list(zip(x[order[first]].tolist(), x[last].tolist(), y[order[first]].tolist(), y[last].tolist(), strict=True))
+        for chain in found:
+            seeds = sum(many[f] for f in chain)
+            for a, b, c, d in pieces_of([ends[f] for f in chain]) if seeds >= LEAST_SEEDS else ():
+                # What another part's band holds as well would be aligned twice.
+                if not any(a >= e - AROUND and b + SEED <= f + AROUND and abs(c - a - shift) <= BAND // 2 for e, f, shift in kept):
+                    kept.append((a, b + SEED, c - a))
+                    out.append((doc, anchor, a, b + SEED, c, d + SEED, seeds))
     return np.concatenate([straight, np.array(out, np.int64).reshape(-1, 7)])
 
 
@@ -396,8 +446,25 @@ def whole(flags: np.ndarray, least: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def may_align(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether enough words of x stand in y at all, in whatever order, for a part of LEAST_PIECE words.
+
+    A long part has a half that agrees as well, so some part of LEAST_PIECE to twice that does: as many words of it stand in y.
+    """
+    known = np.zeros(1 << 16, bool)
+    known[y & 0xFFFF] = True
+    seen = np.concatenate([[0], np.cumsum(known[x & 0xFFFF])])
+    n = len(x)
+    for least, most in LENGTHS:
+        if n >= least and (seen[min(most, n) :] - seen[: n + 1 - min(most, n)]).max() >= AGREE * least:
+            return True
+    return False
+
+
 def aligned(x: np.ndarray, y: np.ndarray, shift: int) -> list[tuple[int, int, int, bytes]]:
     """The parts of at least LEAST_PIECE words of x that align with y: first place, first and last-plus-one place in y, packed flags of the words."""
+    if not may_align(x, y):
+        return []
     places = agreeing(x, y, shift)
     out = []
     for a, b in whole(places >= 0, LEAST_PIECE):
