@@ -17,6 +17,7 @@ from seaswath.functions import arrays
 from seaswath.functions.peaks import find_peaks
 from seaswath.operators import stretch
 from seaswath.operators.ordered import LINE, halo
+from seaswath.sources.tables import stored, workspace
 
 PROMINENCE = 50.0
 DEGREE = 9
@@ -112,12 +113,13 @@ def no_object_pings(rows: DataFrame, share: float = 0.3, gain: float = 10.0, coa
 def coarse2fine(rows: DataFrame, ratio: float = 0.02, prob_thred: float = 0.3, **_) -> DataFrame:
     """Factors learned a second time, from the pings without objects alone; a line without such pings keeps the coarse ones.
 
-    Both tables of factors have one row a line and are persisted, since the stretch reads its rows three times.
+    Both tables of factors have one row a line and are written, since they are read several times.
     """
-    coarse = factors(rows).persist()
+    folder = workspace(rows.sparkSession)
+    coarse = stored(factors(rows), folder, "coarse")
     fine = factors(no_object_pings(rows, prob_thred, coarse=coarse))
     best = coarse.select(LINE, F.col("factor").alias("_first")).join(fine, LINE, "left").select(LINE, F.coalesce("factor", "_first").alias("factor"))
-    return stretch.linear_stretch(applied(rows, best.persist()), ratio)
+    return stretch.linear_stretch(applied(rows, stored(best, folder, "factors")), ratio)
 
 
 def gaussian(sigma: float) -> np.ndarray:

@@ -72,15 +72,57 @@ def quartiles(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(LINE).agg(p.alias("_p")).select(LINE, *(F.col("_p")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))))
 
 
-def summary(pings: DataFrame, track: DataFrame, bottom: DataFrame, pixels: DataFrame, params, lengths: DataFrame) -> DataFrame:
-    """One row a line: shape, settings, speed, positions, angles, depths on both sides, length, swath and area."""
-    shape = pings.groupBy(LINE).agg(F.count("*").alias("ping_count"), F.max(F.size("bs")).alias("sample_count"), *statistics("speed", "speed"), *statistics("heading", "heading"))
+def histograms(images: dict[str, tuple[DataFrame, str, float]]) -> DataFrame:
+    """line, image, bin, edge, density, expected, mu, sigma: of images (rows, column, shift) side by side.
+
+    expected is the normal curve of an image's mean and deviation at a bin's edge, moved by its shift.
+    """
+    out = None
+    for name, (rows, column, shift) in images.items():
+        expected = normal(F.col("edge") + shift, F.col("mu"), F.col("sigma")).alias("expected")
+        one = density(rows, column).select(LINE, F.lit(name).alias("image"), "bin", "edge", "density", expected, "mu", "sigma")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def compared(found: DataFrame) -> DataFrame:
+    """line, image, mu, sigma, difference: how far each histogram is from its normal curve."""
+    return found.groupBy(LINE, "image").agg(F.first("mu").alias("mu"), F.first("sigma").alias("sigma"), F.sum(F.abs(F.col("density") - F.col("expected"))).alias("difference"))
+
+
+#: Settings that the summary repeats, by the names of their columns.
+SETTINGS = {
+    "temperature": "temperature", "salinity": "salinity", "depth": "depth", "ph": "pH", "frequency": "frequency", "slant_range": "slant_range",
+    "planed_speed": "planed_speed", "angle": "angle", "res": "res", "geo_epsg": "geo_epsg", "proj_epsg": "proj_epsg", "lambd": "lambd",
+    "gradient_thred_factor": "gradient_thred_factor", "win_h": "win_h", "use_ab_line_correction": "use_ab_line_correction",
+    "peak_factor": "peak_factor", "valley_std": "valley_std", "gray_enhance_method": "gray_enhance_method", "gaussian_kernel": "gaussian_kernel",
+    "gain": "gain", "alpha": "alpha", "ratio": "ratio", "prob_thred": "prob_thred", "is_ns": "is_ns",
+    "fish_trajectory_smooth_type": "fish_trajectory_smooth_type", "fish_trajectory_smooth_factor": "track_s", "angle_smooth_factor": "angle_s",
+}
+
+
+def summary(pings: DataFrame, track: DataFrame, bottom: DataFrame, pixels: DataFrame, params, lengths: DataFrame, smoothed: DataFrame | None = None, seconds: float | None = None) -> DataFrame:
+    """One row a line: shape, settings, speed, positions, angles, depths on both sides, length, swath and area.
+
+    The chosen angle's statistics are raw_angle_* (of pings) and smoothed_angle_* (of `smoothed`: line, ping and the angle); all are null
+    for course over ground. Speeds are null where none was recorded. seconds: what the run took.
+    """
+    chosen = params.angle if params.angle in pings.columns else None
+    nothing = [F.lit(None).cast("double").alias(f"{p}_{n}") for p in ("raw_angle", "smoothed_angle") for n in ("mean", "std", "max", "min")]
+    speeds = pings if params.recorded_speed else pings.withColumn("speed", F.lit(None).cast("double"))
+    shape = speeds.groupBy(LINE).agg(F.count("*").alias("ping_count"), F.max(F.size("bs")).alias("sample_count"), *statistics("speed", "speed"), *statistics("heading", "heading"), *(statistics(chosen, "raw_angle") if chosen else nothing[:4]))
     where = track.groupBy(LINE).agg(F.min("lon").alias("min_lon"), F.max("lon").alias("max_lon"), F.min("lat").alias("min_lat"), F.max("lat").alias("max_lat"))
     wide = bottom.join(shape.select(LINE, "sample_count"), LINE)
     deep = depths(wide, F.col("sample_count"), params.slant_range)
     below = deep.groupBy(LINE).agg(*statistics("port_depth", "port_depth"), *statistics("stbd_depth", "stbd_depth"), F.bround(F.min("swath"), 1).alias("swath_min"), F.bround(F.max("swath"), 1).alias("swath_max"))
-    settings = {"temperature": params.temperature, "salinity": params.salinity, "depth": params.depth, "ph": params.pH, "frequency": params.frequency, "slant_range": params.slant_range, "planed_speed": params.planed_speed, "angle": params.angle, "res": params.res, "geo_epsg": params.geo_epsg, "proj_epsg": params.proj_epsg}
+    parts = [where, below, lengths.select(LINE, F.bround("length", 1).alias("survey_length")), area(pixels, params.res)]
+    if chosen and smoothed is not None:
+        parts.append(smoothed.groupBy(LINE).agg(*statistics(chosen, "smoothed_angle")))
     out = shape
-    for part in (where, below, lengths.select(LINE, F.bround("length", 1).alias("survey_length")), area(pixels, params.res)):
+    for part in parts:
         out = out.join(part, LINE, "left")
-    return out.withColumns({k: F.lit(v) for k, v in settings.items()})
+    out = out if chosen and smoothed is not None else out.select("*", *nothing[4:])
+    settings = {k: F.lit(getattr(params, v)) for k, v in SETTINGS.items()}
+    settings["bottom_offset"] = F.array(*(F.lit(x) for x in params.bottom_offset))
+    settings["time_cost"] = F.lit(seconds).cast("double")
+    return out.withColumns(settings)

@@ -768,6 +768,23 @@ def depth_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qc.quartiles(bottom_view(spark, sf_dir), "port_x")
 
 
+@query(
+    and_also(
+        views.WATERFALL,
+        "im AS (SELECT line, i AS image, CASE i WHEN 'raw' THEN v WHEN 'tvg' THEN sqrt(v) ELSE 1 + v % 255 END AS v FROM px CROSS JOIN (SELECT unnest(['raw', 'tvg', 'gray']) AS i))",
+        "en AS (SELECT line, image, min(v) AS lo, max(v) AS hi, avg(v) AS mu, stddev_pop(v) AS sigma, count(*) AS n FROM im GROUP BY line, image)",
+        "bi AS (SELECT line, image, CAST(least(255, floor((v - lo) / ((hi - lo) / 256))) AS INT) AS bin, count(*) AS c FROM im JOIN en USING (line, image) GROUP BY ALL)",
+        "de AS (SELECT e.*, lo + b.bin * ((hi - lo) / 256) AS edge, coalesce(c, 0) / n / ((hi - lo) / 256) AS d FROM en e CROSS JOIN (SELECT CAST(unnest(range(0, 256)) AS INT) AS bin) b LEFT JOIN bi ON bi.line = e.line AND bi.image = e.image AND bi.bin = b.bin)",
+    ),
+    "SELECT line, image, round(any_value(mu), 6) AS mu, round(any_value(sigma), 6) AS sigma, round(sum(abs(d - exp(-0.5::DOUBLE * power((edge + CASE image WHEN 'gray' THEN 20 ELSE 0 END - mu) / sigma, 2)) / (sqrt(2 * pi()) * sigma))), 6) AS difference FROM de GROUP BY line, image",
+)
+def hist_three_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histograms of three images of a line against their normal curves, the last one's moved by 20."""
+    rows = views.waterfall(spark, sf_dir)
+    made = {"raw": (rows, "bs", 0.0), "tvg": (rows.withColumn("bs", F.transform("bs", F.sqrt)), "bs", 0.0), "gray": (rows.withColumn("bs", F.transform("bs", lambda v: 1 + v % 255)), "bs", 20.0)}
+    return qc.compared(qc.histograms(made)).select("line", "image", *(rounded(c, 6).alias(c) for c in ("mu", "sigma", "difference")))
+
+
 @query(
     and_also(
         views.WATERFALL,

@@ -96,9 +96,17 @@ def speed_corrected(tile: Tile, p: Params, seed: int = 0) -> DataFrame:
     return speed.corrected(rows, p.speed_correction_method, p.res, seed)
 
 
-def quality(tile: Tile, p: Params) -> DataFrame:
-    raw = tile.pings.select(LINE, "ping", "lon", "lat", "heading", "speed", "bs")
-    return qc.summary(raw, raw, tile.bottom, tile.pixels, p, navigation.line_lengths(tile.track))
+def quality(tile: Tile, p: Params, seconds: float | None = None) -> DataFrame:
+    columns = [LINE, "ping", "lon", "lat", *dict.fromkeys(["heading", "speed", *([p.angle] if p.angle != "cog" else [])]), "bs"]
+    raw = tile.pings.select(*columns)
+    smoothed, angle = geocode.course(tile.track, p.angle, p.angle_s)
+    return qc.summary(raw, raw, tile.bottom, tile.pixels, p, navigation.line_lengths(tile.track), smoothed if angle else None, seconds)
+
+
+def histograms(tile: Tile, gained: DataFrame, p: Params) -> DataFrame:
+    """The raw and the gained waterfall, both stretched, and the enhanced one, whose normal curve is moved by 20 levels as published."""
+    stretched = {name: stretch.linear_stretch(rows.select(LINE, "ping", "bs"), p.ratio) for name, rows in (("raw", tile.pings), ("tvg", gained))}
+    return qc.histograms({**{name: (rows, "gray", 0.0) for name, rows in stretched.items()}, "gray": (tile.gray, "gray", 20.0)})
 
 
 def run_ingest(spark: SparkSession, source: str, out: str, p: Params, mode: str = "FAILFAST") -> DataFrame:
@@ -122,7 +130,8 @@ def run_tiles(spark: SparkSession, folder: str, p: Params, sinks: bool = True) -
         raster.save(raster.pngs(seen, suffix="-bottom", marks="marks"), f"{folder}/bottom_png")
         raster.save(raster.pngs(speed_corrected(tile, p), suffix="-speed"), f"{folder}/speed_png")
         raster.bottom_text(tile.bottom, f"{folder}/bottom_text")
-    quality(tile, p).write.mode("overwrite").parquet(f"{folder}/qc_summary")
+    histograms(tile, spark.read.parquet(f"{folder}/tvg"), p).write.mode("overwrite").partitionBy("image").parquet(f"{folder}/qc_histograms")
+    quality(tile, p, round(time.time() - began, 2)).write.mode("overwrite").parquet(f"{folder}/qc_summary")
     log.info("tiles of %s took %.1f s", folder, time.time() - began)
     return tile
 
@@ -151,7 +160,7 @@ def main(args: list[str] | None = None) -> None:
             parser.add_argument(f"--{f.name}", type=kind, default=f.default)
     a = parser.parse_args(args)
     values = {f.name: getattr(a, f.name) for f in fields(Params)}
-    p = Params(**{k: tuple(v) if k == "bottom_offset" else bool(v) if k in ("is_ns", "compat", "use_ab_line_correction", "level") else v for k, v in values.items()})
+    p = Params(**{k: tuple(v) if k == "bottom_offset" else bool(v) if k in ("is_ns", "compat", "use_ab_line_correction", "level", "recorded_speed") else v for k, v in values.items()})
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(message)s")
     log.info("%s", p)
     spark = SparkSession.builder.appName("seaswath").getOrCreate()

@@ -52,6 +52,7 @@ class Params:
     frequency: int = 20
     slant_range: float = 80.0
     planed_speed: float = 4.0
+    recorded_speed: bool = True
     temperature: float = 26.0
     salinity: float = 28.0
     depth: float = 5.0

@@ -154,7 +154,12 @@ def test_stages(spark, folder):
     out = f"file://{folder}/out"
     assert tile.run_ingest(spark, f"file://{folder}/in", out, p).count() == 118
     made = tile.run_tiles(spark, out, p)
-    assert made.pixels.count() > 1000 and spark.read.parquet(f"{out}/qc_summary").count() == 2
+    report = spark.read.parquet(f"{out}/qc_summary").collect()
+    assert made.pixels.count() > 1000 and len(report) == 2 and report[0].time_cost > 0 and report[0].win_h == 10 and report[0].raw_angle_mean is None
+    images = spark.read.parquet(f"{out}/qc_histograms")
+    assert {(r.line, r.image): r["count"] for r in images.groupBy("line", "image").count().collect()} == {(n, i): 256 for n in "ab" for i in ("raw", "tvg", "gray")}
+    angled = tile.quality(made, Params(slant_range=10.0, res=0.5, angle="heading", recorded_speed=False)).collect()
+    assert {r.raw_angle_mean for r in angled} == {1.0} and {r.smoothed_angle_mean for r in angled} == {1.0} and {r.speed_mean for r in angled} == {None}
     names = {x.name for x in (folder / "out" / "geocoding").iterdir()}
     assert names == {"a_20-bs-geocoding.tif", "b_20-bs-geocoding.tif"}
     assert raster.read_bottom_text(spark, f"{out}/bottom_text").count() == 118
