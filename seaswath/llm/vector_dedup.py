@@ -2,12 +2,13 @@
 
 Equal vectors form one class. Each of TREES trees splits vectors at random hyperplanes; vectors within
 SPILL of a plane go to both sides. The upper splits are fitted to a bounded sample and only route vectors
-to groups; each group splits on by itself, until a leaf is small or no plane parts it without spilling
-most of it (a tight cluster stays whole). Within leaves vectors are compared exactly, and each is joined
+to groups. Groups too large for a task get further planes, fitted to a bounded sample of each, level by level,
+until all are small; each then splits on in its task, until a leaf is small. A group that no plane parts
+without spilling most of it (a tight cluster) stays whole. Within leaves vectors are compared exactly, and each is joined
 to neighbours by a spanning set of links, never by all pairs. Connected components follow. All links lie
 within a component, so that links are then counted exactly component by component.
 
-A group or component too large for one task is laid in rings by the angle to its mean. Two vectors whose
+A tight group, or a component, that is too large for one task is laid in rings by the angle to its mean. Two vectors whose
 angles add up to less than the threshold's are linked, and two whose angles differ by more are not: only
 the other pairs of rings are compared, block against block. A tight cluster thus costs no comparison,
 however large; one whose members lie all about the threshold costs the square of its size.
@@ -20,19 +21,24 @@ precision.
 
 from __future__ import annotations
 
+from functools import lru_cache, reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from seaswath.llm.common import table, written
+from seaswath.llm.common import discarded, table, written
 from seaswath.llm.components import components
 from seaswath.llm.neighbours import matrix, takes_part, usable
 
 THRESHOLD, TREES, SPILL, LEAF, GROUP, SAMPLE, BLOCK = 0.95, 10, 0.025, 128, 2048, 4096, 1024
 #: A group of more vectors is not split further in one task; rings to the threshold's angle.
 LARGE, RINGS = 8192, 64
+#: Further planes of a large group: levels at a time, vectors of its sample, planes tried for each node, last number of a node.
+LEVELS, PART_SAMPLE, TRIES, LAST_NODE = 3, 512, 4, 1 << 58
+QUANTILES, LEAST_SHRINKING = (0.03, 0.1, 0.25, 0.5, 0.75, 0.9, 0.97), 0.03
 
 
 class Router:
@@ -74,6 +80,94 @@ def spilt(along: np.ndarray, cut: float) -> bool:
     return bool((np.abs(along - cut) <= SPILL).mean() > 0.5)
 
 
+@lru_cache(maxsize=4096)
+def plane_of(tree: int, node: int, attempt: int, size: int) -> np.ndarray:
+    """A random plane that every task makes alike from its numbers."""
+    plane = np.random.default_rng([tree, node, attempt]).standard_normal(size)
+    return plane / np.linalg.norm(plane)
+
+
+def further_cuts(x: np.ndarray, tree: int, node: int, levels: int = LEVELS) -> list[tuple[int, int, float]]:
+    """(node, attempt, cut) below a large group, from its sample: at each node, of TRIES planes and QUANTILES cuts, the one that makes
+    groups smallest for what it spills. Cuts beside a tight cluster part it from the rest. None where spilling outgrows the parting.
+    """
+    if not levels or len(x) < 32 or node > LAST_NODE:
+        return []
+    best = None
+    for attempt in range(TRIES):
+        along = x @ plane_of(tree, node, attempt, x.shape[1])
+        for cut in np.quantile(along, QUANTILES):
+            lower, upper = (along <= cut + SPILL).mean(), (along >= cut - SPILL).mean()
+            spilling, shrinking = np.log(lower + upper), -np.log(max(lower, upper))
+            if shrinking >= LEAST_SHRINKING and spilling <= shrinking:
+                found = (float((spilling + 0.05) / shrinking), attempt, float(cut), along)
+                best = min(best, found, key=lambda t: t[:3]) if best else found
+    if not best:
+        return []
+    _, attempt, cut, along = best
+    lower, upper = x[along <= cut + SPILL], x[along >= cut - SPILL]
+    return [(node, attempt, cut), *further_cuts(lower, tree, 2 * node, levels - 1), *further_cuts(upper, tree, 2 * node + 1, levels - 1)]
+
+
+def parts_of(x: np.ndarray, tree: int, top: int, cuts: dict[int, tuple[int, float]]) -> list[tuple[int, np.ndarray]]:
+    """(node, places) of the vectors of a group; a vector may take several ways."""
+    out, todo = [], [(top, np.arange(len(x)))]
+    while todo:
+        node, rows = todo.pop()
+        if node not in cuts:
+            out.append((node, rows))
+            continue
+        attempt, cut = cuts[node]
+        along = x[rows] @ plane_of(tree, node, attempt, x.shape[1])
+        todo += [(2 * node, rows[along <= cut + SPILL]), (2 * node + 1, rows[along >= cut - SPILL])]
+    return [(node, rows) for node, rows in out if len(rows)]
+
+
+NODE = ["size", "tree", "node"]
+ROUTED = "size int, tree int, node long, id long, u array<double>"
+CUTS = "array<struct<node: long, attempt: int, cut: double>>"
+
+
+def split_on(rows: DataFrame) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Routed rows of groups over LARGE, dealt to groups of at most LARGE; rows of larger groups that no plane parts; tables to be discarded."""
+
+    def fitted(key, sample: pd.DataFrame) -> pd.DataFrame:
+        size, tree, node = (int(k) for k in key)
+        found = further_cuts(np.stack(sample["u"].to_numpy()), tree, node)
+        return pd.DataFrame({"size": [size], "tree": [tree], "node": [node], "cuts": [[{"node": n, "attempt": a, "cut": c} for n, a, c in found]]})
+
+    def deal(batches):
+        for batch in batches:
+            names = np.stack([batch.column(i).to_numpy() for i in range(3)], 1)
+            groups, which = np.unique(names, axis=0, return_inverse=True)
+            for g, (size, tree, node) in enumerate(groups.tolist()):
+                at = np.flatnonzero(which.ravel() == g)
+                mine = batch.take(pa.array(at))
+                cuts = {c["node"]: (c["attempt"], c["cut"]) for c in mine.column(5)[0].as_py()}
+                for part, places in parts_of(matrix(mine.column(4)), tree, node, cuts):
+                    some = mine.take(pa.array(places))
+                    fixed = [some.column(0), some.column(1), pa.array(np.full(len(places), part, np.int64))]
+                    yield pa.RecordBatch.from_arrays([*fixed, some.column(3), some.column(4)], ["size", "tree", "node", "id", "u"])
+
+    small, tight, gone = [], [], []
+    while True:
+        rows = written(rows, "open-nodes")
+        gone.append(rows)
+        # The least hashes of a group: Spark keeps as many of each partition only before it shuffles.
+        order = F.row_number().over(Window.partitionBy(*NODE).orderBy(F.xxhash64("id"), "id"))
+        sample = rows.withColumn("_r", order).where(F.col("_r") <= PART_SAMPLE).drop("_r")
+        cuts = written(sample.groupBy(*NODE).applyInPandas(fitted, f"size int, tree int, node long, cuts {CUTS}"), "node-cuts")
+        gone.append(cuts)
+        tight.append(rows.join(cuts.where(F.size("cuts") == 0), NODE, "left_semi"))
+        dealt = written(rows.join(cuts.where(F.size("cuts") > 0), NODE).select(*NODE, "id", "u", "cuts").mapInArrow(deal, ROUTED), "split-nodes")
+        larger = written(dealt.groupBy(*NODE).agg(F.count("*").alias("n")).where(F.col("n") > LARGE).select(*NODE), "large-nodes")
+        gone += [dealt, larger]
+        small.append(dealt.join(larger, NODE, "left_anti"))
+        if not larger.limit(1).count():
+            return reduce(DataFrame.unionByName, small), reduce(DataFrame.unionByName, tight), gone
+        rows = dealt.join(larger, NODE, "left_semi")
+
+
 def leaves(x: np.ndarray, rng: np.random.Generator):
     """Row numbers of each leaf."""
     todo = [np.arange(len(x))]
@@ -226,16 +320,22 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
         found = {(min(ids[i], ids[j]), max(ids[i], ids[j])) for rows in leaves(x, rng) for i, j in spanning(x, rows)}
         return pd.DataFrame(sorted(found), columns=["a", "b"]).astype("int64")
 
-    group, arrows = ["size", "tree", "node"], classes.select("id", "u")
-    routed = arrows.mapInArrow(route, "size int, tree int, node long, id long, u array<double>")
-    nodes = arrows.mapInArrow(numbers, "size int, tree int, node long, n long").groupBy(*group).agg(F.sum("n").alias("n"))
-    large = written(nodes.where(F.col("n") > LARGE).select(*group), "large-nodes")
-    links = routed.join(large, group, "left_anti").groupBy(*group).applyInPandas(link, "a long, b long")
+    arrows = classes.select("id", "u")
+    routed = arrows.mapInArrow(route, ROUTED)
+    nodes = arrows.mapInArrow(numbers, "size int, tree int, node long, n long").groupBy(*NODE).agg(F.sum("n").alias("n"))
+    large = written(nodes.where(F.col("n") > LARGE).select(*NODE), "large-nodes")
+    small, gone = routed.join(large, NODE, "left_anti"), [large]
     if large.limit(1).count():
-        rings = ringed(routed.join(large, group, "left_semi").withColumn("copies", F.lit(1)), group)
+        dealt, tight, more = split_on(routed.join(large, NODE, "left_semi"))
+        small, gone = small.unionByName(dealt), gone + more
+    links = small.groupBy(*NODE).applyInPandas(link, "a long, b long")
+    if len(gone) > 1:
+        rings = ringed(tight.withColumn("copies", F.lit(1)), NODE)
         sure = rings.where("lead IS NOT NULL AND lead <> id").select(F.col("id").alias("a"), F.col("lead").alias("b"))
-        links = links.unionByName(sure).unionByName(faced(rings, group, spanning_links, "a long, b long", once=True))
+        links = links.unionByName(sure).unionByName(faced(rings, NODE, spanning_links, "a long, b long", once=True))
     joined = components(links)
+    for table_ in gone:
+        discarded(table_)
     rings = ringed(classes.join(joined, "id").select("component", "id", "copies", "u"), ["component"])
     own = F.when(F.col("inside"), F.col("copies")).otherwise(0)
     counts = faced(rings, ["component"], counted_links, "id long, n long").unionByName(rings.select("id", (F.col("sure") - own).alias("n")))

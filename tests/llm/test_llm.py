@@ -327,6 +327,28 @@ def test_vector_dedup_of_large_clusters(spark, monkeypatch):
     assert Counter((r.vec_id, r.n_links, r.component_id) for r in got.collect()) == brute_links(rows)
 
 
+def test_vector_dedup_of_many_groups(spark, monkeypatch):
+    """Planes from a sample, then further planes for the groups that stay too large: no link is lost, and only tight groups go into rings."""
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((5000, 32))
+    x[:1000] = x[1000:2000] + rng.normal(0, 0.2, (1000, 32))
+    x[4000:] = x[4000] + rng.normal(0, 0.02, (1000, 32))
+    rounds, split_on = [], vector_dedup.split_on
+
+    def watched(rows):
+        small, tight, gone = split_on(rows)
+        rounds.append((len(gone), tight.groupBy("tree", "node").count().agg({"count": "max"}).first()[0], small.groupBy("tree", "node").count().agg({"count": "max"}).first()[0]))
+        return small, tight, gone
+
+    monkeypatch.setattr(vector_dedup, "split_on", watched)
+    monkeypatch.setattr(vector_dedup, "LARGE", 150)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = vector_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert Counter((r.vec_id, r.n_links, r.component_id) for r in got.collect()) == brute_links(rows)
+    ((tables, ringed, largest),) = rounds
+    assert tables > 4 and 1000 <= ringed < 1200 and largest <= 150
+
+
 def test_vector_dedup_of_odd_rows(spark):
     """Repeated ids with like and unlike vectors, other lengths, odd vectors and columns of our own names."""
     rng = np.random.default_rng(6)
