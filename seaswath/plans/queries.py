@@ -371,9 +371,23 @@ def coarse2fine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gain.coarse2fine(with_widths(spark, sf_dir)).select("line", "ping", "gray")
 
 
-@query()
+def mirrored_sql(at: str, n: str) -> str:
+    """A place mirrored at the first and last of n, which do not repeat."""
+    period = f"greatest(1, 2 * ({n} - 1))"
+    inside = f"((({at}) % {period} + {period}) % {period})"
+    return f"least({inside}, {period} - {inside})"
+
+
+RETINEX = f"""
+    wt AS (SELECT d, exp(-d * d / 18.0::DOUBLE) / sum(exp(-d * d / 18.0::DOUBLE)) OVER () AS w FROM (SELECT unnest(range(-12, 13)) AS d)),
+    hz AS (SELECT a.line, a.ping, a.k, sum(b.v * w) AS v FROM (SELECT line, ping, k, w, {mirrored_sql("k + d", "64")} AS at FROM px, wt) a JOIN px b ON b.line = a.line AND b.ping = a.ping AND b.k = a.at GROUP BY ALL),
+    pn AS (SELECT line, max(ping) + 1 AS n FROM px GROUP BY line),
+    bl AS (SELECT a.line, a.ping, a.k, sum(b.v * w) AS blur FROM (SELECT line, ping, k, w, {mirrored_sql("ping + d", "n")} AS at FROM px JOIN pn USING (line), wt) a JOIN hz b ON b.line = a.line AND b.ping = a.at AND b.k = a.k GROUP BY ALL)"""
+
+
+@query(and_also(views.WATERFALL, RETINEX), "SELECT line, ping, k, CAST(floor(greatest(0, least(255, v * 10.0::DOUBLE / (blur + 0.05::DOUBLE)))) AS INT) AS gray FROM px JOIN bl USING (line, ping, k)")
 def retinex(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gain.retinex(views.waterfall(spark, sf_dir), 3.0).select("line", "ping", "gray")
+    return long(gain.retinex(views.waterfall(spark, sf_dir), 3.0), "gray", value="gray").withColumn("gray", F.col("gray").cast("int"))
 
 
 # Messages and pings.
