@@ -333,11 +333,16 @@ def with_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.waterfall(spark, sf_dir).withColumns({"min_port_width": F.lit(28), "min_stbd_width": F.lit(30)})
 
 
-FACTOR = f"""
-    cm AS (SELECT line, side, j, avg(v) AS m FROM half GROUP BY ALL),
-    sd AS (SELECT line, side, avg(v) AS m FROM half GROUP BY ALL),
-    fa AS (SELECT c.line, 0 AS ping, 'row' AS side, CAST(CASE WHEN c.side = 'port' THEN 31 - c.j ELSE 32 + c.j END AS INT) AS j, coalesce(sd.m / nullif(e.m, 0), 0) AS v FROM cm c JOIN sd USING (line, side) JOIN cm e ON e.line = c.line AND e.side = c.side AND e.j = least(c.j, 27)),
-    fs AS (SELECT line, j AS k, round(num / 44149.0::DOUBLE, 9) AS f FROM ({convolved_sql('fa', arrays.SMOOTH_51, 64)}))"""
+def factor_sql(source: str = "half", to: str = "") -> str:
+    """Smoothed factors `fs` of each line of `source` (line, ping, side, j, v); all names begin with `to`."""
+    return f"""
+    {to}cm AS (SELECT line, side, j, avg(v) AS m FROM {source} GROUP BY ALL),
+    {to}sd AS (SELECT line, side, avg(v) AS m FROM {source} GROUP BY ALL),
+    {to}fa AS (SELECT c.line, 0 AS ping, 'row' AS side, CAST(CASE WHEN c.side = 'port' THEN 31 - c.j ELSE 32 + c.j END AS INT) AS j, coalesce(s.m / nullif(e.m, 0), 0) AS v FROM {to}cm c JOIN {to}sd s USING (line, side) JOIN {to}cm e ON e.line = c.line AND e.side = c.side AND e.j = least(c.j, 27)),
+    {to}fs AS (SELECT line, j AS k, round(num / 44149.0::DOUBLE, 9) AS f FROM ({convolved_sql(f"{to}fa", arrays.SMOOTH_51, 64)}))"""
+
+
+FACTOR = factor_sql()
 
 
 def nine_digits(found: DataFrame) -> DataFrame:
@@ -361,14 +366,38 @@ def statistic_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gain.statistic_fit(with_widths(spark, sf_dir)).select("line", "ping", "gray")
 
 
-@query()
+#: Share of the highest peak that a quiet ping's mean is above: about half of these tables' pings are, at the usual 0.3 all of them.
+QUIET_SHARE = 0.58
+
+#: Pings whose smoothed, levelled samples have no prominent peak, or a mean above that share of the highest one.
+QUIET = f"""
+    co AS (SELECT line, ping, 'row' AS side, k AS j, v * f * 10.0::DOUBLE AS v FROM px JOIN fs USING (line, k)),
+    cs AS (SELECT line, ping, j, num / 429.0::DOUBLE AS x FROM ({convolved_sql("co", arrays.SMOOTH_11, 64)})),
+    ng AS (SELECT *, lag(x) OVER (PARTITION BY line, ping ORDER BY j) AS before, lead(x) OVER (PARTITION BY line, ping ORDER BY j) AS after, min(x) OVER (PARTITION BY line, ping) AS low, avg(x) OVER (PARTITION BY line, ping) AS mean FROM cs),
+    pk AS (SELECT line, ping, j, x, mean FROM ng WHERE x > before AND x > after AND x >= low + {gain.PROMINENCE}),
+    pn AS (SELECT p.line, p.ping, p.j, p.x, p.mean, coalesce(max(o.j) FILTER (o.j < p.j AND o.x > p.x), -1) AS a, coalesce(min(o.j) FILTER (o.j > p.j AND o.x > p.x), 64) AS b FROM pk p JOIN cs o USING (line, ping) GROUP BY ALL),
+    pm AS (SELECT p.line, p.ping, p.x, p.mean, p.x - greatest(min(o.x) FILTER (o.j > a AND o.j <= p.j), min(o.x) FILTER (o.j >= p.j AND o.j < b)) AS above FROM pn p JOIN cs o USING (line, ping) GROUP BY p.line, p.ping, p.j, p.x, p.mean, p.a, p.b),
+    ob AS (SELECT line, ping FROM pm WHERE above >= {gain.PROMINENCE} GROUP BY line, ping HAVING min(mean) / max(x) <= {QUIET_SHARE}::DOUBLE),
+    qp AS (SELECT DISTINCT line, ping FROM px WHERE (line, ping) NOT IN (SELECT (line, ping) FROM ob))"""
+
+
+@query(and_also(views.WATERFALL, FACTOR, QUIET), "SELECT line, ping FROM qp")
 def no_object_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gain.no_object_pings(with_widths(spark, sf_dir)).select("line", "ping")
+    rows = with_widths(spark, sf_dir)
+    return gain.no_object_pings(rows, QUIET_SHARE, coarse=nine_digits(gain.factors(rows))).select("line", "ping")
 
 
-@query()
+FINE = and_also(
+    "qh AS (SELECT half.* FROM half JOIN qp USING (line, ping))",
+    factor_sql("qh", "q"),
+    "ef AS (SELECT line, ping, k, v * coalesce(qfs.f, fs.f) AS v FROM px JOIN fs USING (line, k) LEFT JOIN qfs USING (line, k))",
+    levels_sql("ef", 0.02),
+)
+
+
+@query(and_also(views.WATERFALL, FACTOR, QUIET, FINE), f"SELECT line, ping, k, {STRETCH} AS gray FROM ef JOIN lv USING (line)")
 def coarse2fine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gain.coarse2fine(with_widths(spark, sf_dir)).select("line", "ping", "gray")
+    return long(gain.coarse2fine(with_widths(spark, sf_dir), prob_thred=QUIET_SHARE), "gray", value="gray").withColumn("gray", F.col("gray").cast("int"))
 
 
 def mirrored_sql(at: str, n: str) -> str:
