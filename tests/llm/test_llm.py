@@ -235,6 +235,22 @@ def test_neighbours_in_a_hot_group(spark, spread):
     assert hits == 20 * len(asked) == len(got)
 
 
+def test_neighbours_in_many_blocks_and_waves(spark, monkeypatch):
+    """Six blocks of rows and four waves of queries, with a third of all rows copies of one vector: equal to brute force, ties to the smaller id."""
+    monkeypatch.setattr(neighbours, "ROW_BLOCK", 350)
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 40)
+    rng = np.random.default_rng(14)
+    x = rng.standard_normal((3000, 12))
+    x[::3] = x[0]
+    got = neighbours.search(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, wave int")).collect()
+    want = set()
+    for q in range(0, 3000, neighbours.EVERY):
+        s = neighbours.sums(x * x[q])
+        s[q] = -np.inf
+        want |= {(q, rank + 1, int(i)) for rank, i in enumerate(np.lexsort((np.arange(3000), -s))[: neighbours.TOP])}
+    assert {(r.query_id, r["rank"], r.vec_id) for r in got} == want and len(got) == len(want)
+
+
 def test_neighbours_of_odd_rows(spark):
     """Repeated ids, ties, other lengths and columns of our own names: equal to brute force."""
     rng = np.random.default_rng(3)
