@@ -87,11 +87,13 @@ def statistic_fit(rows: DataFrame, gain: float = 50.0) -> DataFrame:
 
 
 def quiet(x: np.ndarray, share: float) -> bool:
-    """Whether a ping shows no object: no prominent peak after smoothing, or a mean above that share of the highest one."""
+    """Whether a ping shows no object: no prominent peak after smoothing, or a mean above that share of the highest one. Without samples it shows none."""
+    if not len(x):
+        return True
     half, bottom, slope, total = arrays.SMOOTH_11
     weights = (bottom - slope * np.arange(-half, half + 1) ** 2) / total
     x = np.convolve(np.pad(x, half, "edge"), weights, "valid")
-    peaks = find_peaks(x, height=x.min() + PROMINENCE, least_prominence=PROMINENCE) if len(x) else []
+    peaks = find_peaks(x, height=x.min() + PROMINENCE, least_prominence=PROMINENCE)
     return len(peaks) == 0 or bool(x.mean() / x[peaks].max() > share)
 
 

@@ -133,6 +133,32 @@ def test_blur_is_a_mean(spark):
     assert np.allclose(got, want)
 
 
+def test_pings_without_objects(spark):
+    """A ping with one bright object goes, one of even noise and one without samples above the least prominence stay."""
+    even = [400.0 + 30 * (i % 2) for i in range(64)]
+    bright = [10.0] * 30 + [4000.0] * 4 + [10.0] * 30
+    flat = [100.0] * 64
+    rows = spark.createDataFrame([("a", i, v) for i, v in enumerate([even, bright, flat, even])], "line string, ping int, bs array<double>")
+    ones = spark.createDataFrame([("a", [1.0] * 64)], "line string, factor array<double>")
+    kept = gain.no_object_pings(rows, 0.3, 1.0, coarse=ones)
+    assert {r.ping for r in kept.collect()} == {0, 2, 3} and kept.columns == rows.columns
+    assert gain.quiet(np.zeros(0), 0.3)
+    assert gain.no_object_pings(rows.where("false"), 0.3, 1.0, coarse=ones).count() == 0
+
+
+def test_fine_factors_leave_objects_out(spark):
+    """Fine factors are those of the quiet pings alone; a line of which every ping shows an object keeps the coarse ones."""
+    rng = np.random.default_rng(8)
+    quiet = [("a", i, (200 + 20 * rng.random(64)).tolist()) for i in range(12)]
+    loud = [(line, i, [1.0] * (20 + i) + [9000.0] * 3 + [1.0] * (41 - i)) for line, i in [("a", 12), ("a", 13), ("b", 0), ("b", 1)]]
+    widths = {"min_port_width": F.lit(28), "min_stbd_width": F.lit(30)}
+    rows = spark.createDataFrame(quiet + loud, "line string, ping int, bs array<double>").withColumns(widths)
+    got = {(r.line, r.ping): r.bs for r in gain.coarse2fine(rows, prob_thred=0.3).collect()}
+    of = {r.line: np.array(r.factor) for r in gain.factors(rows.where("line = 'b' OR ping < 12")).collect()}
+    for line, ping, bs in quiet + loud:
+        assert np.allclose(got[line, ping], np.array(bs) * of[line])
+
+
 def test_hump_is_repaired():
     x = np.full(900, 500) + (np.arange(900) % 8 == 0) * -3
     x[440:460] += 200

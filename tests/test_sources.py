@@ -132,6 +132,16 @@ def test_samples_of_both_formats(weighting, form):
     assert row["sonar"]["dataformat"] == form and np.array_equal(row["sonardata"], samples / 2.0**weighting)
 
 
+def test_preferred_bottom_lines(spark):
+    """Lines of the first table stand as they are, whole; only lines that it lacks come from the second."""
+    schema = "line string, ping int, port_x int, stbd_x int"
+    first = spark.createDataFrame([("a", 0, 1, 2), ("a", 1, 1, 2)], schema)
+    second = spark.createDataFrame([("a", 0, 9, 9), ("a", 2, 9, 9), ("b", 0, 3, 4), ("b", 1, 3, 4)], schema)
+    got = {tuple(r) for r in raster.preferred(first, second).collect()}
+    assert got == {("a", 0, 1, 2), ("a", 1, 1, 2), ("b", 0, 3, 4), ("b", 1, 3, 4)}
+    assert raster.preferred(first.where("false"), second).count() == 4 and raster.preferred(first, second.where("false")).count() == 2
+
+
 def test_rasters(spark, tmp_path):
     image = np.arange(12, dtype=np.uint8).reshape(3, 4)
     assert (raster.png_pixels(raster.png(image)) == image).all()
