@@ -133,6 +133,20 @@ def test_blur_is_a_mean(spark):
     assert np.allclose(got, want)
 
 
+def test_fitted_factors(spark):
+    """Samples times the least-squares polynomial of the raw factors, times the gain, cut to a byte."""
+    rng = np.random.default_rng(5)
+    image = 100 + 50 * rng.random((6, 64))
+    widths = {"min_port_width": F.lit(28), "min_stbd_width": F.lit(30)}
+    rows = spark.createDataFrame([("a", i, r.tolist()) for i, r in enumerate(image)], "line string, ping int, bs array<double>").withColumns(widths)
+    raw, place = np.array(gain.raw_factors(rows, "bs").first().factor), np.linspace(-1, 1, 64)
+    basis = np.polynomial.chebyshev.chebvander(place, gain.DEGREE)
+    fitted = basis @ np.linalg.lstsq(basis, raw, rcond=None)[0]
+    for r in gain.statistic_fit(rows, 1.5).collect():
+        assert np.allclose(r.bs, image[r.ping] * fitted * 1.5)
+        assert r.gray == np.floor(np.clip(r.bs, 0, 255)).tolist()
+
+
 def test_pings_without_objects(spark):
     """A ping with one bright object goes, one of even noise and one without samples above the least prominence stay."""
     even = [400.0 + 30 * (i % 2) for i in range(64)]
