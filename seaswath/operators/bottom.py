@@ -99,8 +99,8 @@ def coarse(pings: DataFrame, factor: float = 0.1, compat: bool = True) -> DataFr
     return rows.select(LINE, "ping", (F.col("h") - 1 - F.col("_pair.p")).cast("int").alias("port_x"), (F.col("h") - 1 + F.col("_pair.s")).cast("int").alias("stbd_x"))
 
 
-def _corrected(x: str, reach: int) -> Column:
-    """x, or the weighted mean of its neighbours where it is further from that than their deviation.
+def _corrected(x: str, reach: int, rounding: float) -> Column:
+    """x, or the weighted mean of its neighbours where it is further from that than their deviation by more than `rounding`.
 
     The order of additions is kept: by distance, the later neighbour first.
     """
@@ -116,7 +116,7 @@ def _corrected(x: str, reach: int) -> Column:
     mean = F.aggregate(near, F.lit(0.0), lambda a, b: a + b) / F.size(near)
     spread = F.sqrt(F.aggregate(near, F.lit(0.0), lambda a, b: a + (b - mean) * (b - mean)) / F.size(near))
     expected = F.try_divide(total, weight)
-    return F.when(F.abs(F.col(x) - expected) <= spread, F.col(x)).otherwise(F.coalesce(F.floor(expected).cast("int"), F.col(x)))
+    return F.when(F.abs(F.col(x) - expected) <= spread + rounding, F.col(x)).otherwise(F.coalesce(F.floor(expected).cast("int"), F.col(x)))
 
 
 def _smoothed(x: str) -> Column:
@@ -130,12 +130,12 @@ def _smoothed(x: str) -> Column:
     return F.floor(total / TOTAL).cast("int")
 
 
-def _lines_of(bottom: DataFrame, steps: list[str], win_h: int) -> DataFrame:
+def _lines_of(bottom: DataFrame, steps: list[str], win_h: int, rounding: float = 0.0) -> DataFrame:
     reach = sum({"correct": win_h, "smooth": 5}[s] for s in steps)
     rows = halo(bottom, reach, reach)
     lengths = bottom.groupBy(LINE).agg((F.max("ping") + 1).alias("_pings")) if "smooth" in steps else None
     for step in steps:
-        rows = rows.withColumns({x: _corrected(x, win_h) if step == "correct" else _smoothed(x) for x in ("port_x", "stbd_x")})
+        rows = rows.withColumns({x: _corrected(x, win_h, rounding) if step == "correct" else _smoothed(x) for x in ("port_x", "stbd_x")})
     out = owned(rows)
     if lengths is None:
         return out
@@ -145,20 +145,24 @@ def _lines_of(bottom: DataFrame, steps: list[str], win_h: int) -> DataFrame:
     return kept.withColumns({"port_x": F.coalesce("_p", "port_x"), "stbd_x": F.coalesce("_s", "stbd_x")}).select(*bottom.columns)
 
 
-def abnormal_corrected(bottom: DataFrame, win_h: int = 10, times: int = 1) -> DataFrame:
-    """Outliers among win_h pings on each side replaced, `times` over."""
-    return _lines_of(bottom, ["correct"] * times, win_h)
+def abnormal_corrected(bottom: DataFrame, win_h: int = 10, times: int = 1, rounding: float = 0.0) -> DataFrame:
+    """Outliers among win_h pings on each side replaced, `times` over.
+
+    Means of whole numbers are not exact, so that a value as far off as the deviation, or one alike to all its neighbours, can count as an
+    outlier. The published lines have it so (rounding 0); a small `rounding` keeps such values.
+    """
+    return _lines_of(bottom, ["correct"] * times, win_h, rounding)
 
 
 def smoothed(bottom: DataFrame) -> DataFrame:
     return _lines_of(bottom, ["smooth"], 0)
 
 
-def detect(pings: DataFrame, factor: float = 0.1, win_h: int = 10, compat: bool = True) -> DataFrame:
+def detect(pings: DataFrame, factor: float = 0.1, win_h: int = 10, compat: bool = True, rounding: float = 0.0) -> DataFrame:
     """Coarse line, corrected twice, smoothed. Two whole numbers a ping are written in between: later steps read them more than once."""
     folder = workspace(pings.sparkSession)
     found = stored(coarse(pings, factor, compat), folder, "coarse")
-    return smoothed(stored(abnormal_corrected(found, win_h, 2), folder, "corrected"))
+    return smoothed(stored(abnormal_corrected(found, win_h, 2, rounding), folder, "corrected"))
 
 
 def overlay(pings: DataFrame, bottom: DataFrame, radius: int = 1) -> DataFrame:

@@ -20,6 +20,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 RANGE, LAMBD, ALPHA, RES = 80.0, 20.0, 0.2, 1.0
+#: What the SQL of corrected bottom lines allows a deviation.
+ROUNDING = 1e-9
 
 
 def query(ctes: str = "", select: str = "") -> Callable[[Query], Query]:
@@ -210,7 +212,7 @@ def abnormal(source: str, result: str) -> str:
 
 @query(and_also(views.WATERFALL, BOTTOM, abnormal("bt", "ab")), "SELECT line, ping, port_x, stbd_x FROM ab")
 def bottom_abnormal_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bottom.abnormal_corrected(bottom_view(spark, sf_dir))
+    return bottom.abnormal_corrected(bottom_view(spark, sf_dir), rounding=ROUNDING)
 
 
 def _smooth_sql(x: str) -> str:
@@ -231,7 +233,7 @@ DETECTED = "bt AS (SELECT line, ping, CAST(31 - p AS INT) AS port_x, CAST(31 + s
     f"SELECT line, ping, {_smooth_sql('port_x')}, {_smooth_sql('stbd_x')} FROM twice WINDOW w AS (PARTITION BY line ORDER BY ping)",
 )
 def bottom_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bottom.detect(views.waterfall(spark, sf_dir))
+    return bottom.detect(views.waterfall(spark, sf_dir), rounding=ROUNDING)
 
 
 @query()

@@ -39,6 +39,12 @@ def test_chunks_do_not_change_windows(spark, monkeypatch):
     assert bottom.smoothed(bottom.abnormal_corrected(df, 10, 2)).orderBy("ping").collect() == whole
 
 
+def test_level_bottom_is_no_outlier(spark):
+    """Where all neighbours are alike their deviation is 0, and the mean of them is off by rounding only."""
+    df = spark.createDataFrame([(str(x), i, x, x + 30) for x in (1, 7, 25) for i in range(40)], "line string, ping int, port_x int, stbd_x int")
+    assert bottom.abnormal_corrected(df, 10, 2, rounding=1e-9).exceptAll(df).count() == 0
+
+
 def test_absorption_and_projection(spark):
     assert value(spark, acoustics.absorption(6e5, 26, 28, 5, 8)) == pytest.approx(0.18428070475221126, abs=1e-12)
     assert value(spark, acoustics.absorption(1.6e6, 26, 28, 5, 8)) == pytest.approx(0.6041154395699876, abs=1e-12)
