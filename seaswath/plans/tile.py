@@ -71,9 +71,8 @@ def geocoded(gray: DataFrame, track: DataFrame, p: Params, fill: bool = True) ->
         rows = rows.join(track.select(LINE, "ping", "roll", "pitch"), [LINE, "ping"])
     meta = geocode.tile_meta(rows.select(LINE, "ping", "reach").join(track.select(LINE, "ping", "x", "y"), [LINE, "ping"]), p.res, p.proj_epsg)
     curve = "curve" if "curve" in track.columns else None
-    parts = geocode.subpings(angled, p.res, angle, curve, "angle_curve" if angle else None)
-    painted = geocode.paints(rows, parts, meta)
-    return (geocode.filled_raster(painted, p.is_ns) if fill else geocode.last_writer(painted, ["step", "k"])), meta
+    swaths = geocode.Swaths(rows, angled, meta, p.res, "gray", angle, curve, "angle_curve" if angle else None)
+    return (swaths.filled(p.is_ns) if fill else swaths.last_written()), meta
 
 
 def build(pings: DataFrame, p: Params, folder: str | None = None) -> Tile:

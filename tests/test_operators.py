@@ -224,6 +224,22 @@ def test_gap_fill_like_a_walk(spark, is_ns, size):
     assert geocode.filled_raster(df.where("false"), is_ns).count() == 0
 
 
+@pytest.mark.parametrize("is_ns", [True, False])
+def test_swaths_paint_as_one(spark, monkeypatch, is_ns):
+    """Pings dealt out to small tiles and slices give what all paints at once give, on a track that turns back over itself."""
+    monkeypatch.setattr(geocode, "TILE", 8)
+    monkeypatch.setattr(geocode, "SLICE", 16)
+    rng = np.random.default_rng(7)
+    pings = [(line, i, float(20 * math.cos(i / 3)), float(9 * math.sin(i / 2)), [int(x) for x in rng.integers(0, 255, 24)], 9.0) for line in "ab" for i in range(30)]
+    df = spark.createDataFrame(pings, "line string, ping int, x double, y double, gray array<int>, reach double")
+    track, rows = df.select("line", "ping", "x", "y"), df.select("line", "ping", "gray", "reach")
+    meta = geocode.tile_meta(df, 0.5, 4499)
+    painted, made = geocode.paints(rows, geocode.subpings(track, 0.5), meta), geocode.Swaths(rows, track, meta, 0.5)
+    assert sorted(made.last_written().collect()) == sorted(geocode.last_writer(painted, ["step", "k"]).collect())
+    whole = sorted(geocode.filled_raster(painted, is_ns).collect())
+    assert sorted(made.filled(is_ns, 16).collect()) == whole and len(whole) > 1000
+
+
 def test_runs_of_overlapping_gaps(spark):
     """Runs go on over blocks of pixels; in a run, gaps are filled in the order of steps."""
     rng = np.random.default_rng(6)
