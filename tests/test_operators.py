@@ -292,6 +292,16 @@ def test_speed_correction(spark):
         speed.corrected(df, "none", 1.0)
 
 
+def test_lines_of_sight_are_compiled(spark):
+    """A row a pixel without a function over arrays, which Spark does not compile; equal to the pixels of one row."""
+    v, w = (F.col("a"), F.col("b")), (F.col("c"), F.col("d"))
+    df = spark.createDataFrame([(0, 0, 4, -2), (3, 3, 3, 3), (5, 1, 4, 9)], "a long, b long, c long, d long")
+    rows = geocode.lines_of_sight(df, v, w)
+    assert "transform(" not in rows._jdf.queryExecution().toString()
+    want = df.select("a", F.posexplode(geocode.line_of_sight(v, w)).alias("i", "p")).select("a", "i", "p.x", "p.y")
+    assert sorted(rows.select("a", "i", "x", "y").collect()) == sorted(want.collect())
+
+
 def test_line_of_sight(spark):
     p = value(spark, geocode.line_of_sight((F.lit(0), F.lit(0)), (F.lit(4), F.lit(-2))))
     assert [(q.x, q.y) for q in p] == [(0, 0), (1, -1), (2, -1), (3, -2), (4, -2)]
