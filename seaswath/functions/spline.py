@@ -246,6 +246,30 @@ def borders(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
     return [values[0], *(np.concatenate([a, b], 1) for a, b in zip(values, values[1:], strict=False)), values[-1]]
 
 
+def condensed(parts: list[tuple[np.ndarray, np.ndarray]], begins: bool) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """What successive blocks leave together on their outer borders, and how each border between them follows from these; begins: whether the line does here."""
+    at, kept, (m, h) = 0 if begins else BORDER, [], parts[0]
+    for s, g in parts[1:]:
+        across = np.concatenate([m[:, at:, :at], s[:, :BORDER, BORDER:]], 2)
+        solved = np.linalg.solve(m[:, at:, at:] + s[:, :BORDER, :BORDER], np.concatenate([across, h[:, at:] + g[:, :BORDER]], 2))
+        kept.append((solved[:, :, : across.shape[2]], solved[:, :, across.shape[2] :]))
+        outer = np.zeros((len(m), across.shape[2], across.shape[2]))
+        outer[:, :at, :at], outer[:, at:, at:] = m[:, :at, :at], s[:, BORDER:, BORDER:]
+        turned = across.transpose(0, 2, 1)
+        m, h = outer - turned @ kept[-1][0], np.concatenate([h[:, :at], g[:, BORDER:]], 1) - turned @ kept[-1][1]
+    return m, h, kept
+
+
+def within(kept: list[tuple[np.ndarray, np.ndarray]], begins: bool, border: np.ndarray) -> list[np.ndarray]:
+    """The values at the border of each of successive blocks, by those at their outer borders."""
+    at = 0 if begins else BORDER
+    left, values = border[:, :at], [border[:, at:]]
+    for across, own in kept[::-1]:
+        values.append(own - across @ np.concatenate([left, values[-1]], 1))
+    values = [left, *values[::-1]]
+    return [np.concatenate([a, b], 1) for a, b in zip(values, values[1:], strict=False)]
+
+
 def knots_of(first: int, spans: int, inner_at: np.ndarray, inner: np.ndarray, inner_points: np.ndarray, total: int, ends: tuple[float, np.ndarray, float, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Knots first..first + spans + 7 and the points at them, from inner knots numbered inner_at; before and after all `total` inner ones come the line's ends."""
     want = np.arange(first, first + spans + 7) - (DEGREE + 1)

@@ -399,3 +399,19 @@ def test_tilted_fish(spark):
     rolled, pitched = at(F.lit(20.0)), at(None, F.lit(20.0))
     assert rolled[0] - 10 == pytest.approx((level[0] - 10) * math.cos(math.radians(20))) and rolled[1] == pytest.approx(level[1])
     assert pitched[1] - 20 == pytest.approx((level[1] - 20) * math.cos(math.radians(20))) and pitched[0] == pytest.approx(level[0])
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 3, 7, 12])
+def test_chains_of_borders(blocks):
+    """Borders of a line in one go, and by chains of blocks of which only the outer borders are solved in order."""
+    rng, parts = np.random.default_rng(blocks), []
+    for i in range(blocks):
+        size = spline.BORDER * ((i > 0) + (i < blocks - 1))
+        a = rng.normal(size=(2, size, size))
+        parts.append((a @ a.transpose(0, 2, 1) + 9 * np.eye(size), rng.normal(size=(2, size, 3))))
+    chains = [(parts[i : i + 3], i == 0) for i in range(0, blocks, 3)]
+    made = [spline.condensed(*c) for c in chains]
+    outer = spline.borders([(m, g) for m, g, _ in made])
+    got = [x for (_, _, kept), (_, begins), ends in zip(made, chains, outer, strict=True) for x in spline.within(kept, begins, ends)]
+    for x, y in zip(got, spline.borders(parts), strict=True):
+        np.testing.assert_allclose(x, y, atol=1e-12)
