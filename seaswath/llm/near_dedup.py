@@ -149,11 +149,13 @@ def candidates(held: DataFrame) -> DataFrame:
     return ordered(pairs.unionByName(inside))
 
 
-def open_buckets(held: DataFrame, joined: DataFrame) -> DataFrame:
-    """key, n, id, component: the members of the larger buckets that the links so far leave in several groups."""
-    large = held.where(F.col("n") > SMALL).select("key", "n", "id").join(joined, "id", "left").select("key", "n", "id", F.coalesce("component", "id").alias("component"))
-    apart = large.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    return written(large.join(apart, "key"), "open-buckets")
+def open_buckets(large: DataFrame, joined: DataFrame) -> DataFrame:
+    """key, id, component: the members of the larger buckets (key, id) that the links so far leave in several groups."""
+    named = written(large.select("key", "id").join(joined, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component")), "named-buckets")
+    apart = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+    members = written(named.join(apart, "key"), "open-buckets")
+    discarded(named)
+    return members
 
 
 def open_candidates(members: DataFrame) -> DataFrame:
@@ -220,16 +222,19 @@ def groups(docs: DataFrame) -> DataFrame:
     held = shared_buckets(classes.select(F.explode("bands").alias("key"), "id"))
     links = written(verified(candidates(held), text), "near-links")
     joined = components(links)
-    for further in (lambda members: open_candidates(members), lambda members: exact_candidates(members, text)):
-        members = open_buckets(held, joined)
+    members = held.where(F.col("n") > SMALL)
+    for further in (open_candidates, lambda members: exact_candidates(members, text)):
+        # Links only join groups: what is open now was open before.
+        before, members = members, open_buckets(members, joined)
+        discarded(before)
         if not members.limit(1).count():
             break
         more = written(verified(further(members), text), "more-links")
-        discarded(members)
         if more.limit(1).count():
-            links = links.unionByName(more)
+            links, before = links.unionByName(more), joined
             joined = components(links)
-    discarded(held)
+            discarded(before)
+    discarded(members)
     joined = joined.withColumnRenamed("id", "first")
     members = sketches.select("id", "c1", "c2").join(classes.select("c1", "c2", F.col("id").alias("first")), ["c1", "c2"])
     return members.join(joined, "first", "left").select(F.col("id").alias("doc_id"), F.coalesce("component", "first").alias("class_id"))

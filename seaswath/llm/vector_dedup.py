@@ -333,8 +333,9 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
         rings = ringed(tight.withColumn("copies", F.lit(1)), NODE)
         sure = rings.where("lead IS NOT NULL AND lead <> id").select(F.col("id").alias("a"), F.col("lead").alias("b"))
         links = links.unionByName(sure).unionByName(faced(rings, NODE, spanning_links, "a long, b long", once=True))
+    links = written(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "vector-links")
     joined = components(links)
-    for table_ in gone:
+    for table_ in [links, *gone]:
         discarded(table_)
     rings = ringed(classes.join(joined, "id").select("component", "id", "copies", "u"), ["component"])
     own = F.when(F.col("inside"), F.col("copies")).otherwise(0)

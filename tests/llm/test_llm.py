@@ -12,7 +12,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from seaswath.llm import bpe, language, near_dedup, neighbours, packing, quality, substring_dedup, token_file, toxicity, vector_dedup
+from seaswath.llm import bpe, components, language, near_dedup, neighbours, packing, quality, substring_dedup, token_file, toxicity, vector_dedup
+from seaswath.llm.common import written
 from seaswath.llm.queries import queries
 
 SF = "/root/testdata/sf0.001"
@@ -411,6 +412,31 @@ def test_large_buckets(spark):
     assert got.class_id.tolist() == (got.doc_id // 100 * 100).tolist()
 
 
+def test_components(spark, monkeypatch):
+    """Components equal brute force; bunches around a few ids take one round of three tables, chains of any order few rounds."""
+    names = []
+    monkeypatch.setattr(components, "written", lambda df, name: names.append(name) or written(df, name))
+
+    def found(links):
+        names.clear()
+        rows = components.components(spark.createDataFrame(links, "a long, b long")).collect()
+        assert len({r.id for r in rows}) == len(rows)
+        return {r.id: r.component for r in rows}
+
+    def wanted(links):
+        ids = sorted({i for link in links if link[0] != link[1] for i in link})
+        place = {i: n for n, i in enumerate(ids)}
+        return {i: ids[r] for i, r in zip(ids, roots(len(ids), [(place[a], place[b]) for a, b in links if a != b]), strict=True)}
+
+    bunches = [(100 * g + 99, 100 * g + i) for g in range(30) for i in range(99)] + [(100 * g + i, 100 * g + 3) for g in range(30) for i in range(50)]
+    assert found(bunches) == wanted(bunches) and len(names) <= 3
+    rng = np.random.default_rng(3)
+    order = rng.permutation(300).tolist()
+    for links in ([(i + 1, i) for i in range(300)], list(zip(order, order[1:], strict=False)), rng.integers(0, 400, (330, 2)).tolist() + [[5, 5], [7, 8], [8, 7], [-4, 900]]):
+        assert found(links) == wanted(links) and names.count("reached") <= 6
+    assert found([]) == {} and found([(4, 4)]) == {}
+
+
 def test_families_of_near_misses(spark):
     """Two hundred texts of one family, each two just below the threshold, and a few near pairs: groups equal brute force."""
     rng, words = np.random.default_rng(5), LONG.split()[:300]
