@@ -4,10 +4,10 @@ Knots lie at points; spans of residuals above the average that s allows are halv
 most s. Then the jumps of the highest derivative are penalised by 1 / p, where p is searched for until the sum comes
 to s within a thousandth of it. Four points or fewer give a polynomial through all of them.
 
-The coefficients solve a banded system, which is cut into blocks of SPANS spans. A block shares its first and its last four
-coefficients with its neighbours: it eliminates all others, the borders of all blocks make a small system in
-a row, and each block finishes by itself. Blocks hold coefficients less the points at their knots, so that sums stay small. `fit` does
-without blocks, for comparison.
+The coefficients solve a banded system, which is cut into pieces, and these into blocks of about SPANS spans. A block shares its first and
+its last four coefficients with its neighbours: all blocks of a piece eliminate their others at once, neighbouring ones then join in pairs
+until the piece's ends alone are left. These make a small system in a row, and each piece finishes by itself. Coefficients are held less the
+points at their knots, so that sums stay small. `fit` does without blocks, for comparison.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ import numpy as np
 
 TOLERANCE, DEGREE = 1e-3, 3
 #: Spans of a block; every so many points a knot from the outset; logarithms of p that are tried first and last, and how many at once.
-SPANS, FIRST, LOW, HIGH, TRIED = 64, 1024, -30.0, 60.0, 8
-#: Coefficients that neighbouring blocks share.
+SPANS, FIRST, LOW, HIGH, TRIED = 32, 1024, -30.0, 60.0, 8
+#: Coefficients that neighbouring blocks, and pieces, share.
 BORDER = 4
 
 
@@ -114,67 +114,123 @@ def middles(first: np.ndarray, last: np.ndarray, residual: np.ndarray, share: fl
     return at[(residual > share * (last - first)) & (at > first) & (at >= 2) & (at <= n - 3)]
 
 
-class Block:
-    """Spans first..first + len(counts) of a line: sums over their points, less the points at the knots.
+def solve(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Solutions of many systems. Under a penalty so large that points are lost in rounding some are singular: these take their least solution."""
+    try:
+        return np.linalg.solve(a, b)
+    except np.linalg.LinAlgError:
+        out = np.zeros((*a.shape[:-1], b.shape[-1]))
+        for i in np.ndindex(a.shape[:-2]):
+            try:
+                out[i] = np.linalg.solve(a[i], b[i])
+            except np.linalg.LinAlgError:
+                out[i] = np.linalg.lstsq(a[i], b[i], rcond=None)[0]
+        return out
+
+
+class Piece:
+    """Successive spans of a line: sums over their points, less the points at the knots, in blocks of about `spans` spans.
 
-    t, v: the knots from index `first` on (7 more than spans) and the points at them; last: whether the line ends here.
+    t, v: the spans' knots and three more on each side, and the points at them; begins, last: whether the line begins or ends here. Points
+    are in order, and each span has one at least. A piece shares its first and its last four coefficients with its neighbours; one
+    that is not the last has four spans at least.
     """
 
-    def __init__(self, first: int, last: bool, t: np.ndarray, v: np.ndarray, span: np.ndarray, u: np.ndarray, points: np.ndarray):
-        self.first, self.last, self.t, n = first, last, t, len(t) - 7
-        size = n + 3 if last else n + BORDER
-        self.base = v[2 : 2 + size]
+    def __init__(self, begins: bool, last: bool, t: np.ndarray, v: np.ndarray, span: np.ndarray, u: np.ndarray, points: np.ndarray, spans: int = SPANS):
+        self.begins, self.last, self.t, n = begins, last, t, len(t) - 7
+        self.base = v[2 : 2 + n + (3 if last else BORDER)]
         values = local_basis(t, span, u)
         left = points - np.einsum("nr,nrd->nd", values, self.base[span[:, None] + np.arange(4)])
-        gram, right = np.zeros((n, 4, 4)), np.zeros((n, 4, points.shape[1]))
-        np.add.at(gram, span, values[:, :, None] * values[:, None, :])
-        np.add.at(right, span, values[:, :, None] * left[:, None, :])
-        self.gram, self.right, self.square = gram, right, np.bincount(span, (left**2).sum(1), n)
-        self._assemble(size)
-
-    def _assemble(self, size: int) -> None:
-        at, n = np.arange(len(self.gram)), len(self.gram)
-        self.h, self.g = np.zeros((size, size)), np.zeros((size, self.right.shape[2]))
+        starts = np.searchsorted(span, np.arange(n))
+        self.gram, self.right = (np.add.reduceat(values[:, :, None] * x[:, None, :], starts) for x in (values, left))
+        self.square = np.add.reduceat((left**2).sum(1), starts)
+        self._assemble(spans)
+
+    def _assemble(self, spans: int) -> None:
+        """Blocks' matrices, all of a size: four coefficients that a block shares with the one before, its own, and four shared with the next."""
+        n, count = len(self.gram), max(1, len(self.gram) // spans)
+        edges = np.arange(count + 1) * n // count
+        width = np.diff(edges)
+        self.wide = max(BORDER, int(width.max()))
+        self.of = np.repeat(np.arange(count), width)
+        shift = self.wide - width
+        if self.last:
+            shift[-1] = 0  # nothing is shared there
+        at = (np.arange(n) - edges[self.of])[:, None] + np.arange(5)
+        self.place = at + np.where(at >= width[self.of][:, None], shift[self.of][:, None], 0)
+        size = self.wide + BORDER
+        self.h, self.g = np.zeros((count, size, size)), np.zeros((count, size, self.right.shape[2]))
+        self.dd, self.dg = np.zeros_like(self.h), np.zeros_like(self.g)
         for i in range(4):
-            self.g[at + i] += self.right[:, i]
+            self.g[self.of, self.place[:, i]] += self.right[:, i]
             for j in range(4):
-                self.h[at + i, at + j] += self.gram[:, i, j]
+                self.h[self.of, self.place[:, i], self.place[:, j]] += self.gram[:, i, j]
         rows = n - 1 if self.last else n  # an inner knot's jump belongs to the block of its first coefficient
-        jump = local_jumps(self.t, rows)
-        self.d = np.zeros((rows, size))
+        of, place, jump = self.of[:rows], self.place[:rows], local_jumps(self.t, rows)
+        near = self.base[np.arange(rows)[:, None] + np.arange(5)]
+        moved = np.einsum("ri,rid->rd", jump, near - near[:, 2:3])
         for i in range(5):
-            self.d[np.arange(rows), np.arange(rows) + i] = jump[:, i]
-        self.dd = self.d.T @ self.d
-        self.dg = self.dd @ (self.base - self.base[:1])
-
-    def parts(self) -> tuple[np.ndarray, np.ndarray]:
-        """(border, interior) places."""
-        size, all_of = len(self.h), np.arange(len(self.h))
-        is_border = (all_of < BORDER) & (self.first > 0) | (all_of >= size - BORDER) & (not self.last)
-        return all_of[is_border], all_of[~is_border]
-
-    def system(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        w = (1.0 / p)[:, None, None]  # 0 where p is infinite
-        return self.h + w * self.dd, self.g - w * self.dg
+            self.dg[of, place[:, i]] += jump[:, i, None] * moved
+            for j in range(5):
+                self.dd[of, place[:, i], place[:, j]] += jump[:, i] * jump[:, j]
+        free = (np.arange(size) >= width[:, None]) & (np.arange(size) < self.wide)
+        if self.last:
+            free[-1] = np.arange(size) >= width[-1] + 3
+        block, k = np.nonzero(free)
+        self.h[block, k, k] = 1.0  # no coefficient stands there
+
+    def _reduced(self, p: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+        """How blocks' own coefficients follow from their ends, and ends between pairs of blocks from the outer ones; what is left at the piece's two ends."""
+        w = (1.0 / p)[:, None, None, None]  # 0 where p is infinite
+        h, g = self.h + w * self.dd, self.g - w * self.dg
+        ends, own = np.r_[:BORDER, self.wide : self.wide + BORDER], np.arange(BORDER, self.wide)
+        inner = solve(h[:, :, own[:, None], own], np.concatenate([h[:, :, own[:, None], ends], g[:, :, own]], 3))
+        m, g = np.split(np.concatenate([h[:, :, ends[:, None], ends], g[:, :, ends]], 3) - h[:, :, ends[:, None], own] @ inner, [2 * BORDER], 3)
+        pairs, one, two = [], slice(None, BORDER), slice(BORDER, None)
+        while m.shape[1] > 1:
+            even = m.shape[1] // 2 * 2
+            a, b, f, e = m[:, :even:2], m[:, 1:even:2], g[:, :even:2], g[:, 1:even:2]
+            x = solve(a[..., two, two] + b[..., one, one], np.concatenate([a[..., two, one], b[..., one, two], f[..., two, :] + e[..., one, :]], 3))
+            across, outer = np.concatenate([a[..., one, two], b[..., two, one]], 2), np.zeros_like(a)
+            outer[..., one, one], outer[..., two, two] = a[..., one, one], b[..., two, two]
+            m = np.concatenate([outer - across @ x[..., : 2 * BORDER], m[:, even:]], 1)
+            g = np.concatenate([np.concatenate([f[..., one, :], e[..., two, :]], 2) - across @ x[..., 2 * BORDER :], g[:, even:]], 1)
+            pairs.append(x)
+        return inner, pairs, m[:, 0], g[:, 0]
+
+    def _ends(self) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the coefficients at the two ends are shared, and which are the piece's own."""
+        shared = np.repeat([not self.begins, not self.last], BORDER)
+        return np.flatnonzero(shared), np.flatnonzero(~shared)
 
     def eliminated(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """What a block leaves on its border (for each p): a matrix and a right side."""
-        b, i = self.parts()
-        h, g = self.system(p)
-        x = np.linalg.solve(h[:, i[:, None], i], np.concatenate([h[:, i[:, None], b], g[:, i]], 2)) if len(i) else np.zeros((len(p), 0, len(b) + g.shape[2]))
-        back = h[:, b[:, None], i] @ x
-        return h[:, b[:, None], b] - back[:, :, : len(b)], g[:, b] - back[:, :, len(b) :]
+        """What a piece leaves on its border (for each p): a matrix and a right side."""
+        _, _, m, g = self._reduced(p)
+        b, i = self._ends()
+        x = solve(m[:, i[:, None], i], np.concatenate([m[:, i[:, None], b], g[:, i]], 2))
+        back = m[:, b[:, None], i] @ x
+        return m[:, b[:, None], b] - back[:, :, : len(b)], g[:, b] - back[:, :, len(b) :]
 
     def finished(self, p: np.ndarray, border: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(coefficients less base, squared residuals of each span), for each p, by the values at the border."""
-        b, i = self.parts()
-        h, g = self.system(p)
-        out = np.zeros((len(p), *self.base.shape))
-        out[:, b] = border
-        if len(i):
-            out[:, i] = np.linalg.solve(h[:, i[:, None], i], g[:, i] - h[:, i[:, None], b] @ border)
-        c = out[:, np.arange(len(self.gram))[:, None] + np.arange(4)]
-        squares = self.square - 2 * (c * self.right).sum((2, 3)) + np.einsum("psid,sij,psjd->ps", c, self.gram, c)
+        inner, pairs, m, g = self._reduced(p)
+        b, i = self._ends()
+        ends = np.zeros((len(p), 2 * BORDER, g.shape[2]))
+        ends[:, b] = border
+        ends[:, i] = solve(m[:, i[:, None], i], g[:, i] - m[:, i[:, None], b] @ border)
+        ends = ends.reshape(len(p), 2, BORDER, -1)
+        for x in pairs[::-1]:
+            k = x.shape[1]
+            now = np.zeros((len(p), ends.shape[1] + k, *ends.shape[2:]))
+            now[:, : 2 * k + 1 : 2], now[:, 2 * k + 1 :] = ends[:, : k + 1], ends[:, k + 1 :]
+            now[:, 1 : 2 * k : 2] = x[..., 2 * BORDER :] - x[..., : 2 * BORDER] @ np.concatenate([ends[:, :k], ends[:, 1 : k + 1]], 2)
+            ends = now
+        both = np.concatenate([ends[:, :-1], ends[:, 1:]], 2)
+        blocks = np.concatenate([ends[:, :-1], inner[..., 2 * BORDER :] - inner[..., : 2 * BORDER] @ both, ends[:, 1:]], 2)
+        c = blocks[:, self.of[:, None], self.place[:, :4]]
+        squares = self.square - 2 * (c * self.right).sum((2, 3)) + np.einsum("psid,sij,psjd->ps", c, self.gram, c, optimize=True)
+        rest = len(self.base) - len(self.gram)
+        out = np.concatenate([c[:, :, 0], blocks[:, self.of[-1], self.place[-1, 1 : rest + 1]]], 1)
         return out, np.maximum(squares, 0.0)
 
     def taylor(self, c: np.ndarray, span: np.ndarray, u: np.ndarray) -> np.ndarray:
@@ -234,7 +290,7 @@ def borders(parts: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
     for s, g in parts[1:]:
         m, h = m + s[:, :BORDER, :BORDER], h + g[:, :BORDER]
         across = s[:, :BORDER, BORDER:]
-        solved = np.linalg.solve(m, np.concatenate([across, h], 2))
+        solved = solve(m, np.concatenate([across, h], 2))
         kept.append((solved[:, :, : across.shape[2]], solved[:, :, across.shape[2] :]))
         if across.shape[2]:
             turned = across.transpose(0, 2, 1)
@@ -251,7 +307,7 @@ def condensed(parts: list[tuple[np.ndarray, np.ndarray]], begins: bool) -> tuple
     at, kept, (m, h) = 0 if begins else BORDER, [], parts[0]
     for s, g in parts[1:]:
         across = np.concatenate([m[:, at:, :at], s[:, :BORDER, BORDER:]], 2)
-        solved = np.linalg.solve(m[:, at:, at:] + s[:, :BORDER, :BORDER], np.concatenate([across, h[:, at:] + g[:, :BORDER]], 2))
+        solved = solve(m[:, at:, at:] + s[:, :BORDER, :BORDER], np.concatenate([across, h[:, at:] + g[:, :BORDER]], 2))
         kept.append((solved[:, :, : across.shape[2]], solved[:, :, across.shape[2] :]))
         outer = np.zeros((len(m), across.shape[2], across.shape[2]))
         outer[:, :at, :at], outer[:, at:, at:] = m[:, :at, :at], s[:, BORDER:, BORDER:]
@@ -270,18 +326,6 @@ def within(kept: list[tuple[np.ndarray, np.ndarray]], begins: bool, border: np.n
     return [np.concatenate([a, b], 1) for a, b in zip(values, values[1:], strict=False)]
 
 
-def knots_of(first: int, spans: int, inner_at: np.ndarray, inner: np.ndarray, inner_points: np.ndarray, total: int, ends: tuple[float, np.ndarray, float, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Knots first..first + spans + 7 and the points at them, from inner knots numbered inner_at; before and after all `total` inner ones come the line's ends."""
-    want = np.arange(first, first + spans + 7) - (DEGREE + 1)
-    begin, begin_point, end, end_point = ends
-    t = np.where(want < 0, begin, end)
-    v = np.where((want < 0)[:, None], begin_point, end_point)
-    inside = (want >= 0) & (want < total)
-    place = np.searchsorted(inner_at, want[inside])
-    t[inside], v[inside] = inner[place], inner_points[place]
-    return t, v
-
-
 def next_tries(low: float, high: float) -> np.ndarray:
     """Logarithms of p between two."""
     return low + (high - low) * np.arange(1, TRIED + 1) / (TRIED + 1)
@@ -289,7 +333,7 @@ def next_tries(low: float, high: float) -> np.ndarray:
 
 def narrowed(low: float, high: float, sums: np.ndarray, s: float) -> tuple[float, float, float | None]:
     """The bounds round the p whose sum of squares is s, by the sums at the tries between them, and the p itself once found."""
-    tries = next_tries(low, high)
+    tries, sums = next_tries(low, high), np.where(np.isfinite(sums), sums, np.finfo(float).max)
     best = int(np.abs(sums - s).argmin())
     if abs(sums[best] - s) <= TOLERANCE * s or high - low < 1e-9:
         return low, high, float(tries[best])
@@ -312,27 +356,20 @@ def curve(u: np.ndarray, points: np.ndarray, s: float, spans: int = SPANS) -> np
     if n <= DEGREE + 1:
         return through_all(u, points)
 
-    def blocks(at: np.ndarray) -> list[tuple[Block, slice]]:
+    def whole(at: np.ndarray) -> tuple[Piece, np.ndarray]:
+        ends = [np.repeat(x[[0, -1]], BORDER, 0) for x in (u, points)]
+        t, v = (np.concatenate([e[:BORDER], x[at], e[BORDER:]]) for e, x in zip(ends, (u, points), strict=True))
         span = np.searchsorted(at, np.arange(n), "right")
-        edges = np.searchsorted(span, np.arange(0, len(at) + 1 + spans, spans))
-        out = []
-        for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-            if i * spans > len(at):
-                break
-            last = (i + 1) * spans > len(at)
-            count = len(at) + 1 - i * spans if last else spans
-            t, v = knots_of(i * spans, count, np.arange(len(at)), u[at], points[at], len(at), (u[0], points[0], u[-1], points[-1]))
-            out.append((Block(i * spans, last, t, v, span[a:b] - i * spans, u[a:b], points[a:b]), slice(a, b)))
-        return out
+        return Piece(True, True, t, v, span, u, points, spans), span
 
-    def solved(all_of: list, p: np.ndarray):
-        return [b.finished(p, x) for (b, _), x in zip(all_of, borders([b.eliminated(p) for b, _ in all_of]), strict=True)]
+    def solved(piece: Piece, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return piece.finished(p, np.zeros((len(p), 0, points.shape[1])))
 
     at = np.arange(2, n - 2) if s <= 0 else np.arange(FIRST, n - 2, FIRST)
     none = np.array([np.inf])
     while True:
-        now = blocks(at)
-        each = np.concatenate([squares[0] for _, squares in solved(now, none)])
+        piece, span = whole(at)
+        each = solved(piece, none)[1][0]
         more = middles(np.append(0, at), np.append(at, n - 1), each, s / n, n) if each.sum() > s * (1 + TOLERANCE) else []
         if not len(more):
             break
@@ -342,10 +379,6 @@ def curve(u: np.ndarray, points: np.ndarray, s: float, spans: int = SPANS) -> np
         low, high, found = LOW, HIGH, None
         while found is None:
             tries = np.exp(next_tries(low, high))
-            low, high, found = narrowed(low, high, sum(squares.sum(1) for _, squares in solved(now, tries)), s)
+            low, high, found = narrowed(low, high, solved(piece, tries)[1].sum(1), s)
         p = np.exp(np.array([found]))
-    out = np.zeros((n, points.shape[1], 4))
-    for (block, rows), (c, _) in zip(now, solved(now, p), strict=True):
-        span = np.searchsorted(at, np.arange(rows.start, rows.stop), "right") - block.first
-        out[rows] = block.taylor(c[0], span, u[rows])
-    return out
+    return piece.taylor(solved(piece, p)[0][0], span, u)

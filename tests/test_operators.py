@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seaswath.functions import acoustics, arrays, peaks, projection, spline
-from seaswath.operators import bottom, gain, geocode, mosaic, navigation, ordered, repair, slant, speed, stretch
+from seaswath.operators import bottom, gain, geocode, mosaic, navigation, ordered, repair, slant, smoothing, speed, stretch
 from seaswath.operators.recurrence import recurrence
 from seaswath.types import HEADER_SIZE, SONAR_SIZE, Params
 
@@ -415,3 +415,26 @@ def test_chains_of_borders(blocks):
     got = [x for (_, _, kept), (_, begins), ends in zip(made, chains, outer, strict=True) for x in spline.within(kept, begins, ends)]
     for x, y in zip(got, spline.borders(parts), strict=True):
         np.testing.assert_allclose(x, y, atol=1e-12)
+
+
+def test_pieces_of_long_lines_join(spark):
+    """Lines of several pieces, the last of one span or none of its own, as in one task; a block of spans is no Python group any more."""
+    sizes = {"a": 2 * smoothing.PIECE + 3, "b": 2 * smoothing.PIECE + 2, "c": smoothing.PIECE + 700}
+    rng = np.random.default_rng(8)
+    rows = [(line, i, float(x)) for line, n in sizes.items() for i, x in enumerate(np.cumsum(rng.exponential(5, n)) % 97)]
+    df = spark.createDataFrame(rows, "line string, ping int, x double")
+    for s in (900.0, 0.0):
+        want, got = (navigation.spline_smooth(df, ["x"], s, True, whole=w).orderBy("line", "ping").toPandas().x.to_numpy() for w in (smoothing.WHOLE, 100))
+        assert np.allclose(got, want, rtol=0, atol=1e-8)
+    fixes = df.select("line", "ping", F.col("ping").alias("at"), F.array("x").alias("point"))
+    pieces = smoothing.Long(smoothing.parameters(fixes, None), 900.0, 1, spline.SPANS).pieces.toPandas()
+    assert {line: [len(u) for u in g.sort_values("piece").u] for line, g in pieces.groupby("line")} == {"a": [4096, 4096, 3], "b": [4096, 4098], "c": [4096, 700]}
+
+
+def test_systems_without_a_solution():
+    """One singular system among others does not end them."""
+    a = np.stack([2 * np.eye(3), np.ones((3, 3)), 4 * np.eye(3)])
+    got = spline.solve(a, np.ones((3, 3, 2)))
+    assert np.allclose(a @ got, 1)
+    low, high, found = spline.narrowed(0.0, 9.0, np.array([np.nan, 9, 8, 7, 3, 2, 1, 0.5]), 5.0)
+    assert (low, high, found) == (4.0, 5.0, None)
