@@ -438,3 +438,31 @@ def test_systems_without_a_solution():
     assert np.allclose(a @ got, 1)
     low, high, found = spline.narrowed(0.0, 9.0, np.array([np.nan, 9, 8, 7, 3, 2, 1, 0.5]), 5.0)
     assert (low, high, found) == (4.0, 5.0, None)
+
+
+def test_gaps_of_many_columns_at_once():
+    """As column by column."""
+    rng = np.random.default_rng(9)
+    axis, step, k = (x.ravel() for x in np.meshgrid(np.arange(7), np.arange(40, 90), np.arange(3), indexing="ij"))
+    order = np.lexsort((k, step))
+    axis, step, k = axis[order], step[order], k[order]
+    here = rng.random(len(axis)) < 0.7
+    axis, step, k = axis[here], step[here], k[here]
+    cross, value, swap = step % 30 * 2 + rng.integers(-4, 5, len(step)), rng.integers(1, 255, len(step)), (step // 4 + axis) % 2 == 0
+    got = geocode.free_gaps(axis, step, cross, value, swap)
+    want = [[a, *g] for a in range(7) for g in geocode.column_part(*(x[axis == a] for x in (step, k, cross, value, swap)), np.ones((axis == a).sum(), bool)).gap.tolist()]
+    assert sorted(got.tolist()) == sorted(want) and len(want) > 10
+
+
+def test_tilted_swaths_in_compiled_paints(spark, monkeypatch):
+    """Rolling and pitching fish, pings of several widths and lines of tiles: as paints of rows; samples are not exploded into Spark's rows."""
+    monkeypatch.setattr(geocode, "TILE", 16)
+    monkeypatch.setattr(geocode, "BATCH", 64)
+    rng = np.random.default_rng(11)
+    pings = [(line, i, i * 1.3, float(9 * math.sin(i / 4)), [int(x) for x in rng.integers(1, 255, 20 + i % 3)], 7.0, float(i % 7 - 3), float(i % 5)) for line in "ab" for i in range(25)]
+    df = spark.createDataFrame(pings, "line string, ping int, x double, y double, gray array<int>, reach double, roll double, pitch double")
+    track, rows, meta = df.select("line", "ping", "x", "y"), df.select("line", "ping", "gray", "reach", "roll", "pitch"), geocode.tile_meta(df, 0.5, 4499)
+    made = geocode.Swaths(rows, track, meta, 0.5).last_written()
+    painted = geocode.paints(rows, geocode.subpings(track, 0.5), meta)
+    assert sorted(made.collect()) == sorted(geocode.last_writer(painted, ["step", "k"]).collect())
+    assert "posexplode" not in made._jdf.queryExecution().toString()
